@@ -138,7 +138,7 @@ class Lexicon:
 
     def prefixes(self) -> list[str]:
         """The trie of the words, flattened: a word's extensions follow it in this sorted list."""
-        return sorted(self.words)
+        return sorted(w for w in self.words if "'" not in w and "’" not in w and not self.repair(w))
 
 
 def entity_words(spark: SparkSession, folder: str) -> frozenset[str]:
@@ -149,10 +149,15 @@ def entity_words(spark: SparkSession, folder: str) -> frozenset[str]:
     return frozenset(frequent(counted(plain, str.split, word_of), least=3))
 
 
+def inner_tokens(text: str) -> list[str]:
+    """The white-space tokens but the last, which may be cut off."""
+    return text.split()[:-1]
+
+
 def lexicon(spark: SparkSession, folder: str) -> Lexicon:
     """Counts over all rows of audit_trail.clean_ocr; runs no shuffle but that of the counts."""
     texts = table(spark, folder, "audit_trail").select("clean_ocr")
-    return Lexicon(frequent(counted(texts, str.split)), entity_words(spark, folder))
+    return Lexicon(frequent(counted(texts, inner_tokens)), entity_words(spark, folder))
 
 
 LETTERS = re.compile(r"[^\W\d_]+")

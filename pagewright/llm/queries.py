@@ -5,14 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repetition, site_lines
-from .common import current_rows, table
+from . import repetition, site_lines, truncation
+from .common import current_rows, lexicon, table
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
     return current_rows(table(spark, folder, "audit_trail"), "clean_ocr")
 
 
+def p1_truncation(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.truncation(_pages(spark, folder), lexicon(spark, folder))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p1_truncation(spark, folder).where("cut").select("page_key")
+
+
+def p1_share(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.truncated_share(p1_truncation(spark, folder))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetitive_pages(_pages(spark, folder))
 
