@@ -149,8 +149,14 @@ def entity_words(spark: SparkSession, folder: str) -> frozenset[str]:
     return frozenset(frequent(counted(plain, str.split, word_of), least=3))
 
 
+BREAK = re.compile(r"[-‐‑¬\xad][ \t]*\n")
+BROKEN_WORD = re.compile(r"\S*[-‐‑¬\xad][ \t]*\n\s*\S*")
+
+
 def inner_tokens(text: str) -> list[str]:
-    """The white-space tokens but the last, which may be cut off."""
+    """The white-space tokens but the last, which may be cut off, and but the parts of words broken over lines."""
+    if BREAK.search(text):
+        text = BROKEN_WORD.sub(" ", text)
     return text.split()[:-1]
 
 

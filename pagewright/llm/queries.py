@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repetition, site_lines, truncation
+from . import repetition, scan_repair, site_lines, truncation
 from .common import current_rows, lexicon, table
 
 
@@ -45,4 +45,13 @@ def p4_clean(spark: SparkSession, folder: str) -> DataFrame:
     return site_lines.without_lines(_pages(spark, folder), _printed(spark, folder))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_repair.scan_faults(_pages(spark, folder), lexicon(spark, folder))
+
+
+def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    every = table(spark, folder, "audit_trail").select("page_key", "clean_ocr")
+    return scan_repair.repaired_pages(_pages(spark, folder), every, lexicon(spark, folder))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name[:1] == "p" and name[1:2].isdigit()}
