@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repetition, scan_repair, site_lines, truncation
+from . import markup, repetition, scan_repair, site_lines, truncation
 from .common import current_rows, lexicon, table
 
 
@@ -54,4 +54,14 @@ def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
     return scan_repair.repaired_pages(_pages(spark, folder), every, lexicon(spark, folder))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    pages, corpus = _pages(spark, folder), table(spark, folder, "corpus_dict")
+    return markup.markup_kinds(pages, corpus, markup.fitted(pages, corpus))
+
+
+def p7_clean(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _pages(spark, folder)
+    return markup.clean_pages(pages, markup.fitted(pages, table(spark, folder, "corpus_dict")))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name[:1] == "p" and name[1:2].isdigit()}
