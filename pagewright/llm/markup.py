@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled pages that the potentials are fitted on, at most.
-FIT_PAGES = 20_000
+FIT_PAGES = 5_000
 
 #: HTML elements, and those of them without an end tag.
 ELEMENTS = frozenset(

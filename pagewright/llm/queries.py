@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import markup, repetition, scan_repair, site_lines, truncation
+from . import encoding, leakage, lookalikes, markup, repetition, scan_repair, site_lines, truncation
 from .common import current_rows, lexicon, table
 
 
@@ -64,4 +64,32 @@ def p7_clean(spark: SparkSession, folder: str) -> DataFrame:
     return markup.clean_pages(pages, markup.fitted(pages, table(spark, folder, "corpus_dict")))
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", "text")
+
+
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.encoded(_documents(spark, folder))
+
+
+def p9_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.leaks(_documents(spark, folder), table(spark, folder, "eval_items"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_leaks(spark, folder).select("doc_id", "item_id").distinct()
+
+
+def p9_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.without_leaks(_documents(spark, folder), p9_leaks(spark, folder))
+
+
+def p10_canonical(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.canonical(_documents(spark, folder)).select("doc_id", F.col("form").alias("text"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.look_alike_pairs(_documents(spark, folder))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name[:1] == "p" and name[1:2].isdigit()}
