@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, leakage, lookalikes, markup, repetition, scan_repair, site_lines, truncation
+from . import encoding, leakage, lookalikes, markup, name_variants, repetition, scan_repair, site_lines, truncation
 from .common import current_rows, lexicon, table
 
 
@@ -54,6 +54,14 @@ def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
     return scan_repair.repaired_pages(_pages(spark, folder), every, lexicon(spark, folder))
 
 
+def p6_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return name_variants.variants(table(spark, folder, "patient_data_extractor"), table(spark, folder, "audit_trail"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return name_variants.variant_pairs(p6_variants(spark, folder))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     pages, corpus = _pages(spark, folder), table(spark, folder, "corpus_dict")
     return markup.markup_kinds(pages, corpus, markup.fitted(pages, corpus))
