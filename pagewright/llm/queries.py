@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, leakage, lookalikes, markup, name_variants, repetition, scan_repair, site_lines, truncation
+from . import encoding, leakage, lookalikes, markup, name_variants, pii, repetition, scan_repair, site_lines, truncation
 from .common import current_rows, lexicon, table
 
 
@@ -25,6 +25,24 @@ def p1_share(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.truncated_share(p1_truncation(spark, folder))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.all_identifiers(spark, folder)
+
+
+def _scrubbed(spark: SparkSession, folder: str, column: str) -> DataFrame:
+    v = pii.vocabulary(spark, folder)
+    pages = current_rows(table(spark, folder, "audit_trail"), column)
+    return pii.scrubbed(pages, v, pii.fitted(spark, folder, v), column)
+
+
+def p2_scrubbed(spark: SparkSession, folder: str) -> DataFrame:
+    return _scrubbed(spark, folder, "clean_ocr")
+
+
+def p2_rescrubbed(spark: SparkSession, folder: str) -> DataFrame:
+    return _scrubbed(spark, folder, "final_llm_scrubbed")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetitive_pages(_pages(spark, folder))
 
