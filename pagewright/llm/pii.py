@@ -9,6 +9,7 @@ Its weights are fitted on a bounded sample of pages whose identifiers redaction
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,29 +21,39 @@ from .common import EDGE, Lexicon, Repairer, counted, current_rows, frequent, in
 from .name_variants import near, parse
 
 #: Labelled pages that the weights are fitted on, at most; passes over them; rounds of message passing.
-FIT_PAGES, EPOCHS, ROUNDS = 3_000, 60, 4
+FIT_PAGES, EPOCHS, ROUNDS = 3_000, 40, 4
+#: The lists miss identifiers: an unlisted token that the fitted weights give a label with this probability gets it, and
+#: the weights are fitted again, RELABELLED times.
+MISSED, RELABELLED = 0.25, 2
+#: Tokens of the sample that must bear a feature for it to get a weight.
+LEAST_SEEN = 4
 LABELS = ("other", "name", "organisation", "identifier")
 
 #: Titles before names; words that stand before codes; street types; house names.
 TITLES = frozenset("mr mrs ms miss mx dr prof professor sister nurse rev sir dame lady lord master".split())
-NOT_INITIALS = frozenset("GP RE NI OT PT DR MR MS ID NO DOB AM PM IV".split())
+NOT_INITIALS = frozenset("PT DR MR MS".split())
+NOT_TRAILING = frozenset("GP NI OT ID NO AM PM IV BP HR RE".split())
+AFTER_NAMES = frozenset("the was is has had at in on to for last this since within after before over during by and with yesterday overnight telephoned rang called".split())
 STREET = "Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Close|Cl|Crescent|Cres|Terrace|Terr|Gardens|Gdns|Drive|Dr|Way|Place|Pl|Court|Ct|Square|Sq|Row|Hill|Grove|Mews|Walk|Park|Green|Parade|Quay"
 HOUSE = "House|Cottage|Lodge|View|Dairy|Farm|Barn|Villa|Hall|Manor|Mill|Grange|Rectory|Vicarage|Bungalow|Gate"
 
 POSTCODE = r"[A-Z]{1,2}\d{1,2}[A-Z]?\s?\d[A-Z]{2}"
 TOWN = r"[A-Z][a-z]+(?:-[a-z]+)*"
 ADDRESS = re.compile(
-    rf"(?<![\w/.-])(?:(?:Flat\s+\d+[a-z]?,?\s+)?\d+[a-z]?,?\s+|(?:The\s+)?[A-Z][a-z]+\s+(?:{HOUSE}),\s+)(?:[A-Z][a-z]+\s+){{1,2}}?(?:{STREET})\b\.?,?\s+(?P<town>{TOWN})(?:[,.]?\s+(?P<post>{POSTCODE})\b)?",
+    rf"(?<![\w/.-])(?:(?:Flat\s+\d+[a-z]?,?\s+)?\d{{1,4}}[a-z]?,?\s+|(?:The\s+)?[A-Z][a-z]+\s+(?:{HOUSE}),\s+)(?:[A-Z][a-z]+\s+){{1,2}}?(?:{STREET})\b(?P<comma>\.?,?)\s+(?P<town>{TOWN})(?:[,.]?\s+(?P<post>{POSTCODE})\b)?",
     re.I,
 )
 EMAIL = re.compile(r"[\w.+'-]*\w\s?(?:@|\(at\)|\[at\])\s?[\w-]+(?:(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?)[\w-]+)+", re.I)
 NUMBER = re.compile(
     r"(?<![\w/.+-])(?:(?P<phone>(?:(?:\+|00)44[\s.-]?(?:\(0\)[\s.-]?)?\d{2,5}|\(0\d{2,4}\)|0\d{2,4})(?:[\s.-]?\d{3,6}){1,3}|\+\d{1,3}[\s.-]?\d{2,4}(?:[\s.-]?\d{3,4}){2,3})"
-    r"|(?P<nhs>\d{3}(?P<sep>[\s.-]?)\d{3}(?P=sep)\d{4})|(?P<ni>[A-Z]{2}(?P<gap>[\s-]?)\d{2}(?P=gap)\d{2}(?P=gap)\d{2}(?P=gap)[A-D])|(?P<unit>[A-Z]{1,2}[\s-]?\d{6,7}(?:/[A-Z])?))(?![\w/-]|\.\d)"
+    r"|(?P<nhs>\d{3}[\s.-]?\d{3}[\s.-]?\d{4})|(?P<ni>[A-Z]{2}[\s-]?\d{2}[\s-]?\d{2}[\s-]?\d{2}[\s-]?[A-D])|(?P<unit>[A-Z]{1,2}[\s-]?\d{6,7}(?:/[A-Z])?))(?![\w/-]|\.\d)"
 )
+BLANK_LINE = re.compile(r"\n\s*\n")
 TOKEN = re.compile(r"\S+")
-INITIALS = re.compile(r"(?:[A-Z]\.?){1,3}")
+INITIALS = re.compile(r"[A-Z]\.?|[A-Z]{2}\.?|(?:[A-Z]\.){2,3}")
 NOT_ALNUM = re.compile(r"[\W_]+")
+#: What the shape of a number says by itself for `identifier`, as a logarithm; the lists miss some contexts altogether.
+PRIOR = {"phone": 3.0, "ni": 3.0}
 KIND = {"phone": "phone", "nhs": "id_number", "ni": "id_number", "unit": "id_number"}
 
 
@@ -107,12 +118,12 @@ def recognised(text: str, words: dict[str, int]) -> tuple[list[tuple[int, int, s
         sure += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
     for m in ADDRESS.finditer(text):
         town = m["town"].lower()
-        if m["post"] is None and town in words:
+        if m["post"] is None and (town in words or not m["comma"]) or BLANK_LINE.search(m[0]):
             continue
         sure.append((m.start(), m.end() if m["post"] else m.end("town"), "address"))
     numbers = []
     for m in NUMBER.finditer(text):
-        kind, digits = m.lastgroup if m.lastgroup in KIND else "nhs" if m["nhs"] else "ni", re.sub(r"\D", "", m[0])
+        kind, digits = m.lastgroup, re.sub(r"\D", "", m[0])
         if kind == "phone":
             own = digits.removeprefix("00").removeprefix("44") if m[0][0] == "+" or digits.startswith("0044") else digits
             own = own.lstrip("0")
@@ -195,7 +206,7 @@ def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int,
         left = cue(p) if p >= 0 and "\n" not in text[spans[p][1] : spans[p + 1][0]] else "^ " + cue(p)
         features = [
             f"source {source}", f"shape {shape}", f"source {source} {shape}", f"end {stem[-4:]}", f"start {stem[:4]}", f"left {left}", f"right {cue(q)}", f"title {title}", f"initial {initial}",
-            f"length {min(q - p - 1, 4)} {source}", f"near {cue(k - 1) if k - 1 not in core else '*'} {cue(k + 1) if k + 1 not in core else '*'}", f"next {cue(k + 1)}",
+            f"length {min(q - p - 1, 4)} {source}", f"near {cue(k - 1) if k - 1 not in core else '*'} {cue(k + 1) if k + 1 not in core else '*'}", f"next {cue(k + 1) if k + 1 not in core else '*'}",
         ]
         nodes.append(Node(a, b, "word", stem, features, linked, k, run))
         before = k
@@ -203,7 +214,7 @@ def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int,
 
 
 def _is_initials(surface: str) -> bool:
-    bare = surface.strip(",;:()")
+    bare = surface.strip(",;()")
     return 0 < len(bare) <= 6 and INITIALS.fullmatch(bare) is not None and bare.replace(".", "") not in NOT_INITIALS
 
 
@@ -244,6 +255,7 @@ class Field:
         unary = np.zeros((at, len(LABELS)))
         np.add.at(unary, np.array(rows, int), self.weights[np.array(columns, int)])
         word = np.array(kinds)
+        unary[:, 3] += np.array([PRIOR.get(node.kind, 0.0) for nodes in documents for node in nodes])
         unary[word, 3] = unary[~word, 1] = unary[~word, 2] = -30
         belief = self._propagate(unary, [(chain, self.chain), (skip, self.skip)])
         return [belief[a:b] for a, b in zip(offsets, offsets[1:])]
@@ -274,10 +286,11 @@ class Field:
 def fit(documents: list[tuple[str, list[str]]], v: Vocabulary) -> Field:
     """Weights from (text, listed identifiers) pairs: a token within a listed name, place or number bears its label."""
     index: dict[str, int] = {}
-    rows, columns, labels, chain_pairs, skip_pairs = [], [], [], [], []
+    rows, columns, labels, kinds, chain_pairs, skip_pairs = [], [], [], [], [], []
     at = 0
-    for text, listed in documents:
-        nodes, _, _ = nodes_of(text, v)
+    prepared = [nodes_of(text, v)[0] for text, _ in documents]
+    counts = Counter(f for nodes in prepared for node in nodes for f in node.features)
+    for (text, listed), nodes in zip(documents, prepared):
         spans = []
         for element in set(listed):
             if not element or len(element) < 4:
@@ -293,40 +306,48 @@ def fit(documents: list[tuple[str, list[str]]], v: Vocabulary) -> Field:
             label = next((lab for a, b, lab in spans if a <= node.start and node.end - 2 <= b and (lab == 3) == (node.kind != "word")), 0)
             own.append(label)
             for f in node.features:
-                rows.append(at + len(own) - 1)
-                columns.append(index.setdefault(f, len(index)))
+                if counts[f] >= LEAST_SEEN:
+                    rows.append(at + len(own) - 1)
+                    columns.append(index.setdefault(f, len(index)))
         seen: dict[str, int] = {}
         for k, node in enumerate(nodes):
             if node.chained and k:
-                chain_pairs.append((own[k - 1], own[k]))
+                chain_pairs.append((at + k - 1, at + k))
             if node.word in seen:
-                skip_pairs.append((own[seen[node.word]], own[k]))
+                skip_pairs.append((at + seen[node.word], at + k))
             seen[node.word] = k
+            kinds.append(node.kind == "word")
         labels += own
         at += len(nodes)
     n, y = len(LABELS), np.array(labels, int)
     weights = np.zeros((max(1, len(index)), n))
     if at:
         r, c = np.array(rows), np.array(columns)
-        truth = np.eye(n)[y]
-        squares = np.full_like(weights, 1e-6)
-        allowed = np.ones((at, n))
-        for _ in range(EPOCHS):
-            score = np.zeros((at, n))
-            np.add.at(score, r, weights[c])
-            p = np.exp(score - score.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            gradient = np.zeros_like(weights)
-            np.add.at(gradient, c, ((p - truth) * allowed)[r])
-            gradient += 0.05 * weights
-            squares += gradient**2
-            weights -= 0.5 * gradient / np.sqrt(squares)
+        word = np.array(kinds)
+        for again in range(RELABELLED + 1):
+            truth = np.eye(n)[y]
+            weights[:] = 0
+            squares = np.full_like(weights, 1e-6)
+            for _ in range(EPOCHS):
+                score = np.zeros((at, n))
+                np.add.at(score, r, weights[c])
+                score[word, 3] = score[~word, 1] = score[~word, 2] = -30
+                p = np.exp(score - score.max(1, keepdims=True))
+                p /= p.sum(1, keepdims=True)
+                gradient = np.zeros_like(weights)
+                np.add.at(gradient, c, (p - truth)[r])
+                gradient += 0.05 * weights
+                squares += gradient**2
+                weights -= 0.5 * gradient / np.sqrt(squares)
+            if again < RELABELLED:
+                likely = 1 + p[:, 1:].argmax(1)
+                y = np.where((y == 0) & (p[np.arange(at), likely] >= MISSED), likely, y)
 
     def tie(pairs: list[tuple[int, int]], strength: float) -> np.ndarray:
         m = np.full((n, n), 1.0) + 4 * np.eye(n)
         for a, b in pairs:
-            m[a, b] += 1
-            m[b, a] += 1
+            m[y[a], y[b]] += 1
+            m[y[b], y[a]] += 1
         m /= m.sum()
         lift = np.log(m / np.outer(m.sum(1), m.sum(0)))
         return np.clip(strength * lift, -2.5, 2.5)
@@ -349,8 +370,19 @@ def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple
 
     def ends(k: int) -> bool:
         s = surface(k).rstrip("\"')]")
+        if title(k):
+            return False
         return s[-1:] in ";:!?)" or (s.endswith(".") and len(s.strip(EDGE)) > 2) or text[spans[k][1] : spans[k + 1][0] if k + 1 < len(spans) else None].count("\n") > 1
 
+    def trailing(j: int) -> bool:
+        """Whether initials may follow the surname here: on its line, not an article, not the label of a number."""
+        s = surface(j)
+        if "\n" in text[spans[j - 1][1] : spans[j][0]] or _digits_follow(text, spans, j):
+            return False
+        if s == "A" and surface(j + 1)[:1].islower():  # an article, unless what follows can't stand after one
+            return surface(j + 1) in AFTER_NAMES
+        return s.strip(",.").replace(".", "") not in NOT_TRAILING
+
     person = {node.at for node, label in zip(nodes, labels) if node.kind == "word" and label == 1}
     out, done = [], -1
     for k in sorted(person):
@@ -359,11 +391,14 @@ def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple
         parts, last, comma = [k], k, surface(k).endswith(",")
         titled = title(k - 1) and not ends(k - 1) or (title(k - 1) and surface(k - 1).endswith("."))
         j = k + 1
+        fronted = k - 1 > done and _is_initials(surface(k - 1)) and not ends(k - 1)
         if comma:  # surname first
             while j < len(spans) and title(j):
                 j += 1
             first = j
             while j < len(spans) and not ends(j - 1) and (j in person or _is_initials(surface(j))) and len(parts) < 4:
+                if j not in person and not trailing(j):
+                    break
                 parts.append(j)
                 last = j
                 j += 1
@@ -372,7 +407,7 @@ def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple
             if last == k or first == j:
                 parts, last = [k], k
         elif not ends(k):
-            while j < len(spans) and len(parts) < 4 and (j in person or (_is_initials(surface(j)) and (j + 1 in person or len(parts) == 1 and not _digits_follow(text, spans, j))) or (title(j) and j + 1 in person and len(parts) == 1 and False)):
+            while j < len(spans) and len(parts) < 4 and not (len(parts) > 1 and parts[-1] in person and "\n" in text[spans[j - 1][1] : spans[j][0]]) and (j in person or (_is_initials(surface(j)) and (j + 1 in person or len(parts) == 1 and not fronted and trailing(j)))):
                 parts.append(j)
                 last = j
                 j += 1
