@@ -1,4 +1,6 @@
 """Registry of the engine's queries and of the SQL that must give the same rows."""
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from .queries import QUERIES
+from .sql import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
