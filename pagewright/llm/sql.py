@@ -9,6 +9,6 @@ ORACLE: dict[str, str] = {
 w AS (SELECT page_key, regexp_extract_all(lower(clean_ocr), '\p{L}+') AS w FROM cur WHERE clean_ocr IS NOT NULL),
 g AS (SELECT page_key, unnest(range(1, len(w) - 4)) AS k, unnest(list_transform(range(1, len(w) - 4), lambda i: array_to_string(w[i:i + 5], ' '))) AS run FROM w WHERE len(w) >= 6),
 again AS (SELECT page_key, k FROM (SELECT page_key, k, row_number() OVER (PARTITION BY page_key, run ORDER BY k) AS times FROM g) WHERE times > 1),
-covered AS (SELECT page_key, count(DISTINCT at) AS n FROM (SELECT page_key, unnest(range(k, k + 6)) AS at FROM again) GROUP BY page_key)
+covered AS (SELECT page_key, count(DISTINCT place) AS n FROM (SELECT page_key, unnest(range(k, k + 6)) AS place FROM again) GROUP BY page_key)
 SELECT c.page_key FROM covered c JOIN w ON c.page_key = w.page_key WHERE c.n >= 0.3 * len(w.w)""",
 }
