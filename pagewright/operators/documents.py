@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.strings import strip
 from .pages import doc_stem
@@ -127,7 +128,7 @@ def plain_text(markdown: str | None) -> str | None:
     return re.sub(r"\n", " ", " ".join(parser.parts))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def parsed_text(pages: pd.Series) -> pd.Series:
     """`plain_text` for Arrow batches."""
     return pages.map(plain_text)

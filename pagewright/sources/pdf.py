@@ -91,7 +91,8 @@ class PdfReader(DataSourceReader):
 
     def read(self, part: PageRange):
         if part.error:
-            yield (part.path, part.first, part.total, None, part.error)
+            if self.pages is None or part.first in self.pages:
+                yield (part.path, part.first, part.total, None, part.error)
             return
         render = None
         if self.options.get("renderer"):
