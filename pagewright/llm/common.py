@@ -150,13 +150,38 @@ def entity_words(spark: SparkSession, folder: str) -> frozenset[str]:
 
 
 BREAK = re.compile(r"[-‐‑¬\xad][ \t]*\n")
-BROKEN_WORD = re.compile(r"\S*[-‐‑¬\xad][ \t]*\n\s*\S*")
+SPACE = re.compile(r"\s")
+
+
+def broken_words(text: str) -> list[tuple[int, int, int, int]]:
+    """(start, end of the first part, start of the second part, end) of the words broken over two lines.
+
+    The first part ends with a letter before a hyphen at a line's end, the second begins with a letter.  Breaks are
+    looked for first, so long tokens cost nothing.
+    """
+    found = []
+    for m in BREAK.finditer(text):
+        end = m.start()
+        if not end or not text[end - 1].isalpha():
+            continue
+        start = 1 + max(text.rfind(c, 0, end) for c in " \n\t\r\xa0")
+        right = m.end()
+        while right < len(text) and text[right] in " \t":
+            right += 1
+        if right < len(text) and text[right].isalpha():
+            stop = SPACE.search(text, right)
+            found.append((start, end, right, stop.start() if stop else len(text)))
+    return found
 
 
 def inner_tokens(text: str) -> list[str]:
     """The white-space tokens but the last, which may be cut off, and but the parts of words broken over lines."""
     if BREAK.search(text):
-        text = BROKEN_WORD.sub(" ", text)
+        kept, at = [], 0
+        for start, _, _, end in broken_words(text):
+            kept.append(text[at : max(at, start)])
+            at = max(at, end)
+        text = " ".join([*kept, text[at:]])
     return text.split()[:-1]
 
 

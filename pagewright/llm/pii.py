@@ -43,7 +43,7 @@ ADDRESS = re.compile(
     rf"(?<![\w/.-])(?:(?:Flat\s+\d+[a-z]?,?\s+)?\d{{1,4}}[a-z]?,?\s+|(?:The\s+)?[A-Z][a-z]+\s+(?:{HOUSE}),\s+)(?:[A-Z][a-z]+\s+){{1,2}}?(?:{STREET})\b(?P<comma>\.?,?)\s+(?P<town>{TOWN})(?:[,.]?\s+(?P<post>{POSTCODE})\b)?",
     re.I,
 )
-EMAIL = re.compile(r"[\w.+'-]*\w\s?(?:@|\(at\)|\[at\])\s?[\w-]+(?:(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?)[\w-]+)+", re.I)
+EMAIL = re.compile(r"(?<![\w.+'-])[\w.+'-]{0,64}\w\s?(?:@|\(at\)|\[at\])\s?[\w-]+(?:(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?)[\w-]+)+", re.I)
 NUMBER = re.compile(
     r"(?<![\w/.+-])(?:(?P<phone>(?:(?:\+|00)44[\s.-]?(?:\(0\)[\s.-]?)?\d{2,5}|\(0\d{2,4}\)|0\d{2,4})(?:[\s.-]?\d{3,6}){1,3}|\+\d{1,3}[\s.-]?\d{2,4}(?:[\s.-]?\d{3,4}){2,3})"
     r"|(?P<nhs>\d{3}[\s.-]?\d{3}[\s.-]?\d{4})|(?P<ni>[A-Z]{2}[\s-]?\d{2}[\s-]?\d{2}[\s-]?\d{2}[\s-]?[A-D])|(?P<unit>[A-Z]{1,2}[\s-]?\d{6,7}(?:/[A-Z])?))(?![\w/-]|\.\d)"

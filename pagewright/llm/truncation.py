@@ -23,6 +23,9 @@ USUAL_END = {"corpus": (12, 0.001), "stem": (3, 0.02), "two": (12, 0.003), "six"
 #: A length is a limit if this many pages of the stem have it, or this many pages of the corpus and so many times its neighbours.
 LIMIT_STEM, LIMIT_CORPUS, LIMIT_TIMES = 3, 8, 4
 
+#: Characters at the end of a page in which its last sentence or line is looked for; lengths are those of whole pages.
+TAIL = 2000
+
 #: Words before a signature, titles, and forms of a page number.
 SIGNED = r"(?:signed|dictated by|dictated|yours sincerely|yours faithfully|kind regards|typed by|seen by)[:,]?"
 TITLES = frozenset("mr mrs ms dr prof st pt".split())
@@ -63,7 +66,7 @@ def tail_features(text: str, trie: Trie, repair, page_number: str) -> tuple:
 
     form: `broken`, `sentence`, `signature`, `list`, `result`, `table`, `number` or `open`.
     """
-    s = text.rstrip()
+    s = text.rstrip()[-TAIL:]
     bare = CLOSERS.sub("", s) if s[-1] in ">}`|])*_\"'”’" else s
     six = TOKENS.findall(s[-160:])[-6:]
     words = six[-3:]
