@@ -229,7 +229,7 @@ def _one(text: str, node: Node) -> str:
             if name in ("td", "th"):
                 return f" {inside.strip()} |"
             if name == "tr":
-                return f"\n|{inside.strip()}" if not inside.strip().startswith("|") else f"\n{inside.strip()}"
+                return f"\n| {inside.strip()}" if not inside.strip().startswith("|") else f"\n{inside.strip()}"
             if name in ("pre", "code"):
                 return f"\n```\n{inside.strip()}\n```\n" if name == "pre" else f"`{inside.strip()}`"
             if name in ("script", "style", "head"):
