@@ -117,6 +117,19 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, most: int, key: str = "page_key") -> DataFrame:
+    """At most `most` different rows, those whose key's hash comes first; the same on every run.
+
+    A hash threshold that leaves about twice as many rows is applied where the rows are read, so that the sort sees a
+    bounded number of rows, whatever the table's size.
+    """
+    n = rows.count()
+    first = F.xxhash64(key)
+    if n > 2 * most:
+        rows = rows.where(F.pmod(first, F.lit(1 << 30)) < int((1 << 30) * 2 * most / n))
+    return rows.distinct().orderBy(F.pmod(first, F.lit(1 << 30)), *rows.columns).limit(most)
+
+
 class Lexicon:
     """What the corpus says about words: surfaces (white-space tokens), words, and how misread words were printed.
 

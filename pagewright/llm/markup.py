@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_sample
+
 #: Labelled pages that the potentials are fitted on, at most.
 FIT_PAGES = 5_000
 
@@ -284,8 +286,7 @@ def texts_of(pages: DataFrame, corpus: DataFrame) -> DataFrame:
 
 def fitted(pages: DataFrame, corpus: DataFrame, most: int = FIT_PAGES) -> dict:
     """The model, from at most `most` labelled pages with a construct in raw_text (those whose hash comes first)."""
-    raw = corpus.where(F.col("raw_text").rlike(SUSPECT)).select("page_key", "raw_text")
-    sample = raw.orderBy(F.xxhash64("page_key"), "page_key", "raw_text").limit(most)
+    sample = bounded_sample(corpus.where(F.col("raw_text").rlike(SUSPECT)).select("page_key", "raw_text"), most)
     pairs = sample.join(pages.select("page_key", "clean_ocr"), "page_key").select("raw_text", "clean_ocr").toArrow()
     return fit(list(zip(pairs.column(0).to_pylist(), pairs.column(1).to_pylist())))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import EDGE, Lexicon, Repairer, counted, current_rows, frequent, inner_tokens, table, word_of
+from .common import EDGE, Lexicon, Repairer, bounded_sample, counted, current_rows, frequent, inner_tokens, table, word_of
 from .name_variants import near, parse
 
 #: Labelled pages that the weights are fitted on, at most; passes over them; rounds of message passing.
@@ -484,7 +484,7 @@ def element_identifiers(element: str, v: Vocabulary) -> list[tuple[str, str]]:
 def fitted(spark: SparkSession, folder: str, v: Vocabulary, most: int = FIT_PAGES) -> Field:
     """The field, from at most `most` pages with a redacted identifier (those whose key's hash comes first)."""
     audit = table(spark, folder, "audit_trail").where("clean_ocr is not null and size(redacted_entities) > 0 and page_key is not null")
-    sample = audit.select("page_key", "clean_ocr", "redacted_entities").orderBy(F.xxhash64("page_key"), "page_key", "clean_ocr").limit(most)
+    sample = bounded_sample(audit.select("page_key", "clean_ocr", "redacted_entities"), most)
     lists = table(spark, folder, "patient_data_extractor").where("extracted_identifiers is not null").select("page_key", "extracted_identifiers")
     listed = sample.select("page_key").distinct().join(lists, "page_key").groupBy("page_key").agg(F.flatten(F.collect_set("extracted_identifiers")).alias("listed"))
     rows = sample.join(listed, "page_key", "left").select("page_key", "clean_ocr", F.concat("redacted_entities", F.coalesce("listed", F.array())).alias("listed")).toArrow().to_pylist()
