@@ -38,11 +38,12 @@ STREET = "Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Close|Cl|Crescent|Cres|Terrace|Te
 HOUSE = "House|Cottage|Lodge|View|Dairy|Farm|Barn|Villa|Hall|Manor|Mill|Grange|Rectory|Vicarage|Bungalow|Gate"
 
 POSTCODE = r"[A-Z]{1,2}\d{1,2}[A-Z]?\s?\d[A-Z]{2}"
-TOWN = r"[A-Z][a-z]+(?:-[a-z]+)*"
-ADDRESS = re.compile(
-    rf"(?<![\w/.-])(?:(?:Flat\s+\d+[a-z]?,?\s+)?\d{{1,4}}[a-z]?,?\s+|(?:The\s+)?[A-Z][a-z]+\s+(?:{HOUSE}),\s+)(?:[A-Z][a-z]+\s+){{1,2}}?(?:{STREET})\b(?P<comma>\.?,?)\s+(?P<town>{TOWN})(?:[,.]?\s+(?P<post>{POSTCODE})\b)?",
-    re.I,
-)
+_REST = rf"(?:[A-Za-z]+\s+){{1,2}}?(?i:{STREET})\b(?P<comma>\.?,?)\s+(?P<town>[A-Za-z]+(?:-[A-Za-z]+)*)(?:[,.]?\s+(?P<post>(?i:{POSTCODE}))\b)?"
+#: Addresses that begin with a number, and those that begin with a house's name; a flat may stand before the number.
+NUMBERED = re.compile(rf"(?<![\w/.-])\d{{1,4}}[A-Za-z]?,?\s+{_REST}")
+NAMED = re.compile(rf"(?<![\w/.-])(?:(?i:The)\s+)?[A-Za-z]+\s+(?i:{HOUSE}),\s+{_REST}")
+HOUSES = tuple(HOUSE.lower().split("|"))
+FLAT = re.compile(r"(?i:\bFlat)\s+\d+[A-Za-z]?,?\s+$")
 EMAIL = re.compile(r"(?<![\w.+'-])[\w.+'-]{0,64}\w\s?(?:@|\(at\)|\[at\])\s?[\w-]+(?:(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?)[\w-]+)+", re.I)
 NUMBER = re.compile(
     r"(?<![\w/.+-])(?:(?P<phone>(?:(?:\+|00)44[\s.-]?(?:\(0\)[\s.-]?)?\d{2,5}|\(0\d{2,4}\)|0\d{2,4})(?:[\s.-]?\d{3,6}){1,3}|\+\d{1,3}[\s.-]?\d{2,4}(?:[\s.-]?\d{3,4}){2,3})"
@@ -116,11 +117,13 @@ def recognised(text: str, words: dict[str, int]) -> tuple[list[tuple[int, int, s
     sure: list[tuple[int, int, str]] = []
     if "@" in text or "at)" in text or "at]" in text:
         sure += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
-    for m in ADDRESS.finditer(text):
-        town = m["town"].lower()
-        if m["post"] is None and (town in words or not m["comma"]) or BLANK_LINE.search(m[0]):
+    for m in (*NUMBERED.finditer(text), *(NAMED.finditer(text) if any(part[-12:].lower().endswith(HOUSES) for part in text.split(",")) else ())):
+        start, town = m.start(), m["town"].lower()
+        if flat := FLAT.search(text, max(0, start - 24), start):
+            start = flat.start()
+        if m["post"] is None and (town in words or not m["comma"]) or BLANK_LINE.search(text[start : m.end()]):
             continue
-        sure.append((m.start(), m.end() if m["post"] else m.end("town"), "address"))
+        sure.append((start, m.end() if m["post"] else m.end("town"), "address"))
     numbers = []
     for m in NUMBER.finditer(text):
         kind, digits = m.lastgroup, re.sub(r"\D", "", m[0])
@@ -141,7 +144,7 @@ def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int,
     """(nodes, sure spans, spans of all tokens) of a text."""
     sure, numbers = recognised(text, v.words)
     taken = sorted([(a, b) for a, b, _ in sure] + [(a, b) for a, b, _ in numbers])
-    spans = [m.span() for m in TOKEN.finditer(text)]
+    spans = list(map(re.Match.span, TOKEN.finditer(text)))
     nodes: list[Node] = []
 
     def cue(at: int) -> str:
