@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 RUN = 6
 WORDS = re.compile(r"[^\W\d_]+")
 RULES = ("runs", "vocabulary", "sentences", "compression", "top_run")
@@ -126,7 +128,7 @@ def repetition(pages: DataFrame) -> DataFrame:
     3**5 rows.
     """
     names = [f"vote_{r}" for r in RULES]
-    votes = page_votes(pages)
+    votes = written(page_votes(pages), "page-votes")  # read twice: for the patterns and for the result
     spark = pages.sparkSession
     found = [(tuple(row[n] for n in names), row["pages"]) for row in votes.where("n_words > 0").groupBy(*names).agg(F.count("*").alias("pages")).collect()]
     model = fit_rules(found)
