@@ -274,6 +274,16 @@ def list_cells(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "page_metadata").select("page_key", strings.list_cell(F.col("removed_info")).alias("cell")).distinct()
 
 
+def redacted_words(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _audit(spark, folder, "clean_ocr", "final_llm_scrubbed").where("clean_ocr is not null")
+    before, after = (F.array_distinct(strings.word_tokens(F.lower(F.coalesce(c, F.lit(""))))) for c in ("clean_ocr", "final_llm_scrubbed"))
+    return rows.select("page_key", F.array_join(F.array_sort(F.array_except(before, after)), " ").alias("gone"))
+
+
+def control_free(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", strings.control_to_space(F.col("text")).alias("text"))
+
+
 # ---- layout
 
 
@@ -312,6 +322,12 @@ def content_blocks_in_order(spark: SparkSession, folder: str) -> DataFrame:
     return pages.without_empty_labels(rows).select("page_key", "idx", "region_id", "label")
 
 
+def large_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Regions of at least half a per cent of their page that haven't collapsed."""
+    rows = _boxes(spark, folder).where("x1 > x0 and y1 > y0")
+    return rows.where(geometry.area(_box()) >= PAGE_WIDTH * PAGE_HEIGHT * 0.005).select("page_key", "idx", geometry.area(_box()).alias("area"))
+
+
 def line_heights(spark: SparkSession, folder: str) -> DataFrame:
     return _boxes(spark, folder).groupBy("page_key").agg(F.median(F.col("y1") - F.col("y0")).alias("median_height"))
 
@@ -378,6 +394,23 @@ def page_angles(spark: SparkSession, folder: str) -> DataFrame:
     return detection.angles(readings.select("page_key").distinct(), readings.where("patch % 7 = 0"), least=60.0)
 
 
+def _reply(spark: SparkSession, folder: str, field: str, values: tuple[str, ...]) -> DataFrame:
+    """One reply for each event, with the field's value in one of several spellings, by event_id."""
+    spelt = F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("event_id") % len(values)).cast("int") + 1)
+    raw = F.concat(F.lit('Well:\n{"thinking": "seen\n", "'), F.lit(field), F.lit('": '), spelt, F.lit("} so."))
+    return table(spark, folder, "events").select("event_id", raw.alias("raw"))
+
+
+def rotation_replies(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _reply(spark, folder, "rotation_angle", ("90", '"180"', "270.0", "90.5", "45", "null", "true", '" 90 "', '"up"'))
+    return rows.select("event_id", replies.rotation_angle(F.col("raw")).alias("angle"))
+
+
+def spread_replies(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _reply(spark, folder, "is_composite_spread", ("true", '"yes"', "1", "0", "2", '"<boolean>"', '"on"', "null", "false"))
+    return rows.select("event_id", replies.is_spread(F.col("raw")).alias("spread"))
+
+
 def event_windows(spark: SparkSession, folder: str) -> DataFrame:
     rows = windowed(table(spark, folder, "events"))
     return rows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n", F.round("mean_value", 6).alias("mean_value"))

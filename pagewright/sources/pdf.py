@@ -1,8 +1,8 @@
 """A data source of PDF pages: partitions are ranges of pages of files, and page filters reach it.
 
 What a page looks like is the renderer's business: `renderer` names a function `module:function` that takes
-(file content, page number, scale) and returns an image struct.  Without one, rows have sizes' worth of nothing: page
-numbers and totals are right and the image is null.
+(file content, page number, scale) and returns an image struct.  Without one, page numbers and totals are right and the
+image is null.
 """
 
 from __future__ import annotations

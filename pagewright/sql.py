@@ -139,6 +139,14 @@ FROM (SELECT original_file, pages_output, unnest(range(1, pages_output + 1)) AS
     "composite_files": "SELECT original_file, sum(pages_output) > 1 AS composite FROM (SELECT DISTINCT original_file, pages_output FROM preprocess_audit WHERE status = 'SUCCESS' AND pages_output > 0) GROUP BY 1",
     "sanitised_labels": f"""SELECT label, substr(coalesce(nullif({_STRIP.format("replace(regexp_replace(label, '[\\\\/*?:\"<>|\\n\\t]', '', 'g'), ' ', '_')")}, ''), 'unnamed_text'), 1, 40) AS clean FROM (SELECT DISTINCT unnest(removed_info) AS label FROM page_metadata)""",
     "list_cells": "SELECT DISTINCT page_key, CASE WHEN len(removed_info) > 0 THEN array_to_string(removed_info, ', ') ELSE 'None' END AS cell FROM page_metadata",
+    "redacted_words": f"""WITH {_CURRENT}, c AS (SELECT * FROM cur WHERE clean_ocr IS NOT NULL),
+b AS (SELECT DISTINCT page_key, unnest(regexp_extract_all(lower(clean_ocr), {_WORDS})) AS w FROM c), a AS (SELECT DISTINCT page_key, unnest(regexp_extract_all(lower(coalesce(final_llm_scrubbed, '')), {_WORDS})) AS w FROM c),
+g AS (SELECT * FROM b EXCEPT SELECT * FROM a)
+SELECT c.page_key, coalesce(string_agg(g.w, ' ' ORDER BY g.w), '') AS gone FROM c LEFT JOIN g ON c.page_key = g.page_key GROUP BY c.page_key""",
+    "control_free": r"SELECT doc_id, regexp_replace(text, '[\x00-\x1F\x7F]', ' ', 'g') AS text FROM documents",
+    "large_regions": f"WITH {_BOXES} SELECT page_key, idx, (x1 - x0) * (y1 - y0) AS area FROM b WHERE x1 > x0 AND y1 > y0 AND (x1 - x0) * (y1 - y0) >= 1240 * 1754 * 0.005",
+    "rotation_replies": "SELECT event_id, CAST(([90, 180, 270, 0, 0, 0, 0, 90, 0])[event_id % 9 + 1] AS INT) AS angle FROM events",
+    "spread_replies": "SELECT event_id, ([true, true, true, false, false, false, true, false, false])[event_id % 9 + 1] AS spread FROM events",
     "padded_boxes": f"""WITH {_BOXES} SELECT * FROM (SELECT page_key, idx, greatest(0, x0 - 6) AS x0, greatest(0, y0 - 6) AS y0, least(1240, x1 + 6) AS x1, least(1754, y1 + 6) AS y1 FROM b) WHERE x1 > x0 AND y1 > y0""",
     "region_ids": f"""WITH {_BOXES} SELECT page_key, idx, printf('region_%02d_%s', row_number() OVER (PARTITION BY page_key ORDER BY y0, idx) - 1, label) AS region_id FROM b""",
     "content_blocks_in_order": f"""WITH {_BOXES}, n AS (SELECT page_key, idx, label, printf('block_%03d', row_number() OVER (PARTITION BY page_key ORDER BY floor(y0 / 40.0), x0, idx) - 1) AS region_id FROM b)
