@@ -50,29 +50,30 @@ def fuzzy_targets(pages: DataFrame, terms: DataFrame, cutoff: float = 0.85, most
     return found.select("page_key", "target", "clean", "final").distinct()
 
 
-def hits(targets: DataFrame) -> DataFrame:
-    """(page_key, tp, fn) counted over targets."""
-    gone = ~F.contains("final", "target")
-    return targets.groupBy("page_key").agg(F.sum(gone.cast("long")).alias("tp"), F.sum((~gone).cast("long")).alias("fn"))
-
-
-def over_redaction(pages: DataFrame, targets: DataFrame) -> DataFrame:
-    """(page_key, fp, tn) over distinct words of the pages that have ground truth.
+def scores(pages: DataFrame, terms: DataFrame, targets: DataFrame) -> DataFrame:
+    """(page_key, tp, fn, fp, tn) of each page that has ground truth (a semi join; pages without are not scored).
 
-    fp: words that went but belong to no target; tn: the other words that belong to none, at least 0.
+    tp, fn: targets that went from the redacted text, and that stay.  fp: distinct words that went but belong to no
+    target; tn: the other words that belong to none, at least 0.  A page's targets are gathered once and everything is
+    counted in its row, so targets are made once and all steps share the partitioning by page.
     """
-    expected = targets.groupBy("page_key").agg(F.array_distinct(F.flatten(F.collect_set(word_tokens(F.col("target"))))).alias("expected"))
-    words = pages.select("page_key", F.array_distinct(word_tokens(F.lower(F.coalesce("clean_ocr", F.lit(""))))).alias("before"), F.array_distinct(word_tokens(F.lower(F.coalesce("final_llm_scrubbed", F.lit(""))))).alias("after"))
-    full = words.join(expected, "page_key", "left").withColumn("expected", F.coalesce("expected", F.array().cast("array<string>")))
-    fp = F.size(F.array_except(F.array_except("before", "after"), "expected"))
-    return full.select("page_key", fp.cast("long").alias("fp"), F.greatest(F.lit(0), F.size("before") - F.size("expected") - fp).cast("long").alias("tn"))
-
-
-def scores(pages: DataFrame, terms: DataFrame, targets: DataFrame) -> DataFrame:
-    """(page_key, tp, fn, fp, tn) of each page that has ground truth (a semi join; pages without are not scored)."""
+    listed = targets.groupBy("page_key").agg(F.collect_set("target").alias("targets"))
     known = pages.join(page_terms(terms).select("page_key").distinct(), "page_key", "left_semi")
-    both = over_redaction(known, targets).join(hits(targets), "page_key", "left")
-    return both.select("page_key", F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("fn", F.lit(0)).alias("fn"), "fp", "tn")
+    none = F.array().cast("array<string>")
+    texts = known.select("page_key", F.lower(F.coalesce("clean_ocr", F.lit(""))).alias("clean"), F.lower(F.coalesce("final_llm_scrubbed", F.lit(""))).alias("final"))
+    full = texts.join(listed, "page_key", "left").withColumn("targets", F.coalesce("targets", none))
+    words = full.select(
+        "page_key",
+        F.size("targets").alias("n_targets"),
+        F.size(F.filter("targets", lambda t: F.contains(F.col("final"), t))).alias("left"),
+        F.array_distinct(word_tokens(F.col("clean"))).alias("before"),
+        F.array_distinct(word_tokens(F.col("final"))).alias("after"),
+        F.array_distinct(F.flatten(F.transform("targets", word_tokens))).alias("expected"),
+    )
+    fp = F.size(F.array_except(F.array_except("before", "after"), "expected"))
+    counts = words.select("page_key", "n_targets", "left", fp.alias("fp"), F.size("before").alias("n_before"), F.size("expected").alias("n_expected"))
+    tn = F.greatest(F.lit(0), F.col("n_before") - F.col("n_expected") - F.col("fp"))
+    return counts.select("page_key", (F.col("n_targets") - F.col("left")).cast("long").alias("tp"), F.col("left").cast("long").alias("fn"), F.col("fp").cast("long").alias("fp"), tn.cast("long").alias("tn"))
 
 
 def rate(part: Column, rest: Column) -> Column:
