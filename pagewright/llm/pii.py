@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import EDGE, Lexicon, Repairer, bounded_sample, counted, current_rows, frequent, inner_tokens, table, word_of
-from .name_variants import near, parse
+from .name_variants import FORMAL, near, parse
 
 #: Labelled pages that the weights are fitted on, at most; passes over them; rounds of message passing.
 FIT_PAGES, EPOCHS, ROUNDS = 3_000, 40, 4
@@ -32,7 +32,7 @@ LABELS = ("other", "name", "organisation", "identifier")
 #: Titles before names; words that stand before codes; street types; house names.
 TITLES = frozenset("mr mrs ms miss mx dr prof professor sister nurse rev sir dame lady lord master".split())
 NOT_INITIALS = frozenset("PT DR MR MS".split())
-NOT_TRAILING = frozenset("GP NI OT ID NO AM PM IV BP HR RE".split())
+NOT_TRAILING = frozenset("GP NI OT ID NO AM PM IV BP HR RE NHS".split())
 AFTER_NAMES = frozenset("the was is has had at in on to for last this since within after before over during by and with yesterday overnight telephoned rang called".split())
 STREET = "Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Close|Cl|Crescent|Cres|Terrace|Terr|Gardens|Gdns|Drive|Dr|Way|Place|Pl|Court|Ct|Square|Sq|Row|Hill|Grove|Mews|Walk|Park|Green|Parade|Quay"
 HOUSE = "House|Cottage|Lodge|View|Dairy|Farm|Barn|Villa|Hall|Manor|Mill|Grange|Rectory|Vicarage|Bungalow|Gate"
@@ -50,6 +50,7 @@ NUMBER = re.compile(
     r"|(?P<nhs>\d{3}[\s.-]?\d{3}[\s.-]?\d{4})|(?P<ni>[A-Z]{2}[\s-]?\d{2}[\s-]?\d{2}[\s-]?\d{2}[\s-]?[A-D])|(?P<unit>[A-Z]{1,2}[\s-]?\d{6,7}(?:/[A-Z])?))(?![\w/-]|\.\d)"
 )
 BLANK_LINE = re.compile(r"\n\s*\n")
+LAST_GROUP = re.compile(r"[\s.-]+\d+$")
 TOKEN = re.compile(r"\S+")
 INITIALS = re.compile(r"[A-Z]\.?|[A-Z]{2}\.?|(?:[A-Z]\.){2,3}")
 NOT_ALNUM = re.compile(r"[\W_]+")
@@ -107,6 +108,9 @@ def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
     persons = {k[2:]: n for k, n in both.items() if k[0] == "p" and (k[2:] not in lower or n > 0.5 * lex.words.get(k[2:], 1))}
     places = {k[2:]: n for k, n in both.items() if k[0] == "o" and k[2:] not in lower}
     names = persons.keys() | places.keys()
+    for nickname in FORMAL:
+        if nickname not in lex.words:
+            persons.setdefault(nickname, 2)
     words = {w: n for w, n in lex.words.items() if w not in names and re.sub(r"['’]s$", "", w) not in names and w.replace("'", "") not in names}
     usual = frozenset(s for s in lex.usual if word_of(s) in words)
     return Vocabulary(usual, words, persons, places)
@@ -126,17 +130,20 @@ def recognised(text: str, words: dict[str, int]) -> tuple[list[tuple[int, int, s
         sure.append((start, m.end() if m["post"] else m.end("town"), "address"))
     numbers = []
     for m in NUMBER.finditer(text):
-        kind, digits = m.lastgroup, re.sub(r"\D", "", m[0])
+        kind, digits, end = m.lastgroup, re.sub(r"\D", "", m[0]), m.end()
         if kind == "phone":
             own = digits.removeprefix("00").removeprefix("44") if m[0][0] == "+" or digits.startswith("0044") else digits
             own = own.lstrip("0")
+            while len(own) > 10 and (cut := LAST_GROUP.search(text, m.start(), end)):  # digits of what follows
+                end = cut.start()
+                own = own[: len(own) - len(re.sub(r"\D", "", cut[0]))]
             if not 9 <= len(own) <= 10:
                 if len(digits) != 10 or digits[0] == "0" and not valid_nhs(digits):
                     continue
                 kind = "nhs"
-        if any(a < m.end() and m.start() < b for a, b, _ in sure):
+        if any(a < end and m.start() < b for a, b, _ in sure):
             continue
-        numbers.append((m.start(), m.end(), kind))
+        numbers.append((m.start(), end, kind))
     return sure, numbers
 
 
@@ -150,6 +157,11 @@ def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int,
     def cue(at: int) -> str:
         return word_of(text[spans[at][0] : spans[at][1]]) if 0 <= at < len(spans) else "^"
 
+    def context(at: int) -> str:
+        """The word before a name; what ends another sentence says nothing about it."""
+        word = cue(at)
+        return "." if word not in TITLES and 0 <= at < len(spans) and text[spans[at][1] - 1] in ".!?" else word
+
     if numbers:
         starts = {a: k for k, (a, _) in enumerate(spans)}
         for a, b, kind in numbers:
@@ -206,10 +218,10 @@ def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int,
         q = k + 1
         while q in core or (q < len(spans) and _is_initials(text[spans[q][0] : spans[q][1]])):
             q += 1
-        left = cue(p) if p >= 0 and "\n" not in text[spans[p][1] : spans[p + 1][0]] else "^ " + cue(p)
+        left = context(p) if p >= 0 and "\n" not in text[spans[p][1] : spans[p + 1][0]] else "^ " + context(p)
         features = [
             f"source {source}", f"shape {shape}", f"source {source} {shape}", f"end {stem[-4:]}", f"start {stem[:4]}", f"left {left}", f"right {cue(q)}", f"title {title}", f"initial {initial}",
-            f"length {min(q - p - 1, 4)} {source}", f"near {cue(k - 1) if k - 1 not in core else '*'} {cue(k + 1) if k + 1 not in core else '*'}", f"next {cue(k + 1) if k + 1 not in core else '*'}",
+            f"length {min(q - p - 1, 4)} {source}", f"near {context(k - 1) if k - 1 not in core else '*'} {cue(k + 1) if k + 1 not in core else '*'}", f"next {cue(k + 1) if k + 1 not in core else '*'}",
         ]
         nodes.append(Node(a, b, "word", stem, features, linked, k, run))
         before = k
@@ -339,7 +351,7 @@ def fit(documents: list[tuple[str, list[str]]], v: Vocabulary) -> Field:
                 p /= p.sum(1, keepdims=True)
                 gradient = np.zeros_like(weights)
                 np.add.at(gradient, c, (p - truth)[r])
-                gradient += 0.05 * weights
+                gradient += 0.3 * weights
                 squares += gradient**2
                 weights -= 0.5 * gradient / np.sqrt(squares)
             if again < RELABELLED:
@@ -380,13 +392,14 @@ def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple
     def trailing(j: int) -> bool:
         """Whether initials may follow the surname here: on its line, not an article, not the label of a number."""
         s = surface(j)
-        if "\n" in text[spans[j - 1][1] : spans[j][0]] or _digits_follow(text, spans, j):
+        if "\n" in text[spans[j - 1][1] : spans[j][0]] and "." not in s or _digits_follow(text, spans, j):
             return False
         if s == "A" and surface(j + 1)[:1].islower():  # an article, unless what follows can't stand after one
             return surface(j + 1) in AFTER_NAMES
         return s.strip(",.").replace(".", "") not in NOT_TRAILING
 
     person = {node.at for node, label in zip(nodes, labels) if node.kind == "word" and label == 1}
+    taken = [(node.start, node.end) for node in nodes if node.kind != "word"]
     out, done = [], -1
     for k in sorted(person):
         if k <= done:
@@ -410,7 +423,7 @@ def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple
             if last == k or first == j:
                 parts, last = [k], k
         elif not ends(k):
-            while j < len(spans) and len(parts) < 4 and not (len(parts) > 1 and parts[-1] in person and "\n" in text[spans[j - 1][1] : spans[j][0]]) and (j in person or (_is_initials(surface(j)) and (j + 1 in person or len(parts) == 1 and not fronted and trailing(j)))):
+            while j < len(spans) and len(parts) < 4 and not ((len(parts) > 1 or fronted) and parts[-1] in person and ("\n" in text[spans[j - 1][1] : spans[j][0]] or j not in person and sum(x in person for x in parts) > 1)) and (j in person or (_is_initials(surface(j)) and (j + 1 in person or len(parts) == 1 and not fronted and trailing(j)))):
                 parts.append(j)
                 last = j
                 j += 1
@@ -419,7 +432,7 @@ def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple
         p = k - 1
         front = []
         if not comma or last == k:
-            while p >= 0 and len(front) < 3 and _is_initials(surface(p)) and not surface(p).endswith((",", ";", ":")) and p > done:
+            while p >= 0 and len(front) < 3 and _is_initials(surface(p)) and not surface(p).endswith((",", ";", ":")) and p > done and not any(a < spans[p][1] and spans[p][0] < b for a, b in taken):
                 front.insert(0, p)
                 p -= 1
             if p >= 0 and title(p):
@@ -441,7 +454,8 @@ def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple
 
 
 def _digits_follow(text: str, spans: list[tuple[int, int]], k: int) -> bool:
-    return k + 1 < len(spans) and bool(re.match(r"[+(]?\d", text[spans[k + 1][0] : spans[k + 1][1]]))
+    """Whether a phone number follows on the line, so that a letter is its label."""
+    return k + 1 < len(spans) and "\n" not in text[spans[k][1] : spans[k + 1][0]] and bool(re.match(r"[+(]?0|\+\d", text[spans[k + 1][0] : spans[k + 1][1]]))
 
 
 def identifiers(texts: list[str], v: Vocabulary, field: Field) -> list[list[tuple[int, int, str, str]]]:
