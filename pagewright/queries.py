@@ -371,7 +371,7 @@ def gutters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def patch_boxes(spark: SparkSession, folder: str) -> DataFrame:
-    return detection.patches(_sizes(spark, folder), most=10)
+    return detection.patches(_sizes(spark, folder))
 
 
 # ---- orientation
