@@ -19,6 +19,8 @@ FLUSH_TOKENS = 400_000
 #: A token enters the frequent vocabulary only with at least 1/MAX_FREQUENT of all occurrences, so that the
 #: vocabulary can never hold more than MAX_FREQUENT tokens, whatever the corpus.  That bounds every broadcast of it.
 MAX_FREQUENT = 200_000
+#: Listed name words are collected up to this many, else only those are looked up that a vocabulary or a page needs.
+BROADCAST_NAMES = 200_000
 #: Words that occur less often than this are never taken for known, however small the corpus.
 MIN_COUNT = 5
 
@@ -99,6 +101,12 @@ def frequent(counts: DataFrame, most: int = MAX_FREQUENT, least: int = MIN_COUNT
         counts.unpersist()
 
 
+def looked_up(counts: DataFrame, tokens: Iterable[str]) -> dict[str, int]:
+    """The numbers of the given tokens in the (token, n) table, which may be of any size."""
+    asked = counts.sparkSession.createDataFrame(pa.table({"token": pa.array(sorted(set(tokens)), pa.string())}))
+    return {r.token: r.n for r in counts.join(asked, "token").collect()}
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder of the cluster, so that they are made once and survive executors.
 
@@ -154,12 +162,18 @@ class Lexicon:
         return sorted(w for w in self.words if "'" not in w and "’" not in w and not self.repair(w))
 
 
-def entity_words(spark: SparkSession, folder: str) -> frozenset[str]:
-    """Frequent words of the elements that redaction and extraction listed and that hold no digit or @."""
+def entity_words(spark: SparkSession, folder: str, among: Iterable[str] = ()) -> frozenset[str]:
+    """Words listed three times in the elements of redaction and extraction that hold no digit or @.
+
+    Beyond BROADCAST_NAMES of them, those that are `among` the given words.
+    """
     lists = table(spark, folder, "audit_trail").select(F.explode("redacted_entities").alias("e"))
     lists = lists.unionByName(table(spark, folder, "patient_data_extractor").select(F.explode("extracted_identifiers").alias("e")))
     plain = lists.where(~F.col("e").rlike(r"[0-9@]|\bat\b"))
-    return frozenset(frequent(counted(plain, str.split, word_of), least=3))
+    counts = written(counted(plain, str.split, word_of).where("n >= 3"), "entity-words")
+    if counts.count() <= BROADCAST_NAMES:
+        return frozenset(r.token for r in counts.collect())
+    return frozenset(looked_up(counts, among))
 
 
 BREAK = re.compile(r"[-‐‑¬\xad][ \t]*\n")
@@ -201,7 +215,8 @@ def inner_tokens(text: str) -> list[str]:
 def lexicon(spark: SparkSession, folder: str) -> Lexicon:
     """Counts over all rows of audit_trail.clean_ocr; runs no shuffle but that of the counts."""
     texts = table(spark, folder, "audit_trail").select("clean_ocr")
-    return Lexicon(frequent(counted(texts, inner_tokens)), entity_words(spark, folder))
+    surfaces = frequent(counted(texts, inner_tokens))
+    return Lexicon(surfaces, entity_words(spark, folder, map(word_of, surfaces)))
 
 
 LETTERS = re.compile(r"[^\W\d_]+")

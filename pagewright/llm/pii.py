@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import EDGE, Lexicon, Repairer, bounded_sample, counted, current_rows, frequent, inner_tokens, table, word_of
+from . import common
+from .common import EDGE, Lexicon, Repairer, bounded_sample, counted, current_rows, frequent, inner_tokens, looked_up, table, word_of, written
 from .name_variants import FORMAL, near, parse
 
 #: Labelled pages that the weights are fitted on, at most; passes over them; rounds of message passing.
@@ -78,12 +79,22 @@ class Node:
 
 
 class Vocabulary:
-    """Ordinary words and surfaces, and words of names of persons and organisations with their numbers; all bounded."""
+    """Ordinary words and surfaces, and words of names of persons and organisations with their numbers; all bounded.
 
-    def __init__(self, usual: frozenset[str], words: dict[str, int], persons: dict[str, int], places: dict[str, int]):
-        self.usual, self.words, self.persons, self.places = usual, words, persons, places
+    Listed words beyond the bound stay in the table `rest` (token, n), and `beside` takes in those that a text needs.
+    """
+
+    def __init__(self, usual: frozenset[str], words: dict[str, int], persons: dict[str, int], places: dict[str, int], rest: DataFrame | None = None):
+        self.usual, self.words, self.persons, self.places, self.rest = usual, words, persons, places, rest
         self.repair = Repairer(words)
 
+    def beside(self, own: dict[str, int]) -> Vocabulary:
+        """The same with further listed words, given as `p word` or `o word`."""
+        persons, places = ({k[2:]: n for k, n in own.items() if k[0] == kind} for kind in "po")
+        more = Vocabulary(self.usual, self.words, self.persons | persons, self.places | places)
+        more.repair = self.repair
+        return more
+
     def parts(self) -> tuple:
         return self.usual, self.words, self.persons, self.places
 
@@ -99,8 +110,16 @@ def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
             return []
         return [f"{found[0][0]} {w}" for w in (found[1] + " " + found[2]).split() if len(w) > 2]
 
-    both = frequent(counted(lists, tagged), least=2)
+    listed = written(counted(lists, tagged).where("n >= 2"), "listed-words")
     lex = Lexicon(frequent(counted(audit.select("clean_ocr"), inner_tokens)))
+    if listed.count() <= common.BROADCAST_NAMES:
+        both, rest = {r.token: r.n for r in listed.collect()}, None
+    else:
+        # what the words of the corpus decide is decided here; other listed words are names whatever the corpus says
+        asked = {x for w in lex.words for x in (w, re.sub(r"['’]s$", "", w), w.replace("'", ""))} | FORMAL.keys()
+        tokens = [f"{kind} {w}" for w in asked for kind in "po"]
+        both = looked_up(listed, tokens)
+        rest = listed.join(spark.createDataFrame(pa.table({"token": pa.array(tokens, pa.string())})), "token", "left_anti")
     lower: dict[str, int] = {}
     for surface in lex.usual:
         if surface.strip(EDGE)[:1].islower():
@@ -113,7 +132,46 @@ def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
             persons.setdefault(nickname, 2)
     words = {w: n for w, n in lex.words.items() if w not in names and re.sub(r"['’]s$", "", w) not in names and w.replace("'", "") not in names}
     usual = frozenset(s for s in lex.usual if word_of(s) in words)
-    return Vocabulary(usual, words, persons, places)
+    return Vocabulary(usual, words, persons, places, rest)
+
+
+def name_form(surface: str) -> str | None:
+    """The form in which a token is looked up among listed words; None of what can't be a name's word."""
+    bare = surface.strip(EDGE)
+    if len(bare) < 3 or not bare.replace("'", "").replace("’", "").replace(".", "").isalpha():
+        return None
+    return re.sub(r"['’]s$", "", bare.lower()).replace("'", "").replace("’", "")
+
+
+def needed(text: str, usual: frozenset[str]) -> set[str]:
+    """The words that nodes_of looks up among listed words."""
+    forms = {form for surface in set(TOKEN.findall(text)) - usual if (form := name_form(surface))}
+    return forms | {form[:-1] for form in forms if form[-1] == "s"}
+
+
+def with_listed(pages: DataFrame, v: Vocabulary, *fields: str) -> DataFrame:
+    """(page_key, *fields), and if listed words were left in a table `own`: those that the page needs, with their numbers."""
+    pages = pages.select("page_key", *fields)
+    if v.rest is None:
+        return pages
+    sent = pages.sparkSession.sparkContext.broadcast(v.usual)
+
+    def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)))
+            pairs = [(key, w) for key, *texts in rows for w in set().union(*(needed(t, sent.value) for t in texts if t))]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], ["page_key", "word"])
+
+    rest = v.rest.select(F.substring_index("token", " ", -1).alias("word"), F.struct("token", "n").alias("entry"))
+    own = pages.mapInArrow(needs, "page_key string, word string").join(rest, "word").groupBy("page_key").agg(F.collect_set("entry").alias("own"))
+    return pages.join(own, "page_key", "left").select("page_key", *fields, "own")
+
+
+def _beside(v: Vocabulary, batch: pa.RecordBatch) -> Vocabulary:
+    """The vocabulary with the listed words that the rows of a batch of `with_listed` brought along."""
+    if "own" not in batch.schema.names:
+        return v
+    return v.beside({x["token"]: x["n"] for row in batch.column("own").to_pylist() for x in row or ()})
 
 
 def recognised(text: str, words: dict[str, int]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
@@ -183,11 +241,10 @@ def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int,
             t += 1
         if t < len(taken) and taken[t][0] < b:
             continue
-        bare = surface.strip(EDGE)
-        if len(bare) < 3 or not bare.replace("'", "").replace("’", "").replace(".", "").isalpha():
+        stem = name_form(surface)
+        if stem is None:
             continue
-        word = bare.lower()
-        stem = re.sub(r"['’]s$", "", word).replace("'", "").replace("’", "")
+        word = word_of(surface)
         person, place = v.persons.get(stem, 0), v.places.get(stem, 0)
         if not place and stem.endswith("s"):
             place = v.places.get(stem[:-1], 0)
@@ -506,6 +563,8 @@ def fitted(spark: SparkSession, folder: str, v: Vocabulary, most: int = FIT_PAGE
     listed = sample.select("page_key").distinct().join(lists, "page_key").groupBy("page_key").agg(F.flatten(F.collect_set("extracted_identifiers")).alias("listed"))
     rows = sample.join(listed, "page_key", "left").select("page_key", "clean_ocr", F.concat("redacted_entities", F.coalesce("listed", F.array())).alias("listed")).toArrow().to_pylist()
     rows.sort(key=lambda r: (r["page_key"], r["clean_ocr"]))
+    if v.rest is not None:
+        v = v.beside(looked_up(v.rest, [f"{kind} {w}" for r in rows for w in needed(r["clean_ocr"], v.usual) for kind in "po"]))
     return fit([(r["clean_ocr"], [x for x in r["listed"] if x]) for r in rows], v)
 
 
@@ -524,15 +583,16 @@ def found_in_pages(pages: DataFrame, v: Vocabulary, field: Field, fields: tuple[
                 part = batch.slice(start, 2000)
                 keys = part.column(0).to_pylist()
                 out: tuple[list, ...] = ([], [], [], [])
+                words = _beside(own, part)
                 for c, name in enumerate(fields, 1):
                     here = [(k, t) for k, t in zip(keys, part.column(c).to_pylist()) if t]
-                    for (key, _), found in zip(here, identifiers([t for _, t in here], own, crf)):
+                    for (key, _), found in zip(here, identifiers([t for _, t in here], words, crf)):
                         for kind, val in dict.fromkeys((kind, val) for _, _, kind, val in found if val):
                             for x, value in zip(out, (key, name, kind, val)):
                                 x.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], ["page_key", "field", "kind", "val"])
 
-    return pages.select("page_key", *fields).mapInArrow(run, ROWS)
+    return with_listed(pages, v, *fields).mapInArrow(run, ROWS)
 
 
 def found_in_lists(extractor: DataFrame, v: Vocabulary) -> DataFrame:
@@ -567,14 +627,14 @@ def scrubbed(pages: DataFrame, v: Vocabulary, field: Field, column: str = "clean
         for batch in batches:
             texts = batch.column(1).to_pylist()
             made = []
-            for text, found in zip(texts, identifiers([t or "" for t in texts], own, crf)):
+            for text, found in zip(texts, identifiers([t or "" for t in texts], _beside(own, batch), crf)):
                 if text is not None:
                     for a, b, kind, _ in reversed(found):
                         text = f"{text[:a]}[{kind.upper()}]{text[b:]}"
                 made.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(made, pa.string())], ["page_key", "text"])
 
-    return pages.select("page_key", column).mapInArrow(run, "page_key string, text string")
+    return with_listed(pages, v, column).mapInArrow(run, "page_key string, text string")
 
 
 def all_identifiers(spark: SparkSession, folder: str) -> DataFrame:
