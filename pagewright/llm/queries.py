@@ -13,6 +13,12 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
     return current_rows(table(spark, folder, "audit_trail"), "clean_ocr")
 
 
+def _raw_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(page_key, clean_ocr): every different raw_text of a page_key, under the name that the operators read."""
+    rows = table(spark, folder, "corpus_dict").where("page_key is not null")
+    return rows.select("page_key", F.col("raw_text").alias("clean_ocr")).distinct()
+
+
 def p1_truncation(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.truncation(_pages(spark, folder), lexicon(spark, folder))
 
@@ -72,6 +78,11 @@ def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
     return scan_repair.repaired_pages(_pages(spark, folder), every, lexicon(spark, folder))
 
 
+def p5_repaired_raw(spark: SparkSession, folder: str) -> DataFrame:
+    raw = _raw_texts(spark, folder)
+    return scan_repair.repaired_pages(raw, raw, lexicon(spark, folder))
+
+
 def p6_variants(spark: SparkSession, folder: str) -> DataFrame:
     return name_variants.variants(table(spark, folder, "patient_data_extractor"), table(spark, folder, "audit_trail"))
 
@@ -90,6 +101,11 @@ def p7_clean(spark: SparkSession, folder: str) -> DataFrame:
     return markup.clean_pages(pages, markup.fitted(pages, table(spark, folder, "corpus_dict")))
 
 
+def p7_clean_raw(spark: SparkSession, folder: str) -> DataFrame:
+    model = markup.fitted(_pages(spark, folder), table(spark, folder, "corpus_dict"))
+    return markup.clean_pages(_raw_texts(spark, folder), model)
+
+
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", "text")
 

@@ -120,30 +120,36 @@ def scan_faults(pages: DataFrame, lex: Lexicon) -> DataFrame:
     Null, empty and blank texts have no faults.  A page-number line counts if its number is the page's, or if it keeps
     one distance to the page's number on at least SEQUENCE pages of the stem (counted by stem and distance).
     """
+    return faults_by_text(pages, lex).drop("version")
+
+
+def faults_by_text(pages: DataFrame, lex: Lexicon) -> DataFrame:
+    """The same with `version`, which tells the texts of one page_key apart where it has several."""
     sent = pages.sparkSession.sparkContext.broadcast((lex.words, lex.names, lex.usual))
-    names = ["page_key", "fault", "line_no", "word", "offset", "edge"]
+    names = ["page_key", "fault", "line_no", "word", "version", "offset", "edge"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fixer = Fixer(*sent.value)
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
+            for key, text, version in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if not text:
                     continue
                 for fault, line, word in faults(text, fixer):
-                    for x, v in zip(out, (key, fault, line, word, None, None)):
+                    for x, v in zip(out, (key, fault, line, word, version, None, None)):
                         x.append(v)
                 own = key.rsplit("_page_", 1)[-1]
                 for line, number, edge in line_numbers(text):
-                    for x, v in zip(out, (key, "page_number", line, "", int(own) - number if own.isdigit() else None, edge)):
+                    for x, v in zip(out, (key, "page_number", line, "", version, int(own) - number if own.isdigit() else None, edge)):
                         x.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()))], names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()))], names)
 
-    rows = written(pages.mapInArrow(run, "page_key string, fault string, line_no long, word string, offset long, edge boolean").withColumn("stem", stem_of()), "scan-faults")
+    texts = pages.select("page_key", "clean_ocr", F.xxhash64("clean_ocr").alias("version"))
+    rows = written(texts.mapInArrow(run, "page_key string, fault string, line_no long, word string, version long, offset long, edge boolean").withColumn("stem", stem_of()), "scan-faults")
     numbers = rows.where("fault = 'page_number'")
     steady = numbers.where("edge and offset is not null").groupBy("stem", "offset").agg(F.countDistinct("page_key").alias("n")).where(F.col("n") >= SEQUENCE)
     numbers = numbers.join(steady, ["stem", "offset"], "left").where((F.col("offset") == 0) | (F.col("edge") & F.col("n").isNotNull()))
-    return rows.where("fault != 'page_number'").select(*names[:4]).unionByName(numbers.select(*names[:4]))
+    return rows.where("fault != 'page_number'").select(*names[:5]).unionByName(numbers.select(*names[:5]))
 
 
 def repaired(text: str | None, number_lines: list[int], matcher: Matcher | None, fixer: Fixer) -> str | None:
@@ -193,13 +199,13 @@ def repaired(text: str | None, number_lines: list[int], matcher: Matcher | None,
 
 
 def repaired_pages(pages: DataFrame, every_row: DataFrame, lex: Lexicon) -> DataFrame:
-    """(page_key, text) of all current pages (page_key, clean_ocr); null stays null, blank becomes ''."""
+    """(page_key, text) of all pages (page_key, clean_ocr), where a page_key may have several texts; null stays null, blank becomes ''."""
     spark = pages.sparkSession
-    numbers = scan_faults(pages, lex).where("fault = 'page_number'").groupBy("page_key").agg(F.collect_set("line_no").alias("number_lines"))
+    numbers = faults_by_text(pages, lex).where("fault = 'page_number'").groupBy("page_key", "version").agg(F.collect_set("line_no").alias("number_lines"))
     edges = written(candidates(every_row.select(stem_of().alias("stem"), "clean_ocr")), "edge-lines")
     size = edges.agg(F.sum(F.size("wordings"))).first()[0] or 0
     small = size <= BROADCAST_EDGES
-    full = pages.select("page_key", stem_of().alias("stem"), "clean_ocr").join(numbers, "page_key", "left")
+    full = pages.select("page_key", stem_of().alias("stem"), "clean_ocr", F.xxhash64("clean_ocr").alias("version")).join(numbers, ["page_key", "version"], "left")
     sent = spark.sparkContext.broadcast({r.stem: r.wordings for r in edges.collect()} if small else {})
     if not small:
         full = full.join(edges, "stem", "left").select("page_key", "stem", "clean_ocr", "number_lines", "wordings")

@@ -25,3 +25,16 @@ def test_listed_words_joined(spark, data, monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_NAMES", 0)
     assert pii.vocabulary(spark, data).rest.count() > 0
     assert rows() == broadcast
+
+
+def test_raw_texts_are_repaired_and_cleaned(spark, written_tables):
+    audit = [audit_row("s_page_03", "The wound was clean. " * 20)]
+    corpus = [("s_page_03", "3\nThe wo-\nund was <b>clean</b>.", None, None)] * 2
+    corpus += [("s_page_03", "The wound was <i>clean</i>.\n3", None, None), ("t_page_01", "<b>Only</b> raw", None, None), ("t_page_02", None, None, None), (None, "no key", None, None)]
+    folder = written_tables(audit_trail=audit, corpus_dict=corpus)
+
+    def rows(name):
+        return sorted(((r.page_key, r.text and " ".join(r.text.split())) for r in QUERIES[name](spark, folder).collect()), key=str)
+
+    assert rows("p5_repaired_raw") == [("s_page_03", "The wound was <b>clean</b>."), ("s_page_03", "The wound was <i>clean</i>."), ("t_page_01", "<b>Only</b> raw"), ("t_page_02", None)]
+    assert rows("p7_clean_raw") == [("s_page_03", "3 The wo- und was clean."), ("s_page_03", "The wound was clean. 3"), ("t_page_01", "Only raw"), ("t_page_02", None)]
