@@ -12,7 +12,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Lexicon, Repairer, stem_of, written
@@ -20,7 +20,8 @@ from .common import Lexicon, Repairer, stem_of, written
 #: Pages that must end in the same last words for these to count as a usual end, and their least share: three words in
 #: the corpus or in the stem, two or six words in the corpus; one word by the share of its occurrences that end a page.
 USUAL_END = {"corpus": (12, 0.001), "stem": (3, 0.02), "two": (12, 0.003), "six": (3, 0.0003), "word": (3, 0.1)}
-#: A length is a limit if this many pages of the stem have it, or this many pages of the corpus and so many times its neighbours.
+#: A length is a limit if this many pages of the stem, or of the corpus, have it, and LIMIT_TIMES as many as its
+#: neighbours there have on average.
 LIMIT_STEM, LIMIT_CORPUS, LIMIT_TIMES = 3, 8, 4
 
 #: Characters at the end of a page in which its last sentence or line is looked for; lengths are those of whole pages.
@@ -153,8 +154,10 @@ def truncation(pages: DataFrame, lex: Lexicon) -> DataFrame:
     by_six = rows.groupBy("start", "ends").agg(F.count("*").alias("end_six"))
     opened = rows.where("form = 'open'").groupBy(F.substring_index("ends", " ", -1).alias("one")).agg(F.count("*").alias("end_one"))
     rows = rows.withColumn("two", F.substring_index("ends", " ", -2)).withColumn("one", F.substring_index("ends", " ", -1))
-    lengths = rows.groupBy("stem", "n_chars").agg(F.count("*").alias("len_stem"))
-    byte_lengths = rows.groupBy("stem", "n_bytes").agg(F.count("*").alias("bytes_stem"))
+    # a window holds the different lengths of one stem, not its pages
+    around = lambda n, length: F.sum(n).over(Window.partitionBy("stem").orderBy(length).rangeBetween(-8, 8)) / 17
+    lengths = rows.groupBy("stem", "n_chars").agg(F.count("*").alias("len_stem")).withColumn("len_around", around("len_stem", "n_chars"))
+    byte_lengths = rows.groupBy("stem", "n_bytes").agg(F.count("*").alias("bytes_stem")).withColumn("bytes_around", around("bytes_stem", "n_bytes"))
     per_length = lengths.groupBy("n_chars").agg(F.sum("len_stem").alias("len_all"))
     near = per_length.select(F.explode(F.expr("transform(sequence(-8, 8), d -> n_chars + d)")).alias("n_chars"), F.col("len_all").alias("n"))
     spread = near.groupBy("n_chars").agg((F.sum("n") / 17).alias("len_near"))
@@ -173,7 +176,9 @@ def truncation(pages: DataFrame, lex: Lexicon) -> DataFrame:
     usual = usual | (n["end_six"] >= max(six, six_share * pages_all))
     own = n["end_one"] >= one_share * (n["end_one"] + F.col("inside"))
     usual = usual | ((n["end_one"] >= one) & own & ~F.col("prefix") & (F.length("one") >= 3))
-    at_limit = (F.col("len_stem") >= LIMIT_STEM) | (F.col("bytes_stem") >= LIMIT_STEM) | ((F.col("len_all") >= LIMIT_CORPUS) & (F.col("len_all") >= LIMIT_TIMES * F.col("len_near")))
+    at_limit = (F.col("len_stem") >= LIMIT_STEM) & (F.col("len_stem") >= LIMIT_TIMES * F.col("len_around"))
+    at_limit = at_limit | (F.col("bytes_stem") >= LIMIT_STEM) & (F.col("bytes_stem") >= LIMIT_TIMES * F.col("bytes_around"))
+    at_limit = at_limit | ((F.col("len_all") >= LIMIT_CORPUS) & (F.col("len_all") >= LIMIT_TIMES * F.col("len_near")))
     full = full.withColumn("usual_end", usual).withColumn("at_limit", F.coalesce(at_limit, F.lit(False)))
     open_end = (F.col("form") == "open") & ~F.col("usual_end")
     mid_word = F.col("form").isin("signature", "list", "result") & F.col("prefix") & F.col("at_limit")

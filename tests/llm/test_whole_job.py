@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagewright.llm import common, pii
+from pagewright.llm import common, pii, truncation
 from pagewright.llm.queries import QUERIES
 
 from .conftest import audit_row
@@ -38,3 +38,13 @@ def test_raw_texts_are_repaired_and_cleaned(spark, written_tables):
 
     assert rows("p5_repaired_raw") == [("s_page_03", "The wound was <b>clean</b>."), ("s_page_03", "The wound was <i>clean</i>."), ("t_page_01", "<b>Only</b> raw"), ("t_page_02", None)]
     assert rows("p7_clean_raw") == [("s_page_03", "3 The wo- und was clean."), ("s_page_03", "The wound was clean. 3"), ("t_page_01", "Only raw"), ("t_page_02", None)]
+
+
+def test_length_limits_stand_out_in_a_stem_of_any_size(spark):
+    def pages(stem, lengths):
+        return [(f"{stem}_page_{k:04}", "a" * n) for k, n in enumerate(lengths)]
+
+    big = [n for n in range(200, 300) for _ in range(5)] + [250] * 60
+    rows = spark.createDataFrame(pages("big", big) + pages("small", [700, 700, 700, 720]), "page_key string, clean_ocr string")
+    found = truncation.truncation(rows, common.Lexicon({})).where("at_limit").select("stem", "n_chars").distinct().collect()
+    assert {(r.stem, r.n_chars) for r in found} == {("big", 250), ("small", 700)}
