@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import re
 import shutil
 import tempfile
@@ -11,6 +12,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,24 +109,54 @@ def looked_up(counts: DataFrame, tokens: Iterable[str]) -> dict[str, int]:
     return {r.token: r.n for r in counts.join(asked, "token").collect()}
 
 
+_FOLDERS: set[str] = set()
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder of the cluster, so that they are made once and survive executors.
 
-    The folder is spark.checkpoint.dir.  Only where that is unset (tests, a local session) is a temporary one made.
+    The folder is spark.checkpoint.dir.  Only where that is unset (tests, a local session) is a temporary one made.  The
+    tables lie in a folder of the application, which is deleted when the driver's Python ends; `dropped` deletes one at once.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="pagewright-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/pagewright/{what}-{uuid.uuid4().hex}"
+        folder = _local_folder()
+    own = f"{folder.rstrip('/')}/pagewright/{spark.sparkContext.applicationId}"
+    if own not in _FOLDERS:
+        _FOLDERS.add(own)
+        atexit.register(_deleted, own)
+    path = f"{own}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@functools.cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="pagewright-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def _deleted(path: str) -> None:
+    """Deletes a folder through Hadoop's file systems; does nothing where the JVM is gone."""
+    try:
+        jvm = SparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(at, True)
+    except Exception:  # the driver is ending; what is left then lies in a folder that bears the application's id
+        pass
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes a table that `written` made, once nothing reads it any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if any(path.startswith(own) or own in path for own in _FOLDERS):
+            _deleted(path)
+
+
 def bounded_sample(rows: DataFrame, most: int, key: str = "page_key") -> DataFrame:
     """At most `most` different rows, those whose key's hash comes first; the same on every run.
 

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pagewright.llm import common, pii, truncation
+from itertools import permutations
+from pathlib import Path
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pagewright.llm import common, name_variants, pii, truncation
 from pagewright.llm.queries import QUERIES
 
 from .conftest import audit_row
@@ -48,3 +55,59 @@ def test_length_limits_stand_out_in_a_stem_of_any_size(spark):
     rows = spark.createDataFrame(pages("big", big) + pages("small", [700, 700, 700, 720]), "page_key string, clean_ocr string")
     found = truncation.truncation(rows, common.Lexicon({})).where("at_limit").select("stem", "n_chars").distinct().collect()
     assert {(r.stem, r.n_chars) for r in found} == {("big", 250), ("small", 700)}
+
+
+# ---- 6
+
+
+def _entities(rows) -> set[frozenset]:
+    groups: dict = {}
+    for r in rows:
+        groups.setdefault((r.stem, r.entity), set()).add(r.name)
+    return {frozenset(v) for v in groups.values()}
+
+
+@pytest.mark.parametrize("contracted", [True, False])
+def test_a_chain_of_names_is_one_entity(spark, written_tables, monkeypatch, contracted):
+    if not contracted:  # labels alone must find it as well
+        monkeypatch.setattr(name_variants, "contracted", lambda batches: batches)
+    names = ["quabzefnor"]
+    for k in range(40):  # each name one letter away from the one before, in another place
+        at = 1 + k % 9
+        names.append(names[-1][:at] + chr(ord("a") + (ord(names[-1][at]) - 97 + 7) % 26) + names[-1][at + 1 :])
+    assert len(set(names)) == 41
+    folder = written_tables(patient_data_extractor=[(1, "s", "s_page_01", 0, "t", True, [f"Ann {n.title()}" for n in names], None)])
+    assert [len(g) for g in _entities(QUERIES["p6_variants"](spark, folder).collect())] == [41]
+
+
+def test_hot_keys_are_joined_in_parts(spark, data, monkeypatch):
+    whole = sorted(map(tuple, QUERIES["p6_found"](spark, data).collect()))
+    monkeypatch.setattr(name_variants, "KEY_PART", 1)
+    assert sorted(map(tuple, QUERIES["p6_found"](spark, data).collect())) == whole
+
+
+@given(st.lists(st.sampled_from(["ann", "a", "b", "bob", "robert", "anne", "c"]), max_size=4), st.lists(st.sampled_from(["ann", "a", "r", "bob", "rob", "anna", "c"]), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_alignment_by_brute_force(a, b):
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    best = float("inf")
+    for order in permutations(range(len(long)), len(short)):
+        left = [long[k] for k in range(len(long)) if k not in order]
+        if short and any(len(x) > 1 for x in left) and all(len(x) == 1 for x in short) and order[0] != 0:
+            continue
+        best = min(best, sum(name_variants.given_cost(x, long[k]) + 0.1 * (i != k) for i, (x, k) in enumerate(zip(short, order))))
+    assert name_variants.align(a, b) == pytest.approx(best if short else 2.0 if not long else 3.0)
+
+
+def test_a_person_of_many_stems_is_no_stock_phrase(spark, written_tables):
+    lists = [(k, f"s{k}", f"s{k}_page_01", 0, "t", True, ["Ann Holmen", "Ann Holmmen", "Left Knee", "left knee"], None) for k in range(20)]
+    folder = written_tables(patient_data_extractor=[*lists, (99, "s0", "s0_page_01", 0, "t", True, ["Dr A Holmen"], None)])
+    names = {r.name for r in QUERIES["p6_variants"](spark, folder).collect()}
+    assert names == {"Ann Holmen", "Ann Holmmen", "Dr A Holmen"}
+
+
+def test_tables_of_a_query_are_deleted(spark):
+    rows = common.written(spark.range(3), "t")
+    assert len(rows.inputFiles()) > 0
+    common.dropped(rows)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in rows.inputFiles())
