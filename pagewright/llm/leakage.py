@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -27,6 +27,8 @@ COVERED = 0.5
 DENSITY = 0.8
 #: Item windows are broadcast up to this number (about 60 bytes each); beyond it documents and items are joined on window hashes.
 BROADCAST_WINDOWS = 500_000
+#: Parts to which the documents of one window are dealt in that join.
+SALTS = 8
 
 WORDS = re.compile(r"[^\W_]+")
 
@@ -120,42 +122,67 @@ def best_passage(item: list[str], words: list[str], windows: list[tuple[int, int
     return p2 - p1 + 1, best[2] - best[1] + 1, k1, k2
 
 
+def least_hits(n_words: int) -> int:
+    """Windows of an item of so many words that must be found before it is aligned with a document."""
+    return min(LEAST_HITS, max(1, n_words - WINDOW))
+
+
+def windows_of(words: list[str], size: int = WINDOW) -> Iterator[tuple[str, ...]]:
+    return zip(*(words[i:] for i in range(size)))
+
+
 class Index:
-    """The windows of the items: window -> (item, position)."""
+    """The windows of the items: window -> (item, position).  An item of fewer words than a window is a window itself."""
 
     def __init__(self, items: list[tuple[int, list[str]]]):
         self.words = dict(items)
         self.at: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
         for item, words in items:
-            for k, gram in enumerate(zip(*(words[i:] for i in range(WINDOW)))):
+            for k, gram in enumerate(windows_of(words, min(WINDOW, len(words)))):
                 self.at[gram].append((item, k))
         self.at = dict(self.at)
+        self.sizes = sorted({len(gram) for gram in self.at}) or [WINDOW]
 
     def leaks(self, words: list[str]) -> list[tuple[int, int, int, int]]:
-        """(item, standing words, first, last) of the items of which at least half stands in the document's words."""
+        """(item, standing words, first, last) of every passage that holds at least half of an item's words."""
         hits: dict[int, list[tuple[int, int]]] = {}
         at = self.at
-        for k, gram in enumerate(zip(*(words[i:] for i in range(WINDOW)))):
-            if gram in at:
-                for item, place in at[gram]:
-                    hits.setdefault(item, []).append((k, place))
-        found = []
-        for item, places in hits.items():
-            own = self.words[item]
-            least = min(LEAST_HITS, max(1, len(own) - WINDOW))
-            if len(places) < least:
-                continue
-            for group in _groups(places, 2 * len(own)):
-                # Unharmed windows alone must cover a good part of what is asked for, so that items which share
-                # phrases with the passage don't all have to be aligned.
-                covered = {p + i for _, p in group for i in range(WINDOW)}
-                if len(group) < least or len(covered) < COVERED * SHARE * len(own):
-                    continue
-                span, standing, first, last = best_passage(own, words, group)
-                if span >= SHARE * len(own) and standing >= DENSITY * max(span, last - first + 1):
-                    found.append((item, standing, first, last))
-                    break
-        return found
+        for size in self.sizes:
+            for k, gram in enumerate(windows_of(words, size)):
+                if gram in at:
+                    for item, place in at[gram]:
+                        hits.setdefault(item, []).append((k, place))
+        return [(item, *passage) for item, places in hits.items() for passage in passages(self.words[item], words, places)]
+
+
+def passages(own: list[str], words: list[str], places: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(standing words, first, last) of the passages of one item along its hits; none of them overlap.
+
+    Items shorter than a window count where all their words stand in a row.
+    """
+    if len(own) < WINDOW:
+        end = 0
+        for k, _ in places:
+            if k >= end:
+                end = k + len(own)
+                yield len(own), k, end - 1
+        return
+    least = least_hits(len(own))
+    if len(places) < least:
+        return
+    open_ = _groups(places, 2 * len(own))
+    while open_:
+        group = open_.pop()
+        # Unharmed windows alone must cover a good part of what is asked for, so that items which share phrases with the
+        # passage don't all have to be aligned.
+        covered = {p + i for _, p in group for i in range(WINDOW)}
+        if len(group) < least or len(covered) < COVERED * SHARE * len(own):
+            continue
+        span, standing, first, last = best_passage(own, words, group)
+        if span >= SHARE * len(own) and standing >= DENSITY * max(span, last - first + 1):
+            yield standing, first, last
+            rest = [p for p in group if p[0] + WINDOW <= first], [p for p in group if p[0] > last]
+            open_ += [x for x in rest if x]
 
 
 def _groups(places: list[tuple[int, int]], gap: int) -> list[list[tuple[int, int]]]:
@@ -171,7 +198,7 @@ SCHEMA = "doc_id long, item_id long, standing int, item_words int, first_word in
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, standing, item_words, first_word, last_word) of each document that holds a passage of an item.
+    """(doc_id, item_id, standing, item_words, first_word, last_word), one row for each passage of an item in a document.
 
     documents: (doc_id, text); items: (item_id, item_text).  Null and empty texts leak nothing; items of fewer words
     than a window are looked up whole.  All documents and all windows are scanned.
@@ -203,20 +230,37 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _joined(documents: DataFrame, items: DataFrame, rows) -> DataFrame:
-    """The same for item sets beyond the broadcast bound: candidates by a join on window hashes, then the same verification."""
-
-    def windows(name: str):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                pairs = [(i, " ".join(g)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in [words_of(t)] for g in set(zip(*(w[k:] for k in range(WINDOW))))]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.string())], [name, "gram"])
+    """The same for item sets beyond the broadcast bound: candidates by a join on windows, then the same verification.
 
-        return run
+    A passage's unharmed windows must cover part of the item's words, so a pair shares a window even when windows that
+    together cover less are left out.  Those that stand in the most documents are, which keeps common phrases out of the
+    join and loses no pair.  Documents of one window are dealt to SALTS parts.
+    """
 
-    d = documents.mapInArrow(windows("doc_id"), "doc_id long, gram string")
-    i = items.mapInArrow(windows("item_id"), "item_id long, gram string")
-    near = d.join(i, "gram").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_HITS)
-    pairs = written(near.select("doc_id", "item_id"), "leak-candidates").join(documents, "doc_id").join(items, "item_id").select("doc_id", "text", "item_id", "item_text")
+    def item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = words_of(text)
+                counts = Counter(windows_of(words, min(WINDOW, len(words))))
+                wanted = COVERED * SHARE * len(words) if len(words) >= WINDOW else 0.0
+                found += [(item, " ".join(g), n, wanted) for g, n in counts.items() if g]
+            columns = list(zip(*found)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.float64()))], ["item_id", "gram", "times", "wanted"])
+
+    def document_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(doc, " ".join(g)) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in [words_of(text)] for size in range(1, WINDOW + 1) for g in set(windows_of(w, size))]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string())], ["doc_id", "gram"])
+
+    grams = written(items.mapInArrow(item_windows, "item_id long, gram string, times int, wanted double"), "item-windows")
+    standing = written(documents.mapInArrow(document_windows, "doc_id long, gram string").join(grams.select("gram").distinct(), "gram", "left_semi"), "standing-windows")
+    often = standing.groupBy("gram").agg(F.count("*").alias("n"))
+    words = F.sum(F.col("times") * WINDOW).over(Window.partitionBy("item_id").orderBy(F.desc("n"), "gram").rowsBetween(Window.unboundedPreceding, 0))
+    kept = grams.join(often, "gram").withColumn("words", words).where("words >= wanted")
+    kept = kept.select("item_id", "gram", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = standing.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(kept, ["gram", "salt"]).select("doc_id", "item_id").distinct()
+    pairs = written(met, "leak-candidates").join(documents, "doc_id").join(items, "item_id").select("doc_id", "text", "item_id", "item_text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,8 +275,8 @@ def _joined(documents: DataFrame, items: DataFrame, rows) -> DataFrame:
 
 
 def without_leaks(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, text): all documents, leaked passages replaced by one space; texts are otherwise as they were (folded where a passage went)."""
-    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "last_word")).alias("spans"))
+    """(doc_id, text): all documents, every leaked passage replaced by one space; texts are otherwise as they were (folded where a passage went)."""
+    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("first_word", "last_word")).alias("spans"))
     full = documents.select("doc_id", "text").join(spans, "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,10 +286,25 @@ def without_leaks(documents: DataFrame, found: DataFrame) -> DataFrame:
                 if text and own:
                     text = folded(text)
                     at = [(m.start(), m.end()) for m in WORDS.finditer(text.translate(SKELETON))]
-                    for first, last in sorted(((s["first_word"], s["last_word"]) for s in own), reverse=True):
-                        if first < len(at):
-                            text = text[: at[first][0]].rstrip() + " " + text[at[min(last, len(at) - 1)][1] :].lstrip(" .;:,")
+                    kept, upto = [], 0
+                    for first, last in _united([(s["first_word"], s["last_word"]) for s in own]):
+                        kept.append(text[upto : at[first][0]].rstrip())
+                        upto = at[last][1]
+                        while upto < len(text) and text[upto] in " .;:,":
+                            upto += 1
+                    text = " ".join([*kept, text[upto:]])
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return full.mapInArrow(run, "doc_id long, text string")
+
+
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(spans):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(last, out[-1][1])
+        else:
+            out.append((first, last))
+    return out

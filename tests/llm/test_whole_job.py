@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from itertools import permutations
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm import common, name_variants, pii, truncation
+from pagewright.llm import common, leakage, name_variants, pii, truncation
 from pagewright.llm.queries import QUERIES
 
 from .conftest import audit_row
@@ -111,3 +112,47 @@ def test_tables_of_a_query_are_deleted(spark):
     assert len(rows.inputFiles()) > 0
     common.dropped(rows)
     assert not any(Path(f.removeprefix("file://")).exists() for f in rows.inputFiles())
+
+
+# ---- 9
+
+
+def _leak_tables(written_tables):
+    rng = random.Random(4)
+    pool = [f"w{k}{chr(97 + k % 26)}" for k in range(400)]
+    items = {n: [f"q{n}x{k}" for k in range(n)] for n in range(1, 7)}  # short items, each of its own words
+    items |= {10 + k: rng.choices(pool[:40], k=rng.choice([8, 14, 40, 90])) for k in range(12)}  # of words that repeat
+    docs, filler = {}, lambda: rng.choices(pool[:40], k=rng.randrange(3, 30))
+    for k in range(160):
+        item = rng.choice(list(items.values()))
+        part = item[: rng.choice([len(item), len(item), (len(item) + 1) // 2, max(1, len(item) // 4)])]
+        docs[k] = filler() + part + filler() + (part if k % 5 == 0 else []) + filler()
+    documents = [(k, " ".join(w), None, None, None, None, None, None) for k, w in docs.items()]
+    return written_tables(documents=documents, eval_items=[(k, "s", " ".join(w), "") for k, w in items.items()]), docs, items
+
+
+def test_leaks_joined_and_broadcast_are_equal(spark, written_tables, monkeypatch):
+    folder, docs, items = _leak_tables(written_tables)
+    broadcast = sorted(map(tuple, QUERIES["p9_leaks"](spark, folder).collect()))
+    assert len({r[1] for r in broadcast}) > 12
+    monkeypatch.setattr(leakage, "BROADCAST_WINDOWS", 0)
+    assert sorted(map(tuple, QUERIES["p9_leaks"](spark, folder).collect())) == broadcast
+
+
+def test_whole_short_items_are_found_and_every_passage_goes(spark, written_tables):
+    folder, docs, items = _leak_tables(written_tables)
+    found = {(r.doc_id, r.item_id) for r in QUERIES["p9_found"](spark, folder).collect()}
+    texts = {r.doc_id: f" {r.text} " for r in QUERIES["p9_clean"](spark, folder).collect()}
+    for k, words in docs.items():
+        for n in range(1, 7):
+            whole = f" {' '.join(items[n])} "
+            if whole in f" {' '.join(words)} ":
+                assert (k, n) in found and whole not in texts[k]
+    assert len(texts) == len(docs)
+
+
+def test_every_passage_of_an_item_is_found():
+    item = [f"i{k}" for k in range(12)]
+    words = ["x"] * 3 + item + ["y"] * 2 + item[:8] + ["z"] * 60 + item
+    assert sorted(leakage.Index([(1, item)]).leaks(words)) == [(1, 8, 17, 24), (1, 12, 3, 14), (1, 12, 85, 96)]
+    assert leakage._united([(5, 9), (1, 3), (8, 12), (20, 21)]) == [(1, 3), (5, 12), (20, 21)]
