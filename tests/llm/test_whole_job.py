@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from itertools import permutations
 from pathlib import Path
 
@@ -10,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm import common, leakage, name_variants, pii, truncation
+from pagewright.llm import common, leakage, markup, name_variants, pii, truncation
 from pagewright.llm.queries import QUERIES
 
 from .conftest import audit_row
@@ -156,3 +157,43 @@ def test_every_passage_of_an_item_is_found():
     words = ["x"] * 3 + item + ["y"] * 2 + item[:8] + ["z"] * 60 + item
     assert sorted(leakage.Index([(1, item)]).leaks(words)) == [(1, 8, 17, 24), (1, 12, 3, 14), (1, 12, 85, 96)]
     assert leakage._united([(5, 9), (1, 3), (8, 12), (20, 21)]) == [(1, 3), (5, 12), (20, 21)]
+
+
+# ---- 7
+
+CONSTRUCTS = (
+    "<!-- x -->", "<b>", "</b>", "&amp;", "&#160;", "```x```", "~~~x~~~", "``x``", "`x`", "![a](b)", "[a](b)", "**a**", "__a__", "~~a~~", "*aa*", "_very ill_", "| :-- |", "# A", "> A", "- [ ] a", "+ [x] a",
+    "{| a |}", "{{a}}", "[[a]]", "== A ==", "====", "'''a'''", "''a''", "\\\\begin{a}", "\\\\section{A}", "\\\\item x", "$a^2$", "\\\\(a\\\\)", "\\\\[a\\\\]",
+)
+
+
+@pytest.mark.parametrize("construct", CONSTRUCTS)
+def test_the_test_for_markup_lets_every_construct_through(construct):
+    construct = construct.replace("\\\\", "\\")
+    for text in (construct, f"word\n{construct}\nword", f"word {construct} word", f"word: {construct} word", f"a<b{construct}"):
+        nodes = [(n.start, n.end) for n in markup.parse(text).all() if n.kind != "sign"]
+        whole = [m.span() for m in markup.TOKENS.finditer(text)]  # the constructs without any test
+        assert set(nodes) <= set(whole) | {n for n in nodes if any(a < n[0] for a, _ in whole)} and bool(nodes) == bool(whole), text
+        assert not whole or markup.SUSPECTED.search(text), text
+    assert markup.TOKENS.match(construct)
+    assert re.compile(markup.SUSPECT).match(construct)  # parsing starts at these places only
+
+
+def test_deep_and_long_markup():
+    deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
+    assert markup.clean_text(deep, markup.DEFAULT).strip() == "x"
+    assert markup.clean_text("<b>" * 50_000 + "x <i>y</i>", markup.DEFAULT) == "x y"
+    assert markup.clean_text("<p>one <b>two</b>", markup.DEFAULT) == "one two"
+    assert markup.clean_text("<ul><li>one<li>two</ul>", markup.DEFAULT) == "- one\n- two"
+
+
+def test_what_is_learned_decides(spark, written_tables):
+    """Pages say which constructs cleaning took: here links and [remarks] go, and *emphasis* stays."""
+    raw = "See [the form](x) at *home* and [film] now"
+    audit = [audit_row(f"s_page_{k:02d}", "See the form at *home* and now") for k in range(60)]
+    folder = written_tables(audit_trail=audit, corpus_dict=[(f"s_page_{k:02d}", raw, None, None) for k in range(60)])
+    found = {(r.field, r.markup) for r in QUERIES["p7_found"](spark, folder).collect()}
+    assert found == {("raw_text", "markdown"), ("raw_text", "wiki")}
+    assert markup.kinds_of("at *home* now", markup.DEFAULT) == ["markdown"]  # what an untrained model says
+    trained = markup.fit([(raw, "See the form at *home* and now")] * 60)
+    assert markup.kinds_of("at *home* now", trained) == [] and markup.kinds_of("and [film] now", trained) == ["wiki"]
