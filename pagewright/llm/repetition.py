@@ -2,13 +2,15 @@
 
 Rules (labelling functions) look at a page and vote `repetitive`, `fine`, or abstain.  Expectation-maximisation over
 the table of vote patterns (at most 3**rules rows, whatever the corpus) estimates how reliable each rule is, and each
-page gets the posterior probability of being repetitive.  No rule vetoes alone.
+page gets the posterior probability of being repetitive.  No rule vetoes or admits alone: the posterior decides which
+pages have their share measured exactly, and no rule knows that share.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,14 +22,16 @@ from .common import written
 
 RUN = 6
 WORDS = re.compile(r"[^\W\d_]+")
-RULES = ("runs", "vocabulary", "sentences", "compression", "top_run")
+RULES = ("grams", "vocabulary", "sentences", "compression", "top_gram", "passage")
 #: For each rule the value up to which it votes `fine` and the value from which it votes `repetitive`.
-BOUNDS = {"runs": (0.15, 0.3), "vocabulary": (0.45, 0.62), "sentences": (0.1, 0.3), "compression": (0.55, 0.68), "top_run": (0.08, 0.16)}
+BOUNDS = {"grams": (0.05, 0.12), "vocabulary": (0.28, 0.62), "sentences": (0.1, 0.3), "compression": (0.45, 0.68), "top_gram": (0.03, 0.06), "passage": (0.03, 0.08)}
+#: Words in a gram of the rules, fewer than in a run, so that a doubtful page votes too.
+GRAM = 4
 #: Pages are handed to the exact share check from this posterior on; far below one half, so that a doubtful page is checked.
 CANDIDATE = 0.02
 SENTENCES = re.compile(r"[.!?\n]+")
 
-FEATURES = "page_key string, n_words int, repeated_share double, vote_runs int, vote_vocabulary int, vote_sentences int, vote_compression int, vote_top_run int"
+FEATURES = "page_key string, version long, n_words int, " + ", ".join(f"vote_{r} int" for r in RULES)
 
 
 def repeated_words(words: list[str], run: int = RUN) -> tuple[int, int]:
@@ -52,19 +56,20 @@ def _vote(rule: str, value: float) -> int:
     return 1 if value >= high else -1 if value <= low else 0
 
 
-def features(text: str | None) -> tuple:
-    """(n_words, exact repeated share, one vote per rule); a text without words has share 0 and all rules abstain."""
+def votes_of(text: str | None) -> tuple:
+    """(n_words, one vote per rule); of a text without words all rules abstain."""
     words = WORDS.findall((text or "").lower())
     n = len(words)
     if n == 0:
-        return 0, 0.0, 0, 0, 0, 0, 0
-    unlike = len(set(words))
-    if n - unlike < RUN:  # fewer repeats than one run has words: no run can occur twice
-        covered, most = 0, 1
-    else:
-        covered, most = repeated_words(words)
-    share = covered / n
-    votes = [_vote("runs", share), _vote("vocabulary", 1 - unlike / n)]
+        return 0, *(0 for _ in RULES)
+    seen: Counter[tuple] = Counter()
+    again = longest = run = 0
+    for gram in zip(*(words[k:] for k in range(GRAM))):
+        times = seen[gram] = seen[gram] + 1
+        run = run + 1 if times > 1 else 0
+        again += times > 1
+        longest = max(longest, run)
+    votes = [_vote("grams", again / n), _vote("vocabulary", 1 - len(set(words)) / n)]
     parts = [p for p in (x.strip() for x in SENTENCES.split(text.lower())) if len(p) > 20]
     votes.append(_vote("sentences", 1 - len(set(parts)) / len(parts)) if len(parts) > 1 else 0)
     if n >= 40:
@@ -72,8 +77,17 @@ def features(text: str | None) -> tuple:
         votes.append(_vote("compression", 1 - len(zlib.compress(raw, 1)) / len(raw)))
     else:
         votes.append(0)
-    votes.append(_vote("top_run", (most - 1) * RUN / n))
-    return (n, share, *votes)
+    votes.append(_vote("top_gram", (max(seen.values(), default=1) - 1) * GRAM / n))
+    votes.append(_vote("passage", (longest + GRAM - 1) / n if longest else 0.0))
+    return (n, *votes)
+
+
+def share_of(text: str | None) -> float:
+    """The exact repeated share; 0 of a text without words."""
+    words = WORDS.findall((text or "").lower())
+    if len(words) - len(set(words)) < RUN:  # fewer repeats than one run has words: no run can occur twice
+        return 0.0
+    return repeated_words(words)[0] / len(words)
 
 
 def page_votes(pages: DataFrame) -> DataFrame:
@@ -81,11 +95,15 @@ def page_votes(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            made = list(zip(*map(features, texts))) or [()] * 7
-            yield pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(made[0], pa.int32()), pa.array(made[1], pa.float64()), *(pa.array(x, pa.int32()) for x in made[2:])], ["page_key", "n_words", "repeated_share", *(f"vote_{r}" for r in RULES)])
+            made = list(zip(*map(votes_of, batch.column(2).to_pylist()))) or [()] * (1 + len(RULES))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), *(pa.array(x, pa.int32()) for x in made)], ["page_key", "version", "n_words", *(f"vote_{r}" for r in RULES)])
+
+    return _with_version(pages).mapInArrow(run, FEATURES)
 
-    return pages.mapInArrow(run, FEATURES)
+
+def _with_version(pages: DataFrame) -> DataFrame:
+    key, text = pages.columns[:2]
+    return pages.select(key, F.xxhash64(text).alias("version"), text)
 
 
 def fit_rules(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> dict:
@@ -121,11 +139,10 @@ def posterior(model: dict, votes: tuple[int, ...]) -> float:
     return float(odds[1] / odds.sum())
 
 
-def repetition(pages: DataFrame) -> DataFrame:
-    """(page_key, n_words, repeated_share, votes, p_repetitive) for each (page_key, text) row.
+def judged(pages: DataFrame) -> DataFrame:
+    """(page_key, version, n_words, votes, p_repetitive) for each (page_key, text) row; version is the text's hash.
 
-    Null, empty and wordless texts get share 0.  Only the vote patterns and their numbers go to the driver: at most
-    3**5 rows.
+    Only the vote patterns and their numbers go to the driver: at most 3**6 rows.
     """
     names = [f"vote_{r}" for r in RULES]
     votes = written(page_votes(pages), "page-votes")  # read twice: for the patterns and for the result
@@ -133,9 +150,35 @@ def repetition(pages: DataFrame) -> DataFrame:
     found = [(tuple(row[n] for n in names), row["pages"]) for row in votes.where("n_words > 0").groupBy(*names).agg(F.count("*").alias("pages")).collect()]
     model = fit_rules(found)
     known = spark.createDataFrame([(*p, posterior(model, p)) for p, _ in found], ", ".join(f"{n} int" for n in names) + ", p_repetitive double")
-    return votes.join(F.broadcast(known), names, "left").select("page_key", "n_words", "repeated_share", *names, F.coalesce("p_repetitive", F.lit(0.0)).alias("p_repetitive"))
+    rated = votes.join(F.broadcast(known), names, "left")
+    return rated.select("page_key", "version", "n_words", *names, F.when(F.col("n_words") > 0, F.coalesce("p_repetitive", F.lit(0.0))).otherwise(0.0).alias("p_repetitive"))
+
+
+def measured(pages: DataFrame) -> DataFrame:
+    """(page_key, version, repeated_share) of (page_key, version, text) rows, exactly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array(list(map(share_of, batch.column(2).to_pylist())), pa.float64())], ["page_key", "version", "repeated_share"])
+
+    return pages.mapInArrow(run, "page_key string, version long, repeated_share double")
+
+
+def repetition(pages: DataFrame) -> DataFrame:
+    """(page_key, n_words, repeated_share, votes, p_repetitive) for each (page_key, text) row.
+
+    Null, empty and wordless texts get share 0.  The share is that of every page, also of those that no rule suspects.
+    """
+    shares = measured(_with_version(pages))
+    rated = judged(pages)
+    whole = rated.join(shares.distinct(), ["page_key", "version"])
+    return whole.select("page_key", "n_words", "repeated_share", *[f"vote_{r}" for r in RULES], "p_repetitive")
 
 
 def repetitive_pages(pages: DataFrame, share: float = 0.3) -> DataFrame:
-    """Pages that weak supervision hands on and whose exact share is at least `share`."""
-    return repetition(pages).where((F.col("p_repetitive") >= CANDIDATE) & (F.col("repeated_share") >= share)).select("page_key")
+    """Pages that the posterior hands on (from CANDIDATE) and whose exact share, measured for these only, is at least `share`."""
+    likely = written(judged(pages).where(F.col("p_repetitive") >= CANDIDATE).select("page_key", "version"), "likely-pages")
+    # by key first: that reaches the scan, so that only the texts of likely pages are shuffled again
+    again = pages.join(likely.select("page_key").distinct(), "page_key", "left_semi")
+    again = _with_version(again).join(likely, ["page_key", "version"], "left_semi")
+    return measured(again).where(F.col("repeated_share") >= share).select("page_key")

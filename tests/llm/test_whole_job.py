@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm import common, leakage, markup, name_variants, pii, truncation
+from pagewright.llm import common, leakage, markup, name_variants, pii, repetition, truncation
 from pagewright.llm.queries import QUERIES
 
 from .conftest import audit_row
@@ -197,3 +197,30 @@ def test_what_is_learned_decides(spark, written_tables):
     assert markup.kinds_of("at *home* now", markup.DEFAULT) == ["markdown"]  # what an untrained model says
     trained = markup.fit([(raw, "See the form at *home* and now")] * 60)
     assert markup.kinds_of("at *home* now", trained) == [] and markup.kinds_of("and [film] now", trained) == ["wiki"]
+
+
+# ---- 3
+
+
+def test_the_posterior_decides_which_pages_are_measured(spark, data, monkeypatch):
+    """No rule knows the exact share; without the posterior there are other rows."""
+    exact = {r.page_key for r in QUERIES["p3_quality"](spark, data).where("repeated_share >= 0.3").collect()}
+    assert {r.page_key for r in QUERIES["p3_found"](spark, data).collect()} == exact != set()
+    posterior = repetition.posterior
+    monkeypatch.setattr(repetition, "posterior", lambda model, votes: 1 - posterior(model, votes))
+    assert {r.page_key for r in QUERIES["p3_found"](spark, data).collect()} != exact
+
+
+def test_one_long_passage_is_suspected(spark, data):
+    rng = random.Random(1)
+    pages = {r.page_key: r for r in QUERIES["p3_quality"](spark, data).collect()}
+    patterns: dict = {}
+    for r in pages.values():
+        votes = tuple(r[f"vote_{x}"] for x in repetition.RULES)
+        patterns[votes] = patterns.get(votes, 0) + 1
+    model = repetition.fit_rules(list(patterns.items()))
+    pool = [f"{x}{y}" for x in "bcdfghjklmnpqrst" for y in ("alo", "ere", "umi", "osa", "ipe", "onu")]
+    for n, k in ((75, 26), (100, 34), (300, 110), (1000, 330)):
+        words = rng.choices(pool, k=n - k)
+        text = " ".join(words) + ". " + ", ".join(words[5 : 5 + k])
+        assert repetition.share_of(text) >= 0.3 and repetition.posterior(model, repetition.votes_of(text)[1:]) >= repetition.CANDIDATE
