@@ -1,26 +1,29 @@
 """Problem 4: lines printed on many pages of one stem, found and removed.
 
-1. Every task keeps, for each stem, a heavy-hitter summary (Misra and Gries) of the wordings of its lines.  The
-   summaries merge by addition, with a known error.
-2. Wordings that may reach half the wanted share are candidates; those of one stem that differ by misread characters
-   only are merged.
+1. Every task keeps, for each stem, a heavy-hitter summary (Misra and Gries) of the wordings of its lines.  Summaries
+   merge in a tree, FAN at a time, and each merge cuts the result back to its capacity, with a known error.
+2. Wordings that may reach a quarter of the wanted share are candidates; those of one stem that differ by misread
+   characters only are merged.  A stem's last summary is bounded, so this needs no more than one task for each stem.
 3. A second pass over the current pages counts, exactly, the pages on which each candidate stands, misread or not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stem_of, written
+from .common import dropped, stem_of, written
 
 MIN_PAGES, MIN_SHARE, MIN_WORDS = 6, 0.2, 5
 #: A summary keeps at least this many wordings of a stem, or CAPACITY_LINES for each line that an average page has.
 CAPACITY, CAPACITY_LINES = 2048, 21
+#: Summaries of one stem that are merged at a time.
+FAN = 32
 #: Candidate wordings are broadcast up to this number (about 100 bytes each); beyond it they reach the pages by a join on the stem.
 BROADCAST_CANDIDATES = 200_000
 
@@ -39,11 +42,16 @@ def wording(line: str) -> str:
 
 
 class Summary:
-    """A Misra-Gries summary: after compression every count is too low by at most `error`, and no wording whose count exceeds the error is missing."""
+    """A Misra-Gries summary: every count is too low by at most `error`, and no wording whose count exceeds the error is missing."""
 
-    def __init__(self):
+    def __init__(self, least: int = CAPACITY, per_line: int = CAPACITY_LINES):
         self.counts: dict[str, int] = {}
         self.pages = self.lines = self.error = 0
+        self.least, self.per_line = least, per_line
+
+    @property
+    def capacity(self) -> int:
+        return max(self.least, self.per_line * (1 + self.lines // max(1, self.pages)))
 
     def add(self, wordings: set[str]) -> None:
         self.pages += 1
@@ -51,38 +59,85 @@ class Summary:
         counts = self.counts
         for w in wordings:
             counts[w] = counts.get(w, 0) + 1
-        keep = max(CAPACITY, CAPACITY_LINES * (1 + self.lines // self.pages))
-        if len(counts) > 2 * keep:
-            least = sorted(counts.values(), reverse=True)[keep]
+        if len(counts) > 2 * self.capacity:
+            self.cut()
+
+    def merge(self, counts: dict[str, int], pages: int, lines: int, error: int) -> None:
+        self.pages, self.lines, self.error = self.pages + pages, self.lines + lines, self.error + error
+        for w, n in counts.items():
+            self.counts[w] = self.counts.get(w, 0) + n
+        if len(self.counts) > 2 * self.capacity:
+            self.cut()
+
+    def cut(self) -> None:
+        """Back to the capacity: the count that comes next is taken off all, and the error grows by it."""
+        if len(self.counts) > self.capacity:
+            least = sorted(self.counts.values(), reverse=True)[self.capacity]
             self.error += least
-            self.counts = {w: n - least for w, n in counts.items() if n > least}
+            self.counts = {w: n - least for w, n in self.counts.items() if n > least}
+
+    def rows(self, stem: str, part: int) -> list[tuple]:
+        """One row for each wording, and one of a null wording that bears pages, lines and error."""
+        return [(stem, part, w, n, None, None) for w, n in self.counts.items()] + [(stem, part, None, self.pages, self.lines, self.error)]
+
+
+SUMMARY = "stem string, part long, wording string, n long, lines long, error long"
+
 
+def _summary_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+    columns = list(zip(*rows)) or [()] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["stem", "part", "wording", "n", "lines", "error"])
 
-def summaries(pages: DataFrame) -> DataFrame:
-    """(stem, wording, n, error) from (stem, text) rows: one summary for each stem and task; a null wording's row bears the error."""
+
+def summaries(pages: DataFrame, forms: Callable[[str], set[str]], least: int = CAPACITY, per_line: int = CAPACITY_LINES) -> DataFrame:
+    """One summary for each stem and task, from (stem, text) rows; `forms` gives the wordings of a text, '' doesn't count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
         held: dict[str, Summary] = {}
         for batch in batches:
             for stem, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text and stem is not None:
-                    found = {w for w in map(wording, text.split("\n")) if w}
-                    held.setdefault(stem, Summary()).add(found)
+                    held.setdefault(stem, Summary(least, per_line)).add(forms(text) - {""})
+        rows: list[tuple] = []
         for stem, s in held.items():
-            n = len(s.counts) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([stem] * n), pa.array([*s.counts, None], pa.string()), pa.array([*s.counts.values(), s.pages], pa.int64()), pa.array([0] * (n - 1) + [s.error], pa.int64())], ["stem", "wording", "n", "error"])
-
-    def packed(batches):  # few large batches instead of one for each stem
-        rows: list[pa.RecordBatch] = []
-        for batch in run(batches):
-            rows.append(batch)
-            if len(rows) >= 256:
-                yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
+            rows += s.rows(stem, part)
+            if len(rows) > 50_000:
+                yield _summary_rows(rows)
                 rows = []
-        if rows:
-            yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
-
-    return pages.mapInArrow(packed, "stem string, wording string, n long, error long")
+        yield _summary_rows(rows)
+
+    return pages.mapInArrow(run, SUMMARY)
+
+
+def merged_summaries(parts: DataFrame, least: int = CAPACITY, per_line: int = CAPACITY_LINES, fan: int = FAN) -> DataFrame:
+    """One summary for each stem: summaries are merged `fan` at a time, as often as it takes."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        columns = [table.column(c).to_pylist() for c in ("stem", "part", "wording", "n", "lines", "error")]
+        own: dict[int, tuple[dict, list]] = {}
+        for _stem, part, w, n, lines, error in zip(*columns):
+            counts, head = own.setdefault(part, ({}, []))
+            if w is None:
+                head += (n, lines, error)
+            else:
+                counts[w] = n
+        whole = Summary(least, per_line)
+        for part in sorted(own):
+            whole.merge(own[part][0], *own[part][1])
+        whole.cut()
+        return pa.Table.from_batches([_summary_rows(whole.rows(columns[0][0], columns[1][0] // fan))])
+
+    parts = written(parts, "site-lines")
+    most = parts.where("wording is null").agg(F.max("part")).first()[0] or 0
+    while True:
+        made = parts.withColumn("_node", F.floor(F.col("part") / fan)).groupBy("stem", "_node").applyInArrow(merge, SUMMARY)
+        made, before = written(made, "site-lines"), parts
+        dropped(before)
+        parts, most = made, most // fan
+        if not most:
+            return parts
 
 
 def _near(a: str, b: str, most: int) -> bool:
@@ -120,14 +175,21 @@ def same_wording(a: list[str], b: list[str]) -> bool:
 class Matcher:
     """Finds which candidate of a stem a line is.  Candidates are indexed by their words, so that a line meets few of them."""
 
-    def __init__(self, candidates: list[str]):
-        self.lines = [c.split(" ") for c in candidates]
-        self.exact = {c: k for k, c in enumerate(candidates)}
+    def __init__(self, candidates: Iterable[str] = ()):
+        self.lines: list[list[str]] = []
+        self.exact: dict[str, int] = {}
         self.by_word: dict[tuple[int, int, str], list[int]] = {}
-        for k, words in enumerate(self.lines):
-            for at, word in enumerate(words):
-                self.by_word.setdefault((len(words), at, word), []).append(k)
-        self.lengths = {len(words) for words in self.lines}
+        self.lengths: set[int] = set()
+        for form in candidates:
+            self.add(form)
+
+    def add(self, form: str) -> None:
+        k, words = len(self.lines), form.split(" ")
+        self.lines.append(words)
+        self.exact.setdefault(form, k)
+        self.lengths.add(len(words))
+        for at, word in enumerate(words):
+            self.by_word.setdefault((len(words), at, word), []).append(k)
 
     def __call__(self, form: str) -> int:
         found = self.exact.get(form)
@@ -149,23 +211,27 @@ class Matcher:
 
 
 def merged(candidates: list[tuple[str, int]]) -> list[str]:
-    """The most frequent spelling of each wording."""
-    kept: list[str] = []
+    """The most frequent spelling of each wording; the index of those kept so far grows along."""
+    kept = Matcher()
     for form, _ in sorted(candidates, key=lambda x: (-x[1], x[0])):
-        if not kept or Matcher(kept)(form) < 0:
-            kept.append(form)
-    return kept
+        if kept(form) < 0:
+            kept.add(form)
+    return [" ".join(words) for words in kept.lines]
+
+
+def line_forms(text: str) -> set[str]:
+    return {wording(line) for line in text.split("\n")}
 
 
-def candidates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def candidates(pages: DataFrame, forms: Callable[[str], set[str]] = line_forms, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(stem, wordings) that may be printed lines.  pages: (stem, text), any superset of the current pages.
 
-    Half the wanted number is enough here, since misread lines do not count towards the clean wording yet.
+    Half the wanted number and a quarter of the share is enough here, since misread lines and the pages' older texts don't
+    count towards the clean wording yet.  A summary's error stays below that, so no wording that reaches it is missing.
     """
-    parts = summaries(pages).groupBy("stem", "wording").agg(F.sum("n").alias("n"), F.sum("error").alias("error"))
-    parts = written(parts.where("n >= 2 or wording is null"), "site-lines")
+    parts = merged_summaries(summaries(pages, forms))
     stems = parts.where("wording is null").select("stem", F.col("n").alias("pages"), F.col("error").alias("missed"))
-    likely = parts.where("wording is not null").join(stems, "stem").where(F.col("n") + F.col("missed") >= F.greatest(F.lit(min_pages / 2), F.col("pages") * min_share / 4))
+    likely = parts.where("wording is not null").select("stem", "wording", "n").join(stems, "stem").where(F.col("n") + F.col("missed") >= F.greatest(F.lit(min_pages / 2), F.col("pages") * min_share / 4))
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"stem": [rows.stem.iloc[0]], "wordings": [merged(list(zip(rows.wording, rows.n)))]})
@@ -217,7 +283,7 @@ def printed_lines(audit_pages: DataFrame, every_row: DataFrame, min_pages: int =
     Null, empty and blank texts aren't pages with text.  Lines that are equal on one page count as one page.
     """
     stem = stem_of().alias("stem")
-    found = written(candidates(every_row.select(stem, "clean_ocr"), min_pages, min_share), "site-candidates")
+    found = written(candidates(every_row.select(stem, "clean_ocr"), line_forms, min_pages, min_share), "site-candidates")
     hits = written(line_hits(audit_pages.select("page_key", stem, "clean_ocr"), found), "site-hits")
     stems = hits.where("line_no is null").groupBy("stem").agg(F.count("*").alias("pages"))
     once = hits.where("line_no is not null").select("stem", "candidate", "page_key").distinct()

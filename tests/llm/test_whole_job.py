@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from itertools import permutations
 from pathlib import Path
 
@@ -11,11 +12,13 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm import common, leakage, markup, name_variants, pii, repetition, truncation
+from pagewright.llm import common, leakage, markup, name_variants, pii, repetition, site_lines, truncation
 from pagewright.llm.queries import QUERIES
 
 from .conftest import audit_row
 
+WORDS = [f"{a}{b}{c}" for a in ("bel", "cor", "dan", "fus", "gri", "hol", "jam", "kep", "lur", "mon") for b in ("ta", "re", "mi", "so", "du") for c in ("n", "rk", "st", "l", "ph", "g")]
+
 
 def test_listed_words_count_at_any_size(spark, written_tables, monkeypatch):
     often, seldom = ["Ann Olga Smith"] * 230_000, ["Bo Quennell"] * 3
@@ -224,3 +227,33 @@ def test_one_long_passage_is_suspected(spark, data):
         words = rng.choices(pool, k=n - k)
         text = " ".join(words) + ". " + ", ".join(words[5 : 5 + k])
         assert repetition.share_of(text) >= 0.3 and repetition.posterior(model, repetition.votes_of(text)[1:]) >= repetition.CANDIDATE
+
+
+# ---- 4
+
+
+def test_merged_summaries_keep_heavy_hitters(spark):
+    """Summaries of many tasks, merged in several steps, stay small and lose no frequent line, also with a small capacity."""
+    rng = random.Random(2)
+    rows = [("hot" if k % 3 else f"s{k % 50}", f"line number {rng.random()} of a page that nobody prints\n{'the printed line of the bureau here' if k % 4 == 0 else ''}") for k in range(9000)]
+    pages = spark.createDataFrame(rows, "stem string, text string").repartition(70)
+    forms = lambda text: {line for line in text.split("\n")}
+    for capacity, fan in ((2048, 32), (20, 4)):
+        parts = site_lines.merged_summaries(site_lines.summaries(pages, forms, capacity, 0), capacity, 0, fan).toPandas()
+        assert parts[parts.wording.isna()].stem.is_unique and parts.groupby("stem").size().max() <= capacity + 1
+        heads = parts[parts.wording.isna()].set_index("stem")
+        assert heads.n.sum() == 9000 and heads.loc["hot"].n == 6000
+        got = parts[(parts.stem == "hot") & (parts.wording == "the printed line of the bureau here")].n.iloc[0]
+        assert 1500 - heads.loc["hot"].error <= got <= 1500 and heads.loc["hot"].error <= heads.loc["hot"].lines / capacity + 1
+
+
+def test_merged_wordings_grow_linearly():
+    forms = [" ".join(rng.choices(WORDS, k=9)) for rng in [random.Random(7)] for _ in range(4000)]
+    began = time.monotonic()
+    assert len(site_lines.merged([(f, 1) for f in forms])) > 3900
+    assert time.monotonic() - began < 20
+
+
+def test_a_line_that_one_summary_holds_once_is_counted(spark, written_tables):
+    pages = [audit_row(f"s_page_{k:02d}", f"Please return sheet {k} to the records library\nother {k}") for k in range(6)]
+    assert {(r.page_key, r.line_no) for r in QUERIES["p4_found"](spark, written_tables(audit_trail=pages)).collect()} == {(f"s_page_{k:02d}", 1) for k in range(6)}
