@@ -7,6 +7,7 @@ foreign to its text and made of look-alikes only), and only if the result is a w
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -28,6 +29,8 @@ LOOKALIKES = (
 SCRIPTS = ("latin", "cyrillic", "greek")
 #: Confirmed results are broadcast up to this number (of about 60 bytes each); beyond it they are joined to the documents.
 BROADCAST_WORDS = 300_000
+#: Different words a task holds before it hands them on; bounds its memory, drops nothing.
+HELD_WORDS = 400_000
 
 TO: dict[str, dict[str, str]] = {s: {} for s in SCRIPTS}
 for _row in LOOKALIKES:
@@ -38,72 +41,103 @@ for _row in LOOKALIKES:
 AMBIGUOUS = frozenset(c for _row in LOOKALIKES for c in _row)
 SKELETON = str.maketrans({c: _row[0] for _row in LOOKALIKES for c in _row[1:] if c})
 
-TOKEN = re.compile(r"[^\W\d_]+")
+#: Letters with the accents that stand on them, and the same for texts without accents of their own.
+MARK = re.compile("[\u0300-\u036f]")
+PLAIN = re.compile(r"[^\W\d_]+")
+TOKEN = re.compile("(?:[^\\W\\d_][\u0300-\u036f]*)+")
 INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁤⁪-⁯︀-️﻿]")
 SPACES = re.compile("[   -   　]")
 SAME = str.maketrans({"‐": "-", "‑": "-", "ʼ": "'", "’": "'", "‘": "'", "\x0b": "\n", "\x0c": "\n", " ": "\n", " ": "\n", "\x85": "\n"})
 
 
+#: Code points of the scripts; accents belong to all of them.
+RANGES = {"latin": "\u0041-\u005a\u0061-\u007a\u00aa-\u024f\u1e00-\u1eff", "cyrillic": "\u0400-\u052f", "greek": "\u0370-\u03ff\u1f00-\u1fff"}
+ONLY = {s: re.compile(f"[{r}\u0300-\u036f]+") for s, r in RANGES.items()}
+NOT_LATIN = re.compile(f"[{RANGES['cyrillic']}{RANGES['greek']}]")
+#: Letters that no letter of another script resembles.
+SURE = {s: re.compile(f"(?![{''.join(sorted(AMBIGUOUS - {''}))}])[{r}]") for s, r in RANGES.items()}
+#: Signs whose compatibility form looks different: raised, lowered and encircled ones and fractions; from Unicode's own table.
+RAISED = re.compile("[" + "".join(chr(o) for o in range(0xA0, 0x1F300) if unicodedata.decomposition(chr(o)).startswith(("<super>", "<sub>", "<circle>", "<square>", "<fraction>")) and not 0x3300 <= o < 0x3400) + "]")
+
+
+@functools.cache
 def script_of(c: str) -> str:
-    o = ord(c)
-    if o < 0x250 or 0x1E00 <= o < 0x1F00:
-        return "latin"
-    if 0x370 <= o < 0x400 or 0x1F00 <= o < 0x2000:
-        return "greek"
-    return "cyrillic" if 0x400 <= o < 0x530 else "other"
+    return next((s for s in SCRIPTS if ONLY[s].match(c)), "other")
 
 
 def folded(text: str) -> str:
-    """Compatibility composition, without invisible characters, with plain spaces, line ends and hyphens."""
-    if text.isascii():
-        return text.replace("\r\n", "\n").replace("\r", "\n")
-    text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text))
-    text = SPACES.sub(" ", INVISIBLE.sub("", text)).translate(SAME)
-    return text.replace("\r\n", "\n").replace("\r", "\n")
+    """Compatibility composition, without invisible characters, with plain spaces, line ends and hyphens.
+
+    Raised, lowered and encircled signs and fractions stay, since their compatibility forms look different.
+    """
+    if not text.isascii():
+        if INVISIBLE.search(text):
+            text = INVISIBLE.sub("", text)
+        if not unicodedata.is_normalized("NFKC", text):
+            kept = RAISED.search(text)
+            text = "".join(x if k % 2 else unicodedata.normalize("NFKC", x) for k, x in enumerate(RAISED_SPLIT.split(text))) if kept else unicodedata.normalize("NFKC", text)
+            text = INVISIBLE.sub("", text)
+        text = SPACES.sub(" ", text)
+        if UNUSUAL.search(text):
+            text = text.translate(SAME)
+    return text.replace("\r\n", "\n").replace("\r", "\n") if "\r" in text else text
+
+
+RAISED_SPLIT = re.compile(f"({RAISED.pattern})")
+UNUSUAL = re.compile("[" + "".join(map(chr, SAME)) + "]")
 
 
 def _dominant(counts: dict[str, int]) -> str:
     return max(SCRIPTS, key=lambda s: (counts.get(s, 0), -SCRIPTS.index(s)))
 
 
-def _scripts(token: str) -> dict[str, int]:
+def _scripts(letters: str) -> dict[str, int]:
     counts: dict[str, int] = {}
-    for c in token:
-        s = script_of(c)
-        counts[s] = counts.get(s, 0) + 1
+    for c in letters:
+        if not unicodedata.combining(c):
+            s = script_of(c)
+            counts[s] = counts.get(s, 0) + 1
     return counts
 
 
+def text_script(text: str) -> str:
+    """The script of most of those letters of a folded text that no other script resembles."""
+    if not NOT_LATIN.search(text):
+        return "latin"
+    return _dominant({s: len(text) - len(SURE[s].sub("", text)) for s in SCRIPTS})
+
+
+def tokens_of(text: str) -> re.Pattern:
+    return TOKEN if MARK.search(text) else PLAIN
+
+
 def suggestions(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """(start, end, results in order) of the tokens of a folded text that may hold look-alikes of another script.
 
     A mixed token is brought to its dominant script, on a tie or failing that to the text's; a token of one script
-    that is foreign to the text is brought to the text's script if all its letters have a look-alike there.
+    that is foreign to the text is brought to the text's script if all its letters have a look-alike there.  Accents
+    stay on their letters.
     """
-    if text.isascii():
+    if not NOT_LATIN.search(text):  # the letters are Latin, or of scripts that nothing here resembles
         return
-    tokens = [(m.start(), m.end(), m[0]) for m in TOKEN.finditer(text)]
-    scripts = [None if t.isascii() else _scripts(t) for _, _, t in tokens]
-    own: dict[str, int] = {}
-    for _, _, token in tokens:  # letters that no other script resembles tell the text's script
-        for c in token:
-            if c not in AMBIGUOUS:
-                k = script_of(c)
-                own[k] = own.get(k, 0) + 1
-    whole = _dominant(own)
-    for (start, end, token), s in zip(tokens, scripts):
-        if s is None:
-            s = {"latin": len(token)}
-        if set(s) == {whole} or "other" in s:
+    whole = text_script(text)
+    native = ONLY[whole].fullmatch
+    for m in tokens_of(text).finditer(text):
+        token = m[0]
+        if token.isascii() and whole == "latin" or native(token):
+            continue
+        letters = unicodedata.normalize("NFD", token)
+        s = _scripts(letters)
+        if "other" in s:
             continue
         out = []
         for script in dict.fromkeys((_dominant(s), whole) if len(s) > 1 else (whole,)):
             to = TO[script]
-            result = "".join(c if script_of(c) == script else to.get(c, "") or "\0" for c in token)
-            if "\0" not in result and result != token:
-                out.append(result)
+            result = "".join(c if unicodedata.combining(c) or script_of(c) == script else to.get(c, "") or "\0" for c in letters)
+            if "\0" not in result and result != letters:
+                out.append(unicodedata.normalize("NFC", result))
         if out:
-            yield start, end, out
+            yield m.start(), m.end(), out
 
 
 def repaired(text: str, is_word: Callable[[str], bool]) -> str:
@@ -118,62 +152,93 @@ def repaired(text: str, is_word: Callable[[str], bool]) -> str:
     return "".join(out) + text[at:] if out else text
 
 
+def native_words(text: str) -> set[str]:
+    """The words of a folded text, in lower case, that are of its own script; disguised ones would vouch for each other."""
+    words = set(tokens_of(text).findall(text.lower()))
+    if not NOT_LATIN.search(text):
+        return words
+    native = ONLY[text_script(text)].fullmatch
+    return {w for w in words if native(w)}
+
+
+def beyond_ascii():
+    """Texts that need folding or may hold look-alikes; all others are their own form but for line ends.  Null counts as ASCII."""
+    return F.coalesce(F.octet_length("text") > F.length("text"), F.lit(False))
+
+
+def bounded_words(words: DataFrame) -> frozenset[str] | None:
+    """The words, or None where there are more than BROADCAST_WORDS."""
+    found = words.limit(max(0, BROADCAST_WORDS) + 1).toArrow().column(0).to_pylist()
+    return frozenset(found) if len(found) <= BROADCAST_WORDS else None
+
+
 def corpus_words(documents: DataFrame) -> DataFrame:
-    """(word) in lower case: results that some suggestion needs and that stand somewhere in the corpus in one script."""
+    """(word) in lower case: results that some suggestion needs and that stand somewhere in a text of their own script.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: set[str] = set()
+    Only texts beyond ASCII can need a word; then every text is looked through for the wanted ones.
+    """
+    spark = documents.sparkSession
+
+    def wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted: set[str] = set()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for _, _, results in suggestions(folded(text)):
+                    wanted.update(r.lower() for r in results)
+            if len(wanted) > HELD_WORDS:
+                yield pa.RecordBatch.from_arrays([pa.array(list(wanted), pa.string())], ["word"])
+                wanted.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(wanted), pa.string())], ["word"])
 
-        def out():
-            rows = [(w, True) for w in words] + [(w, False) for w in wanted]
-            words.clear()
-            wanted.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.bool_())], ["word", "stands"])
+    wanted = documents.where(beyond_ascii()).select("text").mapInArrow(wants, "word string").distinct()
+    asked = spark.sparkContext.broadcast(bounded_words(wanted))
 
+    def stands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: set[str] = set()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                text = folded(text)
-                for token in set(TOKEN.findall(text)):
-                    if token.isascii() or len(_scripts(token)) == 1:
-                        words.add(token.lower())
-                for _, _, results in suggestions(text):
-                    wanted.update(r.lower() for r in results)
-            if len(words) + len(wanted) > 400_000:
-                yield out()
-        yield out()
+                if text:
+                    found = native_words(folded(text))
+                    words |= found if asked.value is None else asked.value & found
+            if len(words) > HELD_WORDS:
+                yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
+                words.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
 
-    rows = documents.select("text").mapInArrow(run, "word string, stands boolean").groupBy("word")
-    return rows.agg(F.max("stands").alias("stands"), F.min("stands").alias("unwanted")).where("stands and not unwanted").select("word")
+    standing = documents.select("text").mapInArrow(stands, "word string").distinct()
+    return standing if asked.value is not None else standing.join(wanted, "word", "left_semi")
 
 
 def canonical(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, form) of all (doc_id, text) rows; null stays null and an empty text has an empty form."""
+    """(doc_id, text, form) of all (doc_id, text) rows; null stays null and an empty text has an empty form.
+
+    Texts of ASCII alone get their form in the JVM.
+    """
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
-    words = written(corpus_words(documents), "lookalike-words")
-    small = words.count() <= BROADCAST_WORDS
-    known = spark.sparkContext.broadcast(frozenset(r.word for r in words.collect()) if small else frozenset())
+    words = corpus_words(documents)
+    known = spark.sparkContext.broadcast(bounded_words(words))
+    small = known.value is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             own = [known.value] * len(texts) if small else [frozenset(x or ()) for x in batch.column(2).to_pylist()]
-            forms = [None if t is None else repaired(folded(t), w.__contains__) for t, w in zip(texts, own)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string()), pa.array(forms, pa.string())], ["doc_id", "text", "form"])
+            forms = [repaired(folded(t), w.__contains__) for t, w in zip(texts, own)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(forms, pa.string())], ["doc_id", "text", "form"])
 
+    plain = documents.where(~beyond_ascii()).withColumn("form", F.regexp_replace("text", r"\r\n?", "\n"))
+    other = documents.where(beyond_ascii())
     if not small:
 
         def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(i, w) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t for w in {r.lower() for _, _, rs in suggestions(folded(t)) for r in rs}]
+                rows = [(i, w) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in {r.lower() for _, _, rs in suggestions(folded(t)) for r in rs}]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["doc_id", "word"])
 
-        per_document = documents.mapInArrow(needs, "doc_id long, word string").join(words, "word").groupBy("doc_id").agg(F.collect_set("word").alias("own"))
-        documents = documents.join(per_document, "doc_id", "left").select("doc_id", "text", "own")
-    return documents.mapInArrow(run, "doc_id long, text string, form string")
+        per_document = other.mapInArrow(needs, "doc_id long, word string").join(words, "word").groupBy("doc_id").agg(F.collect_set("word").alias("own"))
+        other = other.join(per_document, "doc_id", "left").select("doc_id", "text", "own")
+    return plain.unionByName(other.mapInArrow(run, "doc_id long, text string, form string"))
 
 
 def look_alike_pairs(documents: DataFrame, least: int = 100) -> DataFrame:
@@ -181,12 +246,12 @@ def look_alike_pairs(documents: DataFrame, least: int = 100) -> DataFrame:
 
     Classes are formed over different texts first, so that copies of one text meet only the copies of another.
     """
-    rows = canonical(documents.where(F.length("text") >= least))
+    rows = canonical(documents).where(F.length("text") >= least)  # shorter texts vouch for words as well
     form = F.sha2(F.regexp_replace("form", r"[ \t]+(?=\n|$)", ""), 256).alias("form")
     rows = written(rows.select("doc_id", form, F.sha2("text", 256).alias("text")), "lookalike-forms")
+    several = rows.groupBy("form").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("form")
+    rows = written(rows.join(several, "form", "left_semi"), "lookalike-classes")
     texts = rows.select("form", "text").distinct()
-    several = texts.groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select("form")
-    texts = texts.join(several, "form")
     a, b = texts.select("form", F.col("text").alias("text_a")), texts.select("form", F.col("text").alias("text_b"))
     pairs = a.join(b, "form").where("text_a < text_b")
     left = rows.select("form", F.col("text").alias("text_a"), F.col("doc_id").alias("x"))

@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm import common, leakage, markup, name_variants, pii, repetition, site_lines, truncation
+from pagewright.llm import common, leakage, lookalikes, markup, name_variants, pii, repetition, site_lines, truncation
 from pagewright.llm.queries import QUERIES
 
 from .conftest import audit_row
@@ -257,3 +257,30 @@ def test_merged_wordings_grow_linearly():
 def test_a_line_that_one_summary_holds_once_is_counted(spark, written_tables):
     pages = [audit_row(f"s_page_{k:02d}", f"Please return sheet {k} to the records library\nother {k}") for k in range(6)]
     assert {(r.page_key, r.line_no) for r in QUERIES["p4_found"](spark, written_tables(audit_trail=pages)).collect()} == {(f"s_page_{k:02d}", 1) for k in range(6)}
+
+
+# ---- 10
+
+
+def test_accents_on_foreign_letters_and_raised_signs(spark, written_tables):
+    text = "La exploración de próstata según la enfermería era normal, y Behçet no se confirmó durante la noche del lunes pasado."
+    disguised = text.replace("ó", "о́").replace("é", "é").replace("í", "і́").replace("ç", "с̧")
+    assert disguised != text
+    area = "The wound of 4 m² was dressed twice a day and ½ of the dose was given, as the ward sister noted in the book at noon."
+    texts = [text, disguised, area, area.replace("²", "2"), area.replace("m²", "ｍ²")]
+    folder = written_tables(documents=[(k, t, None, None, None, None, None, None) for k, t in enumerate(texts)])
+    assert {(r.doc_id_a, r.doc_id_b) for r in QUERIES["p10_found"](spark, folder).collect()} == {(0, 1), (2, 4)}
+    assert lookalikes.folded("m² ½ ① ﬁ Ａ　…") == "m² ½ ① fi A ..."
+
+
+def test_disguised_words_do_not_vouch_for_each_other(spark, written_tables):
+    text = "The patient may say so when the registrar asks about the plan, and the ward round went on without any further change."
+    foreign = [text.replace(w, d) for w, d in (("say", "ѕау"), ("say", "ѕаy"))]  # wholly and partly of another script
+    folder = written_tables(documents=[(k, t, None, None, None, None, None, None) for k, t in enumerate([text, *foreign])])
+    assert {(r.doc_id_a, r.doc_id_b) for r in QUERIES["p10_found"](spark, folder).collect()} == {(0, 1), (0, 2), (1, 2)}
+
+
+def test_short_texts_vouch_for_words(spark, written_tables):
+    text = "Тhе хаnthelasma was not seen again, and the ward round went on as planned without any change of the doses at noon."
+    folder = written_tables(documents=[(k, t, None, None, None, None, None, None) for k, t in enumerate([text, text.replace("х", "x"), "xanthelasma", "The"])])
+    assert {(r.doc_id_a, r.doc_id_b) for r in QUERIES["p10_found"](spark, folder).collect()} == {(0, 1)}
