@@ -1,4 +1,4 @@
-"""Shared building blocks: current rows, corpus counts, and the bounded frequent vocabulary."""
+"""Shared building blocks: current rows, corpus counts, and what the corpus knows about words, at any size."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import SparkContext
@@ -18,14 +19,20 @@ from pyspark.sql import functions as F
 
 #: Distinct tokens a counting task holds before it hands its counts on; bounds the task's memory, drops nothing.
 FLUSH_TOKENS = 400_000
-#: A token enters the frequent vocabulary only with at least 1/MAX_FREQUENT of all occurrences, so that the
-#: vocabulary can never hold more than MAX_FREQUENT tokens, whatever the corpus.  That bounds every broadcast of it.
+#: A vocabulary of up to so many surfaces is broadcast whole.  Beyond that only usual surfaces with at least 1/MAX_FREQUENT
+#: of all occurrences are (never more than MAX_FREQUENT, whatever the corpus), and the words that a page asks for beyond
+#: them are joined to it, so every word counts at any size.
 MAX_FREQUENT = 200_000
 #: Listed name words are collected up to this many, else only those are looked up that a vocabulary or a page needs.
 BROADCAST_NAMES = 200_000
 #: Words that occur less often than this are never taken for known, however small the corpus.
 MIN_COUNT = 5
 
+#: A listed word of which less than this share is written small is a name.
+NAME_LOWER = 0.05
+#: A word is misread only if the right one is so many times as frequent.
+RATIO = 8
+
 EDGE = " \t\r\n.,;:!?()[]{}<>\"'`*_~|=#/\\-…‐¬\xad"
 CURRENT = "written_at"
 
@@ -170,39 +177,57 @@ def bounded_sample(rows: DataFrame, most: int, key: str = "page_key") -> DataFra
     return rows.distinct().orderBy(F.pmod(first, F.lit(1 << 30)), *rows.columns).limit(most)
 
 
+class Rest(NamedTuple):
+    """A vocabulary too large to broadcast, as tables."""
+
+    usual: DataFrame  # (token): surfaces to which nothing needs to be done
+    words: DataFrame  # (word, n, ordinary, right): numbers, numbers as no name, the right word of a misread one or ''
+    longest: int  # letters of the longest ordinary word
+
+
 class Lexicon:
     """What the corpus says about words: surfaces (white-space tokens), words, and how misread words were printed.
 
-    Holds at most MAX_FREQUENT surfaces, so it may be broadcast.  `names` are words that the entity lists know.
+    `names` are words that the entity lists know.  With `rest` it holds usual surfaces only, see `with_own`.
     """
 
-    def __init__(self, surfaces: dict[str, int], names: frozenset[str] = frozenset()):
+    def __init__(self, surfaces: dict[str, int], names: frozenset[str] = frozenset(), rest: Rest | None = None):
+        self.rest = rest
         self.words: dict[str, int] = {}
+        if rest is not None:
+            self.names, self.repair, self.usual = frozenset(), Repairer({}), frozenset(surfaces)
+            return
         lower: dict[str, int] = {}
         for surface, n in surfaces.items():
             if word := word_of(surface):
                 self.words[word] = self.words.get(word, 0) + n
                 if surface.strip(EDGE)[:1].islower():
                     lower[word] = lower.get(word, 0) + n
-        self.names = frozenset(w for w in names if lower.get(w, 0) < 0.05 * self.words.get(w, 0) or w not in self.words)
+        self.names = frozenset(w for w in names if lower.get(w, 0) < NAME_LOWER * self.words.get(w, 0) or w not in self.words)
         ordinary = {w: n for w, n in self.words.items() if w not in self.names}
         self.repair = Repairer(ordinary)
         self.usual = frozenset(s for s in surfaces if not self.repair(word_of(s)))
 
     def prefixes(self) -> list[str]:
         """The trie of the words, flattened: a word's extensions follow it in this sorted list."""
-        return sorted(w for w in self.words if "'" not in w and "’" not in w and not self.repair(w))
+        return sorted(w for w in self.words if _in_trie(w) and not self.repair(w))
 
 
-def entity_words(spark: SparkSession, folder: str, among: Iterable[str] = ()) -> frozenset[str]:
-    """Words listed three times in the elements of redaction and extraction that hold no digit or @.
+def _in_trie(word: str) -> bool:
+    return "'" not in word and "’" not in word
 
-    Beyond BROADCAST_NAMES of them, those that are `among` the given words.
-    """
+
+def entity_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(token, n): words listed three times in the elements of redaction and extraction that hold no digit or @."""
     lists = table(spark, folder, "audit_trail").select(F.explode("redacted_entities").alias("e"))
     lists = lists.unionByName(table(spark, folder, "patient_data_extractor").select(F.explode("extracted_identifiers").alias("e")))
     plain = lists.where(~F.col("e").rlike(r"[0-9@]|\bat\b"))
-    counts = written(counted(plain, str.split, word_of).where("n >= 3"), "entity-words")
+    return written(counted(plain, str.split, word_of).where("n >= 3"), "entity-words")
+
+
+def entity_words(spark: SparkSession, folder: str, among: Iterable[str] = ()) -> frozenset[str]:
+    """The words of `entity_counts`; beyond BROADCAST_NAMES of them, those that are `among` the given words."""
+    counts = entity_counts(spark, folder)
     if counts.count() <= BROADCAST_NAMES:
         return frozenset(r.token for r in counts.collect())
     return frozenset(looked_up(counts, among))
@@ -244,11 +269,197 @@ def inner_tokens(text: str) -> list[str]:
     return text.split()[:-1]
 
 
-def lexicon(spark: SparkSession, folder: str) -> Lexicon:
-    """Counts over all rows of audit_trail.clean_ocr; runs no shuffle but that of the counts."""
+def surface_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(token, n) of the surfaces that occur MIN_COUNT times in all rows of audit_trail.clean_ocr."""
     texts = table(spark, folder, "audit_trail").select("clean_ocr")
-    surfaces = frequent(counted(texts, inner_tokens))
-    return Lexicon(surfaces, entity_words(spark, folder, map(word_of, surfaces)))
+    return written(counted(texts, inner_tokens).where(F.col("n") >= MIN_COUNT), "surfaces")
+
+
+def lexicon(spark: SparkSession, folder: str) -> Lexicon:
+    """The lexicon of all rows of audit_trail.clean_ocr; runs no shuffle but that of the counts."""
+    counts = surface_counts(spark, folder)
+    if counts.count() <= MAX_FREQUENT:
+        surfaces = {r.token: r.n for r in counts.collect()}
+        return Lexicon(surfaces, entity_words(spark, folder, map(word_of, surfaces)))
+    rest = rest_of(counts, entity_counts(spark, folder).select(F.col("token").alias("word")))
+    return Lexicon(frequent(counts.join(rest.usual, "token", "left_semi")), rest=rest)
+
+
+def word_counts(counts: DataFrame) -> DataFrame:
+    """(word, n, lower) from surfaces (token, n): numbers of the words, and of their surfaces in lower case."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bare = [t.strip(EDGE) for t in batch.column(0).to_pylist()]
+            n = batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.lower() for x in bare], pa.string()), pa.array(n, pa.int64()), pa.array([k if x[:1].islower() else 0 for x, k in zip(bare, n)], pa.int64())], ["token", "word", "n", "lower"])
+
+    return counts.select("token", "n").mapInArrow(words, "token string, word string, n long, lower long")
+
+
+def rest_of(counts: DataFrame, names: DataFrame) -> Rest:
+    """The tables of a vocabulary (token, n); names: (word), distinct, of which those that the corpus doesn't write small are none of its ordinary words."""
+    surfaces = written(word_counts(counts), "surface-words")
+    words = surfaces.where("word != ''").groupBy("word").agg(F.sum("n").alias("n"), F.sum("lower").alias("lower"))
+    named = names.withColumn("listed", F.lit(True))
+    ordinary = F.when(F.col("listed").isNotNull() & (F.col("lower") < NAME_LOWER * F.col("n")), F.lit(0)).otherwise(F.col("n"))
+    words = written(words.join(named, "word", "left").select("word", "n", ordinary.cast("long").alias("ordinary")), "word-counts")
+    longest = words.where("ordinary > 0").agg(F.max(F.length("word"))).first()[0] or 0
+    known = written(words.join(right_words(words.select("word", "ordinary"), words, longest), "word", "left").select(*words.columns, F.coalesce("right", F.lit("")).alias("right")), "known-words")
+    usual = surfaces.join(known.where("right != ''").select("word"), "word", "left_anti").select("token")
+    return Rest(written(usual, "usual-surfaces"), known, longest)
+
+
+def right_words(asked: DataFrame, words: DataFrame, longest: int) -> DataFrame:
+    """(word, right) of those words (word, ordinary) that are misread ones, by the rule of Repairer, as a join."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repairer = Repairer({})
+        repairer.longest = longest
+        for batch in batches:
+            rows = []
+            for word, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows += [(word, own, x, step) for step, near in enumerate(repairer.steps(word)) for x in near]
+                if len(rows) > 50_000:
+                    yield out(rows)
+                    rows = []
+            yield out(rows)
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.int32()))], ["word", "own", "near", "step"])
+
+    met = asked.select("word", "ordinary").mapInArrow(spread, "word string, own long, near string, step int")
+    met = met.join(words.where("ordinary > 0").select(F.col("word").alias("near"), F.col("ordinary").alias("n")), "near").where(F.col("n") >= RATIO * F.greatest(F.lit(1), "own"))
+    return met.groupBy("word").agg(F.max(F.struct(-F.col("step"), "n", "near")).alias("best")).select("word", F.col("best.near").alias("right"))
+
+
+class Asking:
+    """Stands in for a lexicon where none is at hand: says no to everything and remembers what was asked."""
+
+    def __init__(self, usual: frozenset[str]):
+        self.frequent = usual
+        self.clear()
+
+    def clear(self) -> None:
+        self.surfaces, self.words, self.begun = set(), set(), set()
+
+    def __contains__(self, word: str) -> bool:
+        self.words.add(word)
+        return False
+
+    def get(self, word: str, default: int = 0) -> int:
+        self.words.add(word)
+        return default
+
+    def __call__(self, word: str) -> str:
+        self.words.add(word)
+        return ""
+
+    known = __contains__
+
+    def proper_prefix(self, word: str) -> bool:
+        self.begun.add(word)
+        self.words.add(word)
+        return False
+
+    @property
+    def usual(self) -> _Asked:
+        return _Asked(self)
+
+    def rows(self, *keys) -> list[tuple]:
+        """(*keys, kind, token) of what was asked since the last time."""
+        asked = [(*keys, kind, x) for kind, found in (("s", self.surfaces), ("w", self.words), ("p", self.begun)) for x in found if x]
+        self.clear()
+        return asked
+
+
+class _Asked:
+    def __init__(self, asking: Asking):
+        self.asking = asking
+
+    def __contains__(self, surface: str) -> bool:
+        if surface in self.asking.frequent:
+            return True
+        self.asking.surfaces.add(surface)
+        return False
+
+
+class Own:
+    """The part of a large vocabulary that some pages asked for, with the frequent surfaces."""
+
+    def __init__(self, entries: Iterable[dict], usual: frozenset[str]):
+        self.words: dict[str, int] = {}
+        self.ordinary: dict[str, int] = {}
+        self.rights: dict[str, str] = {}
+        self.begun: set[str] = set()
+        own = set()
+        for e in entries:
+            if e["kind"] == "s":
+                own.add(e["token"])
+            elif e["kind"] == "p":
+                self.begun.add(e["token"])
+            else:
+                self.words[e["token"]] = e["n"]
+                self.ordinary[e["token"]] = e["ordinary"]
+                self.rights[e["token"]] = e["right"]
+                if e["right"]:
+                    self.words[e["right"]] = self.ordinary[e["right"]] = e["right_n"]
+        self.words = {w: n for w, n in self.words.items() if n}
+        self.usual = usual | own if own else usual
+        self.repair = Repairer({}, known=self.rights)
+
+    def known(self, word: str) -> bool:
+        return word in self.words and _in_trie(word) and not self.repair(word)
+
+    def proper_prefix(self, word: str) -> bool:
+        return bool(word) and not self.known(word) and word in self.begun
+
+
+OWN = "array<struct<kind:string,token:string,n:long,ordinary:long,right:string,right_n:long>>"
+
+
+def with_own(pages: DataFrame, lex: Lexicon, keys: tuple[str, ...], ask: Callable[[tuple, Asking], None]) -> DataFrame:
+    """The rows with a column `own`: the entries of the large vocabulary that each asks for; without `rest` as they are.
+
+    `ask` does with a row (the columns' values) and an Asking what the operator will do with the row and the vocabulary.
+    Distinct asked words are answered once for the whole table; what a row asks for is as small as its text.  `keys` tell
+    the rows apart.
+    """
+    if lex.rest is None:
+        return pages
+    sent = pages.sparkSession.sparkContext.broadcast(lex.usual)
+
+    def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asking = Asking(sent.value)
+        places = None
+        for batch in batches:
+            places = places or [batch.schema.names.index(k) for k in keys]
+            rows: list[tuple] = []
+            for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+                ask(row, asking)
+                rows += asking.rows(*(row[i] for i in places))
+            columns = list(zip(*rows)) or [()] * (len(keys) + 2)
+            types = [batch.column(i).type for i in places] + [pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [*keys, "kind", "token"])
+
+    kinds = dict(pages.dtypes)
+    asked = written(pages.mapInArrow(asks, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", kind string, token string"), "asked")
+    distinct = asked.select("kind", "token").distinct()
+    words = distinct.where("kind = 'w'").select(F.col("token").alias("word"))
+    known = lex.rest.words
+    new = words.join(known, "word", "left_anti").withColumn("ordinary", F.lit(0).cast("long"))
+    new = new.join(right_words(new, known, lex.rest.longest), "word").select("word", F.lit(0).cast("long").alias("n"), "ordinary", "right")
+    answers = words.join(known, "word").unionByName(new)
+    rights = known.select(F.col("word").alias("right"), F.col("ordinary").alias("right_n"))
+    answers = answers.join(rights, "right", "left").select(F.lit("w").alias("kind"), F.col("word").alias("token"), "n", "ordinary", "right", F.coalesce("right_n", F.lit(0)).cast("long").alias("right_n"))
+    nothing = [F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("ordinary"), F.lit("").alias("right"), F.lit(0).cast("long").alias("right_n")]
+    usual = distinct.where("kind = 's'").join(lex.rest.usual, "token", "left_semi").select("kind", "token", *nothing)
+    trie = known.where("right = '' and not contains(word, \"'\") and not contains(word, '’')").select(F.explode(F.expr("transform(sequence(1, length(word) - 1), n -> substring(word, 1, n))")).alias("token")).where("token != ''").distinct()
+    begun = distinct.where("kind = 'p'").join(trie, "token", "left_semi").select("kind", "token", *nothing)
+    answers = answers.unionByName(usual).unionByName(begun)
+    own = asked.join(answers, ["kind", "token"]).groupBy(*keys).agg(F.collect_list(F.struct("kind", "token", "n", "ordinary", "right", "right_n")).alias("own"))
+    return pages.join(own, list(keys), "left").select(*pages.columns, "own")
 
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -263,8 +474,9 @@ MISREADINGS = (
 class Repairer:
     """Finds the frequent word that a misread word was, undoing one or two misreadings; remembers what it found."""
 
-    def __init__(self, words: dict[str, int], ratio: int = 8, most_edits: int = 2):
-        self.words, self.ratio, self.most_edits, self.known = words, ratio, most_edits, {}
+    def __init__(self, words: dict[str, int], ratio: int = RATIO, most_edits: int = 2, known: dict[str, str] | None = None):
+        self.words, self.ratio, self.most_edits, self.known = words, ratio, most_edits, {} if known is None else known
+        self.longest = max(map(len, words), default=0)
 
     def undone(self, word: str) -> set[str]:
         out = set()
@@ -275,20 +487,28 @@ class Repairer:
                 at = word.find(wrong, at + 1)
         return out
 
+    def steps(self, word: str) -> Iterator[Iterable[str]]:
+        """What may have been printed, after undoing one misreading and after two.
+
+        Undoing takes at most one letter away, so a word that is longer than any known one by more than the edits has
+        nothing to be looked for; shorter ones have a bounded number of places.
+        """
+        near = {word}
+        for left in reversed(range(self.most_edits if len(word) > 3 else 1)):
+            near = {x for x in set().union(*map(self.undone, near)) if len(x) <= self.longest + left} - {word}
+            yield [x for x in near if len(x) > 2 and len(x) <= self.longest and x.replace("-", "").isalpha()]
+
     def __call__(self, word: str) -> str:
         """The right word, or '' where none is found or the word is itself well known.  Ties go to the more frequent word."""
         if (found := self.known.get(word)) is not None:
             return found
         found, own = "", self.words.get(word, 0)
-        near = {word}
-        for _ in range(self.most_edits if len(word) > 3 else 1):
-            near = set().union(*map(self.undone, near)) - {word}
-            right = [x for x in near if len(x) > 2 and self.words.get(x, 0) >= self.ratio * max(1, own) and x.replace("-", "").isalpha()]
-            if right:
-                found = max(right, key=lambda x: (self.words[x], x))
-                break
-            if len(near) > 4000:
-                break
+        if len(word) <= self.longest + self.most_edits:
+            for near in self.steps(word):
+                right = [x for x in near if self.words.get(x, 0) >= self.ratio * max(1, own)]
+                if right:
+                    found = max(right, key=lambda x: (self.words[x], x))
+                    break
         if len(self.known) < 200_000:
             self.known[word] = found
         return found

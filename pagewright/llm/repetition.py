@@ -106,19 +106,23 @@ def _with_version(pages: DataFrame) -> DataFrame:
     return pages.select(key, F.xxhash64(text).alias("version"), text)
 
 
-def fit_rules(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> dict:
+def fit_rules(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100, start: dict | None = None, belief: float = 0.0) -> dict:
     """EM for a two-class model with one accuracy and one abstention rate per rule and class.
 
-    patterns: (votes, number of pages).  Returns the prior and log-likelihood tables.  The start says that a rule is
-    right four times in five, which also fixes which class is `repetitive`.
+    patterns: (votes, number of pages).  Returns the prior and the tables of vote probabilities.  The start says that a
+    rule is right four times in five, which also fixes which class is the second.  `start` gives another: a prior, and for each
+    class a row of vote probabilities for each rule; its probabilities keep the weight `belief` beside the corpus's.
     """
     if not patterns:
-        patterns = [((0,) * len(RULES), 1)]
+        patterns = [((0,) * (len(RULES) if start is None else start["table"].shape[1]), 1)]
     votes = np.array([p for p, _ in patterns]) + 1
     weight = np.array([n for _, n in patterns], float)
     rules = votes.shape[1]
     right = np.array([[0.6, 0.25, 0.15], [0.15, 0.25, 0.6]])  # class x vote
     table, prior = np.repeat(right[:, None, :], rules, axis=1), np.array([0.9, 0.1])
+    if start is not None:
+        table, prior = start["table"].copy(), start["prior"]
+    before = table.copy()
     smooth = 0.5
     for _ in range(rounds):
         log = np.log(prior) + sum(np.log(table[:, r, votes[:, r]]).T for r in range(rules))
@@ -130,6 +134,7 @@ def fit_rules(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) ->
             for v in range(3):
                 table[:, r, v] = mass[votes[:, r] == v].sum(0) + smooth
             table[:, r] /= table[:, r].sum(1, keepdims=True)
+            table[:, r] = (table[:, r] + belief * before[:, r]) / (1 + belief)
     return {"prior": prior, "table": table}
 
 

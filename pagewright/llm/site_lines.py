@@ -28,8 +28,8 @@ FAN = 32
 BROADCAST_CANDIDATES = 200_000
 
 
-def wording(line: str) -> str:
-    """The words of a line: lower case, without punctuation, digits and spacing.  Numbers drop out."""
+def wording(line: str, least: int = MIN_WORDS) -> str:
+    """The words of a line: lower case, without punctuation, digits and spacing; '' of fewer than `least`.  Numbers drop out."""
     words = []
     for token in line.lower().split():
         if token.isalpha():
@@ -38,7 +38,7 @@ def wording(line: str) -> str:
         kept = "".join(c for c in token if c.isalpha())
         if kept and not (len(kept) < 3 and any(c.isdigit() for c in token)):
             words.append(kept)
-    return " ".join(words) if len(words) >= MIN_WORDS else ""
+    return " ".join(words) if len(words) >= least else ""
 
 
 class Summary:
@@ -165,11 +165,14 @@ def _near(a: str, b: str, most: int) -> bool:
 
 
 def same_wording(a: list[str], b: list[str]) -> bool:
-    """Equal up to single misread characters: the same number of words, most of them equal, the others within two edits."""
+    """Equal up to single misread characters: the same number of words, most of them equal, the others within two edits.
+
+    In a line of few words an edit takes four letters, or other words would do as well.
+    """
     if len(a) != len(b):
         return False
     unlike = [(x, y) for x, y in zip(a, b) if x != y]
-    return len(unlike) <= max(1, 2 * len(a) // 5) and all(_near(x, y, 2) for x, y in unlike)
+    return len(unlike) <= max(1, 2 * len(a) // 5) and all(_near(x, y, 2 if len(a) >= MIN_WORDS else min(2, len(x) // 4)) for x, y in unlike)
 
 
 class Matcher:

@@ -1,8 +1,10 @@
 """Problem 1: pages cut off by a field limit or during transfer.
 
-The corpus vocabulary, as a trie flattened to a sorted list, tells whether a page's last token is an unknown proper
-prefix of known words.  Beside it stand: how the last sentence ends, marks of a broken transfer, whether other pages
-end in the same words (printed lines, closing remarks), and whether the page has a length at which pages pile up.
+Three kinds of evidence speak about each page.  The corpus vocabulary, as a trie flattened to a sorted list, tells whether
+the last token is an unknown proper prefix of known words; lengths at which pages pile up tell of a field limit; and the
+ending itself may be open, or as other pages end (printed lines, closing remarks, finished sentences).  Each votes `cut` or
+`whole` or abstains, expectation-maximisation over the vote patterns (27 at most) learns what each vote is worth in this
+corpus, and the posterior decides.
 """
 
 from __future__ import annotations
@@ -11,11 +13,13 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Lexicon, Repairer, stem_of, written
+from .common import Asking, Lexicon, Own, Repairer, stem_of, with_own, written
+from .repetition import fit_rules, posterior
 
 #: Pages that must end in the same last words for these to count as a usual end, and their least share: three words in
 #: the corpus or in the stem, two or six words in the corpus; one word by the share of its occurrences that end a page.
@@ -24,8 +28,14 @@ USUAL_END = {"corpus": (12, 0.001), "stem": (3, 0.02), "two": (12, 0.003), "six"
 #: neighbours there have on average.
 LIMIT_STEM, LIMIT_CORPUS, LIMIT_TIMES = 3, 8, 4
 
-#: Characters at the end of a page in which its last sentence or line is looked for; lengths are those of whole pages.
-TAIL = 2000
+#: What speaks about a page, and the posterior from which on it is cut.
+EVIDENCE = ("trie", "length", "ending")
+CUT = 0.5
+#: What votes of -1, 0 and 1 are believed worth before the corpus speaks, in whole and in cut pages, and the weight that
+#: this keeps: cut pages are few, and without it those that only one kind of evidence tells may pass for odd whole ones.
+WHOLE = ((0.9, 0.09, 0.01), (0.98, 0.01, 0.01), (0.85, 0.145, 0.005))
+CUT_PAGES = ((0.45, 0.1, 0.45), (0.6, 0.01, 0.39), (0.03, 0.02, 0.95))
+BELIEF = 0.5
 
 #: Words before a signature, titles, and forms of a page number.
 SIGNED = r"(?:signed|dictated by|dictated|yours sincerely|yours faithfully|kind regards|typed by|seen by)[:,]?"
@@ -34,7 +44,7 @@ TITLES = frozenset("mr mrs ms dr prof st pt".split())
 SIGNATURE = re.compile(rf"{SIGNED}\s+((?:[\w.'’,-]+\s*){{1,6}}?)(?:,\s*\w+|\n\s*[A-Z]\w+ \w+)?$", re.I)
 NAME_LINE = re.compile(r"\n\s*([A-Z][\w.'’-]*(?:,? +[A-Z][\w.'’-]*){1,4})$")
 NUMBER_LINE = re.compile(r"(?:^|\n)\W*(?:(?:page|pg|p)\b[.:]?\s*)?\d+\W*(?:(?:of|/)\s*\d+\W*)?$", re.I)
-NUMBER_END = re.compile(r"(?:\b(?:page|pg|p\.)\s*\d+(?:\s*(?:of|/)\s*\d+)?|\[\d+\]|[-~–]\s*\d+\s*[-~–])$", re.I)
+NUMBER_END = re.compile(r"(?:^|[.!?:;|>]\s+|\n\s*)(?:\b(?:page|pg|p\.)\s*\d+(?:\s*(?:of|/)\s*\d+)?|\[\d+\]|[-~–]\s*\d+\s*[-~–])$", re.I)
 LIST_ENTRY = re.compile(r"(?:^|\s)(?:\d{1,2}[.)]|[-*•])\s+[^\W\d_]+\s+([^\W\d_]+)$")
 RESULT = re.compile(r"(?:^|[\n.;]\s*|/[a-zA-Z]+\s+)[A-Z][a-z]+(?: [a-z]+)? \d+(?:\.\d+)? ([A-Za-zµ%]+(?:/[A-Za-z]+)?)$")
 TABLE_ROW = re.compile(r"(?:^|\n)\s*\|.*$")
@@ -43,7 +53,7 @@ BROKEN = re.compile(r"(?:…|\.\.\.|�+|[\[(<{]|&#?\w*|<[a-zA-Z/][^<>]*|\([^()\
 TOKENS = re.compile(r"[^\W_]+(?:['’/.-][^\W_]+)*")
 DECIMAL = re.compile(r"\d\.$")
 
-SCHEMA = "page_key string, n_chars int, n_bytes int, last_token string, ends string, start string, form string, number boolean, prefix boolean, inside long"
+SCHEMA = "page_key string, n_chars int, n_bytes int, last_token string, ends string, start string, form string, number boolean, prefix boolean, known boolean, inside long"
 
 
 class Trie:
@@ -62,14 +72,31 @@ class Trie:
         return bool(word) and at < len(self.sorted) and self.sorted[at] != word and self.sorted[at].startswith(word)
 
 
+def last_lines(text: str) -> str:
+    """The last two lines with text, whole, without the space behind them."""
+    s = text.rstrip()
+    end = s.rfind("\n")
+    return s if end < 0 else s[s.rfind("\n", 0, len(s[:end].rstrip())) + 1 :]
+
+
+def last_tokens(text: str, n: int) -> list[str]:
+    """The last n tokens of a text, looked for from its end."""
+    size = 100
+    while True:
+        found = TOKENS.findall(text[-size:])
+        if len(found) > n or size >= len(text):  # the first of a part may be cut
+            return found[-n:]
+        size *= 4
+
+
 def tail_features(text: str, trie: Trie, repair, page_number: str) -> tuple:
     """(last token, last three words, the three before them, form of the end, ends in a bare number, last token is an unknown proper prefix).
 
     form: `broken`, `sentence`, `signature`, `list`, `result`, `table`, `number` or `open`.
     """
-    s = text.rstrip()[-TAIL:]
-    bare = CLOSERS.sub("", s) if s[-1] in ">}`|])*_\"'”’" else s
-    six = TOKENS.findall(s[-160:])[-6:]
+    s, flat = text.rstrip(), last_lines(text)
+    bare = CLOSERS.sub("", flat) if s[-1] in ">}`|])*_\"'”’" else flat
+    six = last_tokens(s, 6)
     words = six[-3:]
     last = words[-1] if words else ""
     word = last.lower()
@@ -80,16 +107,15 @@ def tail_features(text: str, trie: Trie, repair, page_number: str) -> tuple:
     start = " ".join("0" if w[0].isdigit() else w.lower() for w in six[:-3])
     closed = bare[-1:] in (".", "!", "?", "。")
     prefix = not last.isdigit() and trie.proper_prefix(word) and not closed
-    flat = s[-200:]
     if NUMBER_LINE.search(flat) and (flat.rstrip().split("\n")[-1].strip(" -~[]().pPageg:of/0123456789") == ""):
         line = s.rsplit("\n", 1)[-1]
         if "\n" in s and (not DECIMAL.search(line)):
             return last, " ".join(ends), start, "number", False, prefix
-    if NUMBER_END.search(flat) and "see film" not in flat[-16:]:
+    if NUMBER_END.search(flat):
         return last, " ".join(ends), start, "number", False, prefix
     if bare[-1:].isdigit() and last == page_number and re.search(r"[.!?\n]\s*\d+$", flat):
         return last, " ".join(ends), start, "number", False, prefix
-    if BROKEN.search(bare) and not (s is not bare and s[-1] in ")]>"):
+    if BROKEN.search(bare) and not (flat is not bare and s[-1] in ")]>"):
         return last, " ".join(ends), start, "broken", False, prefix
     signed = SIGNATURE.search(flat)
     if closed:
@@ -103,11 +129,11 @@ def tail_features(text: str, trie: Trie, repair, page_number: str) -> tuple:
         form = "table"
     elif signed or NAME_LINE.search(flat):
         form = "signature"
-    elif entry := LIST_ENTRY.search(bare[-120:]):
+    elif entry := LIST_ENTRY.search(bare):
         form = "list" if trie.known(entry[1].lower()) or repair(entry[1].lower()) else "open"
-    elif (found := RESULT.search(bare[-120:])) and trie.known(found[1].lower()):
+    elif (found := RESULT.search(bare)) and trie.known(found[1].lower()):
         form = "result"
-    elif s is not bare and s[-1] in ">}":
+    elif flat is not bare and s[-1] in ">}":
         form = "table"
     else:
         form = "open"
@@ -116,75 +142,110 @@ def tail_features(text: str, trie: Trie, repair, page_number: str) -> tuple:
 
 def ends_of_pages(pages: DataFrame, lex: Lexicon) -> DataFrame:
     """One small row for each page with text: its lengths and how it ends.  Lengths count whole texts."""
-    sent = pages.sparkSession.sparkContext.broadcast((lex.prefixes(), lex.repair.words))
+    large = lex.rest is not None
+    sent = pages.sparkSession.sparkContext.broadcast((lex.usual,) if large else (lex.prefixes(), lex.repair.words))
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ordinary = sent.value
-        trie, repair = Trie(words), Repairer(ordinary)
+        if not large:
+            words, ordinary = sent.value
+            trie, repair = Trie(words), Repairer(ordinary)
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [], [], [], [], [])
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: tuple[list, ...] = tuple([] for _ in kinds)
+            for key, text, *own in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
                 if not text or not text.strip():
                     continue
-                number = key.rsplit("_page_", 1)[-1].lstrip("0")
-                last, ends, start, form, decimal, prefix = tail_features(text, trie, repair, number)
+                if large:
+                    trie = Own(own[0] or (), *sent.value)
+                    repair, ordinary = trie.repair, trie.ordinary
+                last, ends, start, form, decimal, prefix = tail_features(text, trie, repair, page_number(key))
+                final = last.lower()
                 if form == "sentence":
                     ends += "."
                 n_bytes = len(text) if text.isascii() else len(text.encode("utf-8", "replace"))
                 inside = ordinary.get(ends.rsplit(" ", 1)[-1].rstrip("."), 0)
-                for x, v in zip(out, (key, len(text), n_bytes, last, ends, start, form, decimal, prefix, inside)):
+                for x, v in zip(out, (key, len(text), n_bytes, last, ends, start, form, decimal, prefix, last.isdigit() or trie.known(final), inside)):
                     x.append(v)
-            kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], ["page_key", "n_chars", "n_bytes", "last_token", "ends", "start", "form", "number", "prefix", "inside"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names)
+
+    def ask(row: tuple, asking: Asking) -> None:
+        if row[1] and row[1].strip():
+            last, ends, *_ = tail_features(row[1], asking, asking, page_number(row[0]))
+            asking.words |= {last.lower(), *ends.split()}  # also as the last word that is counted, misread or not
+
+    return with_own(pages.select("page_key", "clean_ocr"), lex, ("page_key",), ask).mapInArrow(run, SCHEMA)
 
-    return pages.mapInArrow(run, SCHEMA)
+
+def page_number(key: str) -> str:
+    return key.rsplit("_page_", 1)[-1].lstrip("0")
+
+
+def _marked(rows: DataFrame, groups: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The rows with a flag that tells whether their group is one of the few given."""
+    return rows.join(groups.select(*keys, F.lit(True).alias(name)), keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def truncation(pages: DataFrame, lex: Lexicon) -> DataFrame:
-    """(page_key, stem, n_chars, last_token, form, usual_end, at_limit, prefix, cut) for each page with text.
+    """(page_key, stem, n_chars, last_token, form, usual_end, at_limit, prefix, p_cut, cut) for each page with text.
 
-    Null, empty and blank texts have no row.  Statistics of ends and lengths run over all pages; the groups by stem or
-    length are counted with partial aggregation and joined back, so that no group is gathered in one task.
+    Null, empty and blank texts have no row.  Statistics of ends and lengths run over all pages with partial aggregation,
+    and only the groups that pass a threshold, which are few, are joined back, so that no group is gathered in one task.
     """
     rows = written(ends_of_pages(pages, lex).withColumn("stem", stem_of()), "page-ends")
-    whole = rows.groupBy("stem").agg(F.count("*").alias("in_stem"))
-    by_stem = rows.where("form in ('open', 'sentence')").groupBy("stem", "ends").agg(F.count("*").alias("end_stem"))
-    by_all = by_stem.groupBy("ends").agg(F.sum("end_stem").alias("end_all"))
-    by_two = by_all.groupBy(F.substring_index("ends", " ", -2).alias("two")).agg(F.sum("end_all").alias("end_two"))
-    by_six = rows.groupBy("start", "ends").agg(F.count("*").alias("end_six"))
-    opened = rows.where("form = 'open'").groupBy(F.substring_index("ends", " ", -1).alias("one")).agg(F.count("*").alias("end_one"))
     rows = rows.withColumn("two", F.substring_index("ends", " ", -2)).withColumn("one", F.substring_index("ends", " ", -1))
+    whole = rows.groupBy("stem").agg(F.count("*").alias("in_stem"))
+    n_pages = whole.agg(F.sum("in_stem")).first()[0] or 0
+    by_stem = rows.where("form in ('open', 'sentence')").groupBy("stem", "ends").agg(F.count("*").alias("n"))
+    by_all = by_stem.groupBy("ends").agg(F.sum("n").alias("n"))
+    by_two = by_all.groupBy(F.substring_index("ends", " ", -2).alias("two")).agg(F.sum("n").alias("n"))
+    by_six = rows.groupBy("start", "ends").agg(F.count("*").alias("n"))
+    by_one = rows.where("form = 'open'").groupBy("one").agg(F.count("*").alias("n"), F.max("inside").alias("inside"))
+
+    def often(groups: DataFrame, rule: str) -> DataFrame:
+        """Groups of the least number and share of all pages; a share bounds how many there are."""
+        least, share = USUAL_END[rule]
+        return F.broadcast(groups.where(F.col("n") >= max(least, share * n_pages)))
+
+    least, share = USUAL_END["stem"]
+    own = by_stem.where(F.col("n") >= least).join(whole, "stem").where(F.col("n") >= share * F.col("in_stem"))
+    least, share = USUAL_END["word"]
+    single = by_one.where((F.col("n") >= least) & (F.col("n") >= share * (F.col("n") + F.col("inside"))) & (F.length("one") >= 3))
+    full = _marked(rows, often(by_all, "corpus"), ["ends"], "u_corpus")
+    full = _marked(full, often(by_two, "two"), ["two"], "u_two")
+    full = _marked(full, often(by_six, "six"), ["start", "ends"], "u_six")
+    full = _marked(full, own, ["stem", "ends"], "u_stem")
+    full = _marked(full, single, ["one"], "u_word")
+    usual = F.col("u_corpus") | F.col("u_two") | F.col("u_six") | F.col("u_stem") | (F.col("u_word") & ~F.col("prefix"))
+
     # a window holds the different lengths of one stem, not its pages
-    around = lambda n, length: F.sum(n).over(Window.partitionBy("stem").orderBy(length).rangeBetween(-8, 8)) / 17
-    lengths = rows.groupBy("stem", "n_chars").agg(F.count("*").alias("len_stem")).withColumn("len_around", around("len_stem", "n_chars"))
-    byte_lengths = rows.groupBy("stem", "n_bytes").agg(F.count("*").alias("bytes_stem")).withColumn("bytes_around", around("bytes_stem", "n_bytes"))
-    per_length = lengths.groupBy("n_chars").agg(F.sum("len_stem").alias("len_all"))
-    near = per_length.select(F.explode(F.expr("transform(sequence(-8, 8), d -> n_chars + d)")).alias("n_chars"), F.col("len_all").alias("n"))
-    spread = near.groupBy("n_chars").agg((F.sum("n") / 17).alias("len_near"))
-    limits = per_length.join(spread, "n_chars")
-    least, share = USUAL_END["corpus"]
-    s_least, s_share = USUAL_END["stem"]
-    full = rows.join(whole, "stem").join(by_stem, ["stem", "ends"], "left").join(by_all, "ends", "left").join(by_two, "two", "left").join(by_six, ["start", "ends"], "left").join(opened, "one", "left")
-    full = full.join(lengths, ["stem", "n_chars"], "left").join(byte_lengths, ["stem", "n_bytes"], "left").join(limits, "n_chars", "left")
-    pages_all = whole.agg(F.sum("in_stem")).first()[0] or 0
-    n = {c: F.coalesce(c, F.lit(0)) for c in ("end_all", "end_stem", "end_two", "end_six", "end_one")}
-    two, two_share = USUAL_END["two"]
-    one, one_share = USUAL_END["word"]
-    usual = (n["end_all"] >= max(least, share * pages_all)) | ((n["end_stem"] >= s_least) & (n["end_stem"] >= s_share * F.col("in_stem")))
-    usual = usual | (n["end_two"] >= max(two, two_share * pages_all))
-    six, six_share = USUAL_END["six"]
-    usual = usual | (n["end_six"] >= max(six, six_share * pages_all))
-    own = n["end_one"] >= one_share * (n["end_one"] + F.col("inside"))
-    usual = usual | ((n["end_one"] >= one) & own & ~F.col("prefix") & (F.length("one") >= 3))
-    at_limit = (F.col("len_stem") >= LIMIT_STEM) & (F.col("len_stem") >= LIMIT_TIMES * F.col("len_around"))
-    at_limit = at_limit | (F.col("bytes_stem") >= LIMIT_STEM) & (F.col("bytes_stem") >= LIMIT_TIMES * F.col("bytes_around"))
-    at_limit = at_limit | ((F.col("len_all") >= LIMIT_CORPUS) & (F.col("len_all") >= LIMIT_TIMES * F.col("len_near")))
-    full = full.withColumn("usual_end", usual).withColumn("at_limit", F.coalesce(at_limit, F.lit(False)))
-    open_end = (F.col("form") == "open") & ~F.col("usual_end")
-    mid_word = F.col("form").isin("signature", "list", "result") & F.col("prefix") & F.col("at_limit")
-    mid_number = (F.col("form") == "sentence") & F.col("number") & F.col("at_limit") & ~F.col("usual_end")
-    cut = (F.col("form") == "broken") | open_end | mid_word | mid_number
-    return full.select("page_key", "stem", "n_chars", "last_token", "ends", "form", "usual_end", "at_limit", "prefix", cut.alias("cut"))
+    around = lambda length: F.sum("n").over(Window.partitionBy("stem").orderBy(length).rangeBetween(-8, 8)) / 17
+    limits = [rows.groupBy("stem", length).agg(F.count("*").alias("n")).withColumn("around", around(length)) for length in ("n_chars", "n_bytes")]
+    per_length = rows.groupBy("n_chars").agg(F.count("*").alias("n"))
+    near = per_length.select(F.explode(F.expr("transform(sequence(-8, 8), d -> n_chars + d)")).alias("n_chars"), "n")
+    spread = near.groupBy("n_chars").agg((F.sum("n") / 17).alias("around"))
+    full = _marked(full, limits[0].where((F.col("n") >= LIMIT_STEM) & (F.col("n") >= LIMIT_TIMES * F.col("around"))), ["stem", "n_chars"], "l_chars")
+    full = _marked(full, limits[1].where((F.col("n") >= LIMIT_STEM) & (F.col("n") >= LIMIT_TIMES * F.col("around"))), ["stem", "n_bytes"], "l_bytes")
+    full = _marked(full, per_length.where(F.col("n") >= LIMIT_CORPUS).join(spread, "n_chars").where(F.col("n") >= LIMIT_TIMES * F.col("around")), ["n_chars"], "l_all")
+    full = full.withColumn("usual_end", usual).withColumn("at_limit", F.col("l_chars") | F.col("l_bytes") | F.col("l_all"))
+    return decided(full).select("page_key", "stem", "n_chars", "last_token", "ends", "form", "usual_end", "at_limit", "prefix", "p_cut", (F.col("p_cut") >= CUT).alias("cut"))
+
+
+def decided(rows: DataFrame) -> DataFrame:
+    """The rows with `p_cut`, the posterior of being cut given what trie, length and ending say."""
+    may_go_on = (F.col("form") == "sentence") & F.col("number") & F.col("at_limit") & ~F.col("usual_end")  # 3.| of 3.5
+    votes = {
+        "trie": F.when(F.col("prefix"), 1).when(F.col("known"), -1).otherwise(0),
+        "length": F.when(F.col("at_limit"), 1).otherwise(-1),
+        "ending": F.when((F.col("form") == "broken") | may_go_on | ((F.col("form") == "open") & ~F.col("usual_end")), 1).when(F.col("form").isin("list", "result", "signature"), 0).otherwise(-1),
+    }
+    rows = written(rows.withColumns({f"vote_{k}": v for k, v in votes.items()}), "page-evidence")
+    names = [f"vote_{k}" for k in EVIDENCE]
+    patterns = [(tuple(r[n] for n in names), r["n"]) for r in rows.groupBy(*names).agg(F.count("*").alias("n")).collect()]
+    model = fit_rules(patterns, start={"prior": np.array([0.95, 0.05]), "table": np.array([WHOLE, CUT_PAGES])}, belief=BELIEF)
+    told = [(*votes, posterior(model, votes)) for votes, _ in patterns]
+    known = rows.sparkSession.createDataFrame(told, ", ".join(f"{n} int" for n in names) + ", p_cut double")
+    return rows.join(F.broadcast(known), names)
 
 
 def truncated_share(found: DataFrame) -> DataFrame:

@@ -284,3 +284,96 @@ def test_short_texts_vouch_for_words(spark, written_tables):
     text = "Тhе хаnthelasma was not seen again, and the ward round went on as planned without any change of the doses at noon."
     folder = written_tables(documents=[(k, t, None, None, None, None, None, None) for k, t in enumerate([text, text.replace("х", "x"), "xanthelasma", "The"])])
     assert {(r.doc_id_a, r.doc_id_b) for r in QUERIES["p10_found"](spark, folder).collect()} == {(0, 1)}
+
+
+# ---- 5
+
+
+def test_running_headers_of_any_length(spark, written_tables):
+    """Short headers go, lines that stand on few pages or inside a page stay, and numbers of pages are exact."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(1, 21):
+        body = [" ".join(rng.choices(WORDS, k=8)).capitalize() + "." for _ in range(16)]
+        if k <= 3:
+            body[0] = "See the note of the second ward"  # on three of twenty pages
+        body[8] = "Ward Seven Notes"  # inside the page it is text
+        head = "Ward 5even Notes" if k == 4 else "Ward Sevon Notes" if k == 5 else "WARD SEVEN NOTES"
+        rows.append(audit_row(f"s_page_{k:02d}", "\n".join([head, *body, f"- {k} -" if k % 2 else f"{'-' * 60} {k} {'-' * 60}"])))
+    texts = {r.page_key: r.text for r in QUERIES["p5_repaired"](spark, written_tables(audit_trail=rows)).collect()}
+    for key, text in texts.items():
+        assert text.lower().count("seven notes") == 1 and "sevon" not in text.lower() and "--" not in text, text
+        assert ("second ward" in text) == (key <= "s_page_03")
+
+
+def test_vocabulary_joined_and_broadcast_are_equal(spark, data, monkeypatch):
+    """What p1 and p5 know doesn't depend on whether the vocabulary can be broadcast."""
+    names = ("p1_truncation", "p5_found", "p5_repaired", "p5_repaired_raw")
+
+    def rows():
+        return {name: sorted(map(repr, QUERIES[name](spark, data).collect())) for name in names}
+
+    broadcast = rows()
+    assert all(broadcast.values()) and any("misread" in r for r in broadcast["p5_found"])
+    for most in (50, 0):  # some frequent surfaces are broadcast, or none
+        monkeypatch.setattr(common, "MAX_FREQUENT", most)
+        joined = rows()
+        for name in names:
+            assert joined[name] == broadcast[name], name
+
+
+def test_misread_words_by_brute_force():
+    words = {"".join(random.Random(k).choices("abcdeimnorstu", k=3 + k % 9)): 10 * (k + 1) for k in range(60)}
+    fix = common.Repairer(words)
+    rng = random.Random(3)
+    for word in [*words, *("".join(rng.choices("0158cnrilvtf", k=rng.randrange(1, 9))) for _ in range(200))]:
+        near, want = {word}, ""
+        for _ in range(2 if len(word) > 3 else 1):
+            near = {w[:i] + right + w[i + len(wrong) :] for w in near for wrong, right in common.MISREADINGS for i in range(len(w)) if w.startswith(wrong, i)} - {word}
+            fits = [w for w in near if len(w) > 2 and words.get(w, 0) >= 8 * max(1, words.get(word, 0))]
+            if fits:
+                want = max(fits, key=lambda w: (words[w], w))
+                break
+        assert fix(word) == want
+    assert fix("il" * 50_000) == ""
+
+
+# ---- 1
+
+
+def test_trie_and_length_decide(spark, written_tables, monkeypatch):
+    """A page that ends in a signature is whole, unless its last token is cut and its length is one at which pages pile up."""
+    rng = random.Random(6)
+    rows, want = [], set()
+    for k in range(400):
+        text = " ".join(" ".join(rng.choices(WORDS, k=9)).capitalize() + "." for _ in range(rng.randrange(12, 40)))
+        if k < 12:  # cut in a signature
+            text = text[:583] + "\nSigned: Ann Smithfie"[: 600 - 583]
+        elif k < 60:
+            text += f"\nSigned: Ann {rng.choice(['Smithfield', 'Smithson', 'Smithers'])}"
+        elif k < 100:  # cut in a sentence, by the same limit or during transfer
+            text = text[: 600 if k % 2 else 300 + k].rstrip(". ")
+        if k < 12 or 60 <= k < 100:
+            want.add(f"s_page_{k:03d}")
+        rows.append(audit_row(f"s_page_{k:03d}", text))
+    rows += [audit_row(f"t_page_{k}", "Ann Smithfield, Smithson and Smithers were seen.") for k in range(9)]
+    folder = written_tables(audit_trail=rows)
+
+    def cut():
+        return {r.page_key for r in QUERIES["p1_found"](spark, folder).collect()}
+
+    found = cut()
+    assert (found - want, want - found) == (set(), set())
+    monkeypatch.setattr(truncation, "EVIDENCE", ("ending",))
+    monkeypatch.setattr(truncation, "WHOLE", truncation.WHOLE[2:])
+    monkeypatch.setattr(truncation, "CUT_PAGES", truncation.CUT_PAGES[2:])
+    assert cut() == {key for key in want if key >= "s_page_060"}  # without trie and length
+
+
+def test_long_last_lines_are_read_whole():
+    trie = truncation.Trie(sorted(["the", "wound"]))
+    row = "| " + "a cell of a long row | " * 60
+    assert truncation.tail_features(f"Test\n{row}", trie, lambda w: "", "7")[3] == "table"
+    assert truncation.last_lines("one\ntwo\n\nthree \n") == "two\n\nthree" and truncation.last_lines("x" * 9000) == "x" * 9000
+    for text in ("a b c", "", "-- !", "w " * 3000, "x" * 5000 + " y z", "one two three four five six seven"):
+        assert truncation.last_tokens(text, 6) == truncation.TOKENS.findall(text)[-6:]
