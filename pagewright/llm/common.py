@@ -297,12 +297,15 @@ def word_counts(counts: DataFrame) -> DataFrame:
     return counts.select("token", "n").mapInArrow(words, "token string, word string, n long, lower long")
 
 
-def rest_of(counts: DataFrame, names: DataFrame) -> Rest:
-    """The tables of a vocabulary (token, n); names: (word), distinct, of which those that the corpus doesn't write small are none of its ordinary words."""
+def rest_of(counts: DataFrame, names: DataFrame, always: bool = False) -> Rest:
+    """The tables of a vocabulary (token, n).
+
+    names: (word), distinct, none of them an ordinary word; unless `always`, only those that the corpus doesn't write small.
+    """
     surfaces = written(word_counts(counts), "surface-words")
     words = surfaces.where("word != ''").groupBy("word").agg(F.sum("n").alias("n"), F.sum("lower").alias("lower"))
     named = names.withColumn("listed", F.lit(True))
-    ordinary = F.when(F.col("listed").isNotNull() & (F.col("lower") < NAME_LOWER * F.col("n")), F.lit(0)).otherwise(F.col("n"))
+    ordinary = F.when(F.col("listed").isNotNull() & (F.lit(always) | (F.col("lower") < NAME_LOWER * F.col("n"))), F.lit(0)).otherwise(F.col("n"))
     words = written(words.join(named, "word", "left").select("word", "n", ordinary.cast("long").alias("ordinary")), "word-counts")
     longest = words.where("ordinary > 0").agg(F.max(F.length("word"))).first()[0] or 0
     known = written(words.join(right_words(words.select("word", "ordinary"), words, longest), "word", "left").select(*words.columns, F.coalesce("right", F.lit("")).alias("right")), "known-words")

@@ -1,9 +1,10 @@
 """Problem 2: personal identifiers in pages and lists, found and replaced by typed placeholders.
 
 Recognisers propose e-mail addresses, phone and identity numbers and street addresses; words that the corpus doesn't
-use as ordinary words propose names.  A skip-chain conditional random field decides: neighbouring tokens are linked in
-a chain, equal or similar tokens anywhere in the text by skip edges, and loopy message passing makes their labels agree.
-Its weights are fitted on a bounded sample of pages whose identifiers redaction and extraction listed.
+use as ordinary words propose names.  A skip-chain conditional random field decides about all of them, in pages and in
+listed elements alike: neighbouring tokens are linked in a chain, equal or similar tokens anywhere in the text by skip
+edges, and loopy message passing makes their labels agree.  Its unary, chain and skip weights are trained together, by the
+same message passing, on a bounded sample of pages whose identifiers redaction and extraction listed.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .common import EDGE, Lexicon, Repairer, bounded_sample, counted, current_rows, frequent, inner_tokens, looked_up, table, word_of, written
-from .name_variants import FORMAL, near, parse
+from .common import EDGE, Asking, Lexicon, Own, Repairer, bounded_sample, counted, current_rows, frequent, looked_up, table, with_own, word_of, written
+from .name_variants import FORMAL, deletes, near, parse
 
 #: Labelled pages that the weights are fitted on, at most; passes over them; rounds of message passing.
-FIT_PAGES, EPOCHS, ROUNDS = 3_000, 40, 4
+FIT_PAGES, EPOCHS, ROUNDS = 3_000, 20, 4
+#: Passes in which all weights are trained together; how far an edge's weight may go.
+JOINT, MOST = 10, 3.0
 #: The lists miss identifiers: an unlisted token that the fitted weights give a label with this probability gets it, and
 #: the weights are fitted again, RELABELLED times.
 MISSED, RELABELLED = 0.25, 2
@@ -55,9 +59,9 @@ LAST_GROUP = re.compile(r"[\s.-]+\d+$")
 TOKEN = re.compile(r"\S+")
 INITIALS = re.compile(r"[A-Z]\.?|[A-Z]{2}\.?|(?:[A-Z]\.){2,3}")
 NOT_ALNUM = re.compile(r"[\W_]+")
-#: What the shape of a number says by itself for `identifier`, as a logarithm; the lists miss some contexts altogether.
-PRIOR = {"phone": 3.0, "ni": 3.0}
-KIND = {"phone": "phone", "nhs": "id_number", "ni": "id_number", "unit": "id_number"}
+#: Means of the prior of the weight that a feature has for a label; what the lists never tell stays at it.
+PRIOR = {"kind phone": (3, 3.0), "kind ni": (3, 3.0), "kind email": (3, 3.0), "kind address": (3, 3.0), "title True": (1, 2.0)}
+KIND = {"phone": "phone", "nhs": "id_number", "ni": "id_number", "unit": "id_number", "email": "email", "address": "address"}
 
 
 def plain(text: str) -> str:
@@ -81,12 +85,13 @@ class Node:
 class Vocabulary:
     """Ordinary words and surfaces, and words of names of persons and organisations with their numbers; all bounded.
 
-    Listed words beyond the bound stay in the table `rest` (token, n), and `beside` takes in those that a text needs.
+    Listed words beyond the bound stay in the table `rest` (token, n), and `beside` takes in those that a text needs.  So do
+    ordinary words, in the tables of `lex`.
     """
 
-    def __init__(self, usual: frozenset[str], words: dict[str, int], persons: dict[str, int], places: dict[str, int], rest: DataFrame | None = None):
-        self.usual, self.words, self.persons, self.places, self.rest = usual, words, persons, places, rest
-        self.repair = Repairer(words)
+    def __init__(self, usual: frozenset[str], words: dict[str, int], persons: dict[str, int], places: dict[str, int], rest: DataFrame | None = None, lex: Lexicon | None = None):
+        self.usual, self.words, self.persons, self.places, self.rest, self.lex = usual, words, persons, places, rest, lex
+        self.repair = Repairer(words) if isinstance(words, dict) else words
 
     def beside(self, own: dict[str, int]) -> Vocabulary:
         """The same with further listed words, given as `p word` or `o word`."""
@@ -111,7 +116,10 @@ def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
         return [f"{found[0][0]} {w}" for w in (found[1] + " " + found[2]).split() if len(w) > 2]
 
     listed = written(counted(lists, tagged).where("n >= 2"), "listed-words")
-    lex = Lexicon(frequent(counted(audit.select("clean_ocr"), inner_tokens)))
+    surfaces = common.surface_counts(spark, folder)
+    if surfaces.count() > common.MAX_FREQUENT:
+        return _large(surfaces, listed)
+    lex = Lexicon({r.token: r.n for r in surfaces.collect()})
     if listed.count() <= common.BROADCAST_NAMES:
         both, rest = {r.token: r.n for r in listed.collect()}, None
     else:
@@ -135,6 +143,28 @@ def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
     return Vocabulary(usual, words, persons, places, rest)
 
 
+def _large(surfaces: DataFrame, listed: DataFrame) -> Vocabulary:
+    """The same by joins, for a corpus with more surfaces than can be broadcast: words stay in tables, see `with_words`."""
+    spark = surfaces.sparkSession
+    counts = common.word_counts(surfaces)
+    small = counts.join(common.rest_of(surfaces, surfaces.select(F.col("token").alias("word")).limit(0)).usual, "token", "left_semi").where("lower > 0").select("word").distinct().withColumn("small", F.lit(True))
+    totals = counts.groupBy("word").agg(F.sum("n").alias("total"))
+    names = listed.withColumn("word", F.substring_index("token", " ", -1)).join(totals, "word", "left").join(small, "word", "left")
+    person = F.col("token").startswith("p ") & (F.col("small").isNull() | (F.col("n") > 0.5 * F.coalesce("total", F.lit(1))))
+    place = F.col("token").startswith("o ") & F.col("small").isNull()
+    names = written(names.where(person | place).select("token", "n", "word"), "name-words")
+    # a word is no ordinary one if it is a name, without its possessive or its apostrophes
+    forms = totals.select("word", F.explode(F.array("word", F.regexp_replace("word", "['’]s$", ""), F.replace("word", F.lit("'"), F.lit("")))).alias("form"))
+    none = forms.join(names.select(F.col("word").alias("form")).distinct(), "form", "left_semi").select("word").distinct()
+    rest = common.rest_of(surfaces, none, always=True)
+    nicknames = spark.createDataFrame([(w,) for w in FORMAL], "word string").join(totals, "word", "left_anti")
+    extra = nicknames.select(F.concat(F.lit("p "), "word").alias("token")).join(names, "token", "left_anti").select("token", F.lit(2).cast("long").alias("n"))
+    usual = rest.usual.join(none.join(counts, "word").select("token"), "token", "left_anti")
+    rest = rest._replace(usual=written(usual, "usual-surfaces"))
+    lex = Lexicon(frequent(surfaces.join(rest.usual, "token", "left_semi"), common.MAX_FREQUENT), rest=rest)
+    return Vocabulary(lex.usual, {}, {}, {}, names.select("token", "n").unionByName(extra), lex)
+
+
 def name_form(surface: str) -> str | None:
     """The form in which a token is looked up among listed words; None of what can't be a name's word."""
     bare = surface.strip(EDGE)
@@ -149,9 +179,9 @@ def needed(text: str, usual: frozenset[str]) -> set[str]:
     return forms | {form[:-1] for form in forms if form[-1] == "s"}
 
 
-def with_listed(pages: DataFrame, v: Vocabulary, *fields: str) -> DataFrame:
-    """(page_key, *fields), and if listed words were left in a table `own`: those that the page needs, with their numbers."""
-    pages = pages.select("page_key", *fields)
+def with_listed(pages: DataFrame, v: Vocabulary, *fields: str, key: str = "page_key") -> DataFrame:
+    """(key, *fields), and where the vocabulary was left in tables `listed` and `own`: what the row needs of listed and of other words."""
+    pages = pages.select(key, *fields)
     if v.rest is None:
         return pages
     sent = pages.sparkSession.sparkContext.broadcast(v.usual)
@@ -159,23 +189,41 @@ def with_listed(pages: DataFrame, v: Vocabulary, *fields: str) -> DataFrame:
     def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)))
-            pairs = [(key, w) for key, *texts in rows for w in set().union(*(needed(t, sent.value) for t in texts if t))]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], ["page_key", "word"])
+            pairs = [(k, w) for k, *texts in rows for w in set().union(*(needed(t, sent.value) for t in texts if t))]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], [key, "word"])
 
     rest = v.rest.select(F.substring_index("token", " ", -1).alias("word"), F.struct("token", "n").alias("entry"))
-    own = pages.mapInArrow(needs, "page_key string, word string").join(rest, "word").groupBy("page_key").agg(F.collect_set("entry").alias("own"))
-    return pages.join(own, "page_key", "left").select("page_key", *fields, "own")
+    own = pages.mapInArrow(needs, f"{key} string, word string").join(rest, "word").groupBy(key).agg(F.collect_set("entry").alias("listed"))
+    pages = pages.join(own, key, "left").select(key, *fields, "listed")
+    if v.lex is None:
+        return pages
+
+    def ask(row: tuple, asking: Asking) -> None:
+        for text in row[1 : 1 + len(fields)]:
+            if text:
+                nodes_of(text, Vocabulary(asking.usual, asking, {}, {}))
+                element_words(text, asking, asking.usual)
+
+    return with_own(pages, v.lex, (key,), ask)
 
 
 def _beside(v: Vocabulary, batch: pa.RecordBatch) -> Vocabulary:
-    """The vocabulary with the listed words that the rows of a batch of `with_listed` brought along."""
-    if "own" not in batch.schema.names:
-        return v
-    return v.beside({x["token"]: x["n"] for row in batch.column("own").to_pylist() for x in row or ()})
+    """The vocabulary with the words that the rows of a batch of `with_listed` brought along."""
+    names = batch.schema.names
+    if "listed" in names:
+        v = v.beside({x["token"]: x["n"] for row in batch.column(names.index("listed")).to_pylist() for x in row or ()})
+    if "own" in names:
+        own = Own([x for row in batch.column(names.index("own")).to_pylist() for x in row or ()], v.usual)
+        v = Vocabulary(own.usual, {w: n for w, n in own.ordinary.items() if n}, v.persons, v.places)
+        v.repair = own.repair
+    return v
+
 
+def recognised(text: str, usual) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """(spans of e-mail addresses and street addresses, number spans by shape) as (start, end, kind).
 
-def recognised(text: str, words: dict[str, int]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """(sure spans of e-mail addresses and street addresses, number spans by shape) as (start, end, kind)."""
+    What stands for the town where no postcode follows must not be a word that the corpus usually writes small (`usual`).
+    """
     sure: list[tuple[int, int, str]] = []
     if "@" in text or "at)" in text or "at]" in text:
         sure += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
@@ -183,7 +231,7 @@ def recognised(text: str, words: dict[str, int]) -> tuple[list[tuple[int, int, s
         start, town = m.start(), m["town"].lower()
         if flat := FLAT.search(text, max(0, start - 24), start):
             start = flat.start()
-        if m["post"] is None and (town in words or not m["comma"]) or BLANK_LINE.search(text[start : m.end()]):
+        if m["post"] is None and (not m["comma"] or town in usual) or BLANK_LINE.search(text[start : m.end()]):
             continue
         sure.append((start, m.end() if m["post"] else m.end("town"), "address"))
     numbers = []
@@ -205,32 +253,40 @@ def recognised(text: str, words: dict[str, int]) -> tuple[list[tuple[int, int, s
     return sure, numbers
 
 
-def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int, str]], list[tuple[int, int]]]:
-    """(nodes, sure spans, spans of all tokens) of a text."""
-    sure, numbers = recognised(text, v.words)
+def nodes_of(text: str, v: Vocabulary, where: str = "") -> tuple[list[Node], list[tuple[int, int, str]], list[tuple[int, int]]]:
+    """(nodes, spans of e-mail and street addresses, spans of all tokens) of a text.
+
+    `where` is set for listed elements, which have no context: their nodes bear the feature instead.
+    """
+    sure, numbers = recognised(text, v.usual)
     taken = sorted([(a, b) for a, b, _ in sure] + [(a, b) for a, b, _ in numbers])
     spans = list(map(re.Match.span, TOKEN.finditer(text)))
     nodes: list[Node] = []
 
     def cue(at: int) -> str:
-        return word_of(text[spans[at][0] : spans[at][1]]) if 0 <= at < len(spans) else "^"
+        """The word of a token, without a tag before it."""
+        return word_of(text[spans[at][0] : spans[at][1]].rstrip(EDGE).rsplit(">", 1)[-1]) if 0 <= at < len(spans) else "^"
 
     def context(at: int) -> str:
         """The word before a name; what ends another sentence says nothing about it."""
         word = cue(at)
         return "." if word not in TITLES and 0 <= at < len(spans) and text[spans[at][1] - 1] in ".!?" else word
 
-    if numbers:
+    if taken:
         starts = {a: k for k, (a, _) in enumerate(spans)}
-        for a, b, kind in numbers:
+        for a, b, kind in (*sure, *numbers):
             k = starts.get(a)
             if k is None:
                 k = next((i for i, (x, y) in enumerate(spans) if x <= a < y), 0)
             digits = re.sub(r"\D", "", text[a:b])
-            features = [f"kind {kind}", f"before {cue(k - 1)}", f"before2 {cue(k - 2)} {cue(k - 1)}", f"{kind} before {cue(k - 1)}"]
+            features = [f"kind {kind}", f"kind {kind} {where}"]
+            if not where:
+                features += [f"before {cue(k - 1)}", f"before2 {cue(k - 2)} {cue(k - 1)}", f"{kind} before {cue(k - 1)}"]
+            if kind == "address":
+                features.append(f"post {text[b - 1].isalpha() and text[b - 3].isdigit()} {where}")
             if kind == "nhs":
-                features.append(f"check {valid_nhs(digits)}")
-            nodes.append(Node(a, b, kind, digits, features, False))
+                features.append(f"check {valid_nhs(digits)} {where}")
+            nodes.append(Node(a, b, kind, plain(text[a:b]) if kind in ("email", "address") else digits, features, False))
     core: dict[int, tuple[str, str]] = {}
     usual, t = v.usual, 0
     for k, (a, b) in enumerate(spans):
@@ -280,6 +336,8 @@ def nodes_of(text: str, v: Vocabulary) -> tuple[list[Node], list[tuple[int, int,
             f"source {source}", f"shape {shape}", f"source {source} {shape}", f"end {stem[-4:]}", f"start {stem[:4]}", f"left {left}", f"right {cue(q)}", f"title {title}", f"initial {initial}",
             f"length {min(q - p - 1, 4)} {source}", f"near {context(k - 1) if k - 1 not in core else '*'} {cue(k + 1) if k + 1 not in core else '*'}", f"next {cue(k + 1) if k + 1 not in core else '*'}",
         ]
+        if where:
+            features = [f"source {source} {where}", f"source {source} {shape} {where}", f"source {source}", f"end {stem[-4:]}", f"start {stem[:4]}", f"title {title}", f"length {min(q - p - 1, 4)} {source} {where}"]
         nodes.append(Node(a, b, "word", stem, features, linked, k, run))
         before = k
     return nodes, sure, spans
@@ -298,133 +356,182 @@ class Field:
 
     def decode(self, documents: list[list[Node]]) -> list[np.ndarray]:
         """Marginals (nodes x labels) of each document, all documents in one array computation."""
-        rows, columns, chain, skip = [], [], [], []
-        kinds = []
-        at, offsets = 0, []
-        for nodes in documents:
-            offsets.append(at)
+        graph = Graph(documents)
+        if not graph.size:
+            return [np.zeros((0, len(LABELS)))] * len(documents)
+        rows, columns = graph.features(self.index)
+        belief = self._propagate(graph.unary(self.weights, rows, columns), [(graph.chain, self.chain), (graph.skip, self.skip)])
+        return [belief[a:b] for a, b in zip(graph.offsets, graph.offsets[1:])]
+
+    def _propagate(self, unary: np.ndarray, edges: list) -> np.ndarray:
+        """Loopy sum-product with all messages sent at once, ROUNDS times; logarithms throughout."""
+        return _normal(_passed(unary, edges)[0])
+
+
+class Graph:
+    """The nodes of documents one after another, with chain and skip edges; the same for training and for decoding."""
+
+    def __init__(self, documents: list[list[Node]]):
+        self.nodes = [node for nodes in documents for node in nodes]
+        self.size = len(self.nodes)
+        self.offsets = list(accumulate(map(len, documents), initial=0))
+        self.chain: list[tuple[int, int]] = []
+        self.skip: list[tuple[int, int]] = []
+        for nodes, at in zip(documents, self.offsets):
             seen: dict[str, int] = {}
+            similar: dict[str, list[str]] = {}  # keys of the delete index -> words, in the order they come
             for k, node in enumerate(nodes):
-                for f in node.features:
-                    if (i := self.index.get(f)) is not None:
-                        rows.append(at + k)
-                        columns.append(i)
-                kinds.append(node.kind == "word")
                 if node.chained and k:
-                    chain.append((at + k - 1, at + k))
+                    self.chain.append((at + k - 1, at + k))
                 if node.word in seen:
-                    skip.append((at + seen[node.word], at + k))
+                    self.skip.append((at + seen[node.word], at + k))
                 elif node.kind == "word" and len(node.word) > 5:
-                    for other, j in seen.items():
-                        if other[0] == node.word[0] and len(other) > 5 and near(other, node.word):
-                            skip.append((at + j, at + k))
-                            break
+                    keys = deletes(node.word)
+                    met = {w for key in keys for w in similar.get(key, ()) if near(w, node.word)}
+                    if met:
+                        self.skip.append((at + seen[min(met, key=seen.__getitem__)], at + k))
+                    for key in keys:
+                        similar.setdefault(key, []).append(node.word)
                 seen[node.word] = k
-            at += len(nodes)
-        offsets.append(at)
-        if not at:
-            return [np.zeros((0, len(LABELS)))] * len(documents)
-        unary = np.zeros((at, len(LABELS)))
-        np.add.at(unary, np.array(rows, int), self.weights[np.array(columns, int)])
-        word = np.array(kinds)
-        unary[:, 3] += np.array([PRIOR.get(node.kind, 0.0) for nodes in documents for node in nodes])
-        unary[word, 3] = unary[~word, 1] = unary[~word, 2] = -30
-        belief = self._propagate(unary, [(chain, self.chain), (skip, self.skip)])
-        return [belief[a:b] for a, b in zip(offsets, offsets[1:])]
+        self.word = np.array([node.kind == "word" for node in self.nodes], bool)
+
+    def features(self, index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(node, feature) numbers of the known features."""
+        pairs = [(k, i) for k, node in enumerate(self.nodes) for f in node.features if (i := index.get(f)) is not None]
+        flat = np.array(pairs, int).reshape(-1, 2)
+        return flat[:, 0], flat[:, 1]
+
+    def unary(self, weights: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Scores of the labels; words are no identifiers by themselves and numbers and addresses no names."""
+        score = _summed(rows, weights[columns], self.size)
+        score[self.word, 3] = score[~self.word, 1] = score[~self.word, 2] = -30
+        return score
+
+
+def _summed(groups: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the rows of `values` of each group."""
+    return np.stack([np.bincount(groups, column, size) for column in values.T], 1)
+
+
+def _normal(log: np.ndarray) -> np.ndarray:
+    belief = np.exp(log - log.max(1, keepdims=True))
+    return belief / belief.sum(1, keepdims=True)
+
+
+def _passed(unary: np.ndarray, edges: list) -> tuple[np.ndarray, np.ndarray | None]:
+    """(logarithms of the beliefs, those of the edges' joint beliefs) after ROUNDS rounds of messages."""
+    pairs = np.array([e for own, _ in edges for e in own], int).reshape(-1, 2)
+    if not len(pairs):
+        return unary, None
+    potential = np.concatenate([np.repeat(p[None], len(own), 0) for own, p in edges if len(own)])
+    source = np.concatenate([pairs[:, 0], pairs[:, 1]])
+    target = np.concatenate([pairs[:, 1], pairs[:, 0]])
+    both = np.concatenate([potential, potential.transpose(0, 2, 1)])
+    back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
+    message, belief = np.zeros((len(source), unary.shape[1])), unary
+    for _ in range(ROUNDS):
+        without = belief[source] - message[back]
+        new = without[:, :, None] + both
+        top = new.max(1)
+        new = top + np.log(np.exp(new - top[:, None, :]).sum(1))
+        message = 0.5 * message + 0.5 * (new - new.max(1, keepdims=True))
+        belief = unary + _summed(target, message, len(unary))
+    n = len(pairs)
+    joint = (belief[pairs[:, 0]] - message[n:])[:, :, None] + potential + (belief[pairs[:, 1]] - message[:n])[:, None, :]
+    return belief, joint
+
+
+def labels_of(nodes: list[Node], spans: list[tuple[int, int, int]]) -> list[int]:
+    """The label of each node: that of the first (start, end, label) it stands in; addresses may stick out."""
+    out = []
+    for node in nodes:
+        inside = ((a <= node.start and node.end - 2 <= b) or node.kind == "address" and min(b, node.end) - max(a, node.start) > 8 for a, b, _ in spans)
+        out.append(next((label for (_, _, label), fits in zip(spans, inside) if fits and (label == 3) == (node.kind != "word")), 0))
+    return out
 
-    def _propagate(self, unary: np.ndarray, edges: list) -> np.ndarray:
-        """Loopy sum-product with all messages sent at once, ROUNDS times; logarithms throughout."""
-        pairs = np.array([e for own, _ in edges for e in own], int).reshape(-1, 2)
-        belief = unary
-        if len(pairs):
-            potential = np.concatenate([np.repeat(p[None], len(own), 0) for own, p in edges if len(own)])
-            source = np.concatenate([pairs[:, 0], pairs[:, 1]])
-            target = np.concatenate([pairs[:, 1], pairs[:, 0]])
-            potential = np.concatenate([potential, potential.transpose(0, 2, 1)])
-            back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
-            message = np.zeros((len(source), unary.shape[1]))
-            for _ in range(ROUNDS):
-                without = belief[source] - message[back]
-                new = without[:, :, None] + potential
-                top = new.max(1)
-                new = top + np.log(np.exp(new - top[:, None, :]).sum(1))
-                message = 0.5 * message + 0.5 * (new - new.max(1, keepdims=True))
-                belief = unary.copy()
-                np.add.at(belief, target, message)
-        belief = np.exp(belief - belief.max(1, keepdims=True))
-        return belief / belief.sum(1, keepdims=True)
+
+def label_of(element: str) -> int:
+    """What a listed element says about the tokens it names."""
+    if re.search(r"[\d@]|[(\[]at[)\]]", element):
+        return 3
+    found = parse(element)
+    return 0 if not found else 1 if found[0] == "p" else 2
 
 
 def fit(documents: list[tuple[str, list[str]]], v: Vocabulary) -> Field:
-    """Weights from (text, listed identifiers) pairs: a token within a listed name, place or number bears its label."""
-    index: dict[str, int] = {}
-    rows, columns, labels, kinds, chain_pairs, skip_pairs = [], [], [], [], [], []
-    at = 0
-    prepared = [nodes_of(text, v)[0] for text, _ in documents]
-    counts = Counter(f for nodes in prepared for node in nodes for f in node.features)
-    for (text, listed), nodes in zip(documents, prepared):
+    """Weights from (text, listed identifiers) pairs: a token within a listed name, place or number bears its label.
+
+    Listed elements are documents as well.  Unary weights are fitted first, with missed labels restored, then all weights
+    together: the gradient is what message passing believes less what the labels say, for nodes, chain and skip edges.
+    """
+    prepared, y = [], []
+    elements: dict[str, int] = {}
+    for text, listed in documents:
         spans = []
-        for element in set(listed):
+        for element in dict.fromkeys(listed):
             if not element or len(element) < 4:
                 continue
-            found = parse(element)
-            label = 3 if re.search(r"\d", element) else 0 if not found else 1 if found[0] == "p" else 2
-            k = text.find(element)
+            label, k = elements.setdefault(element, label_of(element) if element not in elements else 0), text.find(element)
             while label and k >= 0:
                 spans.append((k, k + len(element), label))
                 k = text.find(element, k + 1)
-        own = []
-        for node in nodes:
-            label = next((lab for a, b, lab in spans if a <= node.start and node.end - 2 <= b and (lab == 3) == (node.kind != "word")), 0)
-            own.append(label)
-            for f in node.features:
-                if counts[f] >= LEAST_SEEN:
-                    rows.append(at + len(own) - 1)
-                    columns.append(index.setdefault(f, len(index)))
-        seen: dict[str, int] = {}
-        for k, node in enumerate(nodes):
-            if node.chained and k:
-                chain_pairs.append((at + k - 1, at + k))
-            if node.word in seen:
-                skip_pairs.append((at + seen[node.word], at + k))
-            seen[node.word] = k
-            kinds.append(node.kind == "word")
-        labels += own
-        at += len(nodes)
-    n, y = len(LABELS), np.array(labels, int)
-    weights = np.zeros((max(1, len(index)), n))
-    if at:
-        r, c = np.array(rows), np.array(columns)
-        word = np.array(kinds)
-        for again in range(RELABELLED + 1):
-            truth = np.eye(n)[y]
-            weights[:] = 0
-            squares = np.full_like(weights, 1e-6)
-            for _ in range(EPOCHS):
-                score = np.zeros((at, n))
-                np.add.at(score, r, weights[c])
-                score[word, 3] = score[~word, 1] = score[~word, 2] = -30
-                p = np.exp(score - score.max(1, keepdims=True))
-                p /= p.sum(1, keepdims=True)
-                gradient = np.zeros_like(weights)
-                np.add.at(gradient, c, (p - truth)[r])
-                gradient += 0.3 * weights
-                squares += gradient**2
-                weights -= 0.5 * gradient / np.sqrt(squares)
-            if again < RELABELLED:
-                likely = 1 + p[:, 1:].argmax(1)
-                y = np.where((y == 0) & (p[np.arange(at), likely] >= MISSED), likely, y)
-
-    def tie(pairs: list[tuple[int, int]], strength: float) -> np.ndarray:
-        m = np.full((n, n), 1.0) + 4 * np.eye(n)
-        for a, b in pairs:
-            m[y[a], y[b]] += 1
-            m[y[b], y[a]] += 1
-        m /= m.sum()
-        lift = np.log(m / np.outer(m.sum(1), m.sum(0)))
-        return np.clip(strength * lift, -2.5, 2.5)
-
-    return Field(index, weights, tie(chain_pairs, 0.7), tie(skip_pairs, 0.7))
+        prepared.append(nodes_of(text, v)[0])
+        y += labels_of(prepared[-1], spans)
+    for element, label in elements.items():
+        nodes = nodes_of(element, v, "listed")[0]
+        prepared.append(nodes)
+        # numbers count as they would by themselves: the check digit tells, since lists hold other things too
+        y += [(3 if n.kind != "nhs" or valid_nhs(n.word) else 0) if n.kind != "word" else label % 3 for n in nodes]
+    counts = Counter(f for nodes in prepared for node in nodes for f in node.features)
+    index = {f: k for k, f in enumerate(f for f, n in counts.items() if n >= LEAST_SEEN or f in PRIOR)}
+    graph, n, y = Graph(prepared), len(LABELS), np.array(y, int)
+    r, c = graph.features(index)
+    mean = np.zeros((max(1, len(index)), n))
+    for f, (label, w) in PRIOR.items():
+        if f in index:
+            mean[index[f], label] = w
+    weights = mean.copy()
+    if not graph.size:
+        return Field(index, weights, np.zeros((n, n)), np.zeros((n, n)))
+    for again in range(RELABELLED + 1):
+        truth = np.eye(n)[y]
+        weights = mean.copy()
+        squares = np.full_like(weights, 1e-6)
+        for _ in range(EPOCHS):
+            p = _normal(graph.unary(weights, r, c))
+            weights -= _step(weights - mean, _gathered(p - truth, r, c, len(weights)), squares)
+        if again < RELABELLED:
+            likely = 1 + p[:, 1:].argmax(1)
+            y = np.where((y == 0) & (p[np.arange(graph.size), likely] >= MISSED), likely, y)
+    ties = [np.zeros((n, n)), np.zeros((n, n))]
+    edges = [np.array(own, int).reshape(-1, 2) for own in (graph.chain, graph.skip)]
+    told = [np.zeros((n, n)) for _ in edges]
+    for count, own in zip(told, edges):
+        np.add.at(count, (y[own[:, 0]], y[own[:, 1]]), 1)
+    tie_squares = [np.full((n, n), 1e-6) for _ in edges]
+    for _ in range(JOINT):
+        belief, joint = _passed(graph.unary(weights, r, c), list(zip(edges, ties)))
+        weights -= _step(weights - mean, _gathered(_normal(belief) - truth, r, c, len(weights)), squares)
+        if joint is None:
+            continue
+        joint = _normal(joint.reshape(len(joint), -1)).reshape(-1, n, n)
+        for k, part in enumerate(np.split(joint, [len(edges[0])])):
+            gradient = part.sum(0) - told[k]
+            if k:  # a skip edge has no direction
+                gradient = (gradient + gradient.T) / 2
+            ties[k] = np.clip(ties[k] - _step(ties[k], gradient, tie_squares[k]), -MOST, MOST)
+    return Field(index, weights, *ties)
+
+
+def _gathered(difference: np.ndarray, rows: np.ndarray, columns: np.ndarray, size: int) -> np.ndarray:
+    return _summed(columns, difference[rows], size)
+
+
+def _step(away: np.ndarray, gradient: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """A step of AdaGrad with a penalty on what is away from the prior's mean; `squares` grow along."""
+    gradient = gradient + 0.3 * away
+    squares += gradient**2
+    return 0.5 * gradient / np.sqrt(squares)
 
 
 def names_in(text: str, nodes: list[Node], labels: np.ndarray, spans: list[tuple[int, int]]) -> list[tuple[int, int, list[tuple[int, int]]]]:
@@ -520,41 +627,75 @@ def identifiers(texts: list[str], v: Vocabulary, field: Field) -> list[list[tupl
     prepared = [nodes_of(t, v) for t in texts]
     marginals = field.decode([p[0] for p in prepared])
     found = []
-    for text, (nodes, sure, spans), belief in zip(texts, prepared, marginals):
+    for text, (nodes, _, spans), belief in zip(texts, prepared, marginals):
         labels = belief.argmax(1) if len(belief) else np.zeros(0, int)
-        own = [(a, b, kind, plain(text[a:b])) for a, b, kind in sure]
-        own += [(n.start, n.end, KIND[n.kind], plain(text[n.start : n.end])) for n, label in zip(nodes, labels) if n.kind != "word" and label == 3]
+        own = [(n.start, n.end, KIND[n.kind], plain(text[n.start : n.end])) for n, label in zip(nodes, labels) if n.kind != "word" and label == 3]
         own += [(a, b, "name", "".join(plain(text[x:y]) for x, y in parts)) for a, b, parts in names_in(text, nodes, labels, spans)]
         found.append(sorted(own))
     return found
 
 
-def element_identifiers(element: str, v: Vocabulary) -> list[tuple[str, str]]:
-    """(kind, val) of the identifiers in one listed element, which has no context: shapes decide, and the name grammar."""
-    sure, numbers = recognised(element, v.words)
-    out = [(kind, plain(element[a:b])) for a, b, kind in sure]
-    for a, b, kind in numbers:
-        if kind != "nhs" or valid_nhs(re.sub(r"\D", "", element[a:b])):
-            out.append((KIND[kind], plain(element[a:b])))
+def _halves(element: str, taken: list[tuple[int, int]]) -> list[str]:
+    """The parts of an element that may each be one name: without the given spans and what leads to them."""
     rest, at = [], 0
-    for a, b in sorted([(a, b) for a, b, _ in sure] + [(a, b) for a, b, _ in numbers]):
+    for a, b in sorted(taken):
         rest.append(element[at:a])
         at = max(at, b)
     rest.append(element[at:])
-    for piece in rest:
-        piece = re.sub(r"(?i)[\s,;]*\b(?:tel|phone|mob|mobile|email|e-mail|ph|nhs(?: no| number)?|dob|born)\b[.:#]?\s*$", "", piece)
-        halves = re.split(r"\s*[;/|&]\s*|\s+and\s+", piece)
-        for half in halves:
+    return [half for piece in rest for half in re.split(r"\s*[;/|&]\s*|\s+and\s+", LEADS.sub("", piece))]
+
+
+def element_words(element: str, words, usual) -> bool:
+    """Whether a part of an element would be a name but for words that the corpus uses as ordinary ones."""
+    sure, numbers = recognised(element, usual)
+    for half in _halves(element, [(a, b) for a, b, _ in (*sure, *numbers)]):
+        if (found := parse(half)) and any(len(w) > 2 and w in words for w in (found[1] + " " + found[2]).split()):
+            return True
+    return False
+
+
+def elements_identifiers(elements: list[str], v: Vocabulary, field: Field) -> list[list[tuple[str, str]]]:
+    """(kind, val) of the identifiers in each listed element, by the field's labels.
+
+    A name takes a title or two words by the grammar of names, and the field must take each of its words for a name's,
+    but for those that are no node: initials and words of two letters.
+    """
+    prepared = [nodes_of(e, v, "listed") for e in elements]
+    out = []
+    for element, (nodes, _, _), belief in zip(elements, prepared, field.decode([p[0] for p in prepared])):
+        labels = belief.argmax(1) if len(belief) else ()
+        own = [(KIND[n.kind], plain(element[n.start : n.end])) for n, label in zip(nodes, labels) if n.kind != "word" and label == 3]
+        names = {n.word for n, label in zip(nodes, labels) if n.kind == "word" and label == 1}
+        for half in _halves(element, [(n.start, n.end) for n in nodes if n.kind != "word"]):
             found = parse(half)
             if found and found[0] == "p":
-                words = [w for w in (found[1] + " " + found[2]).split()]
+                words = (found[1] + " " + found[2]).split()
                 titled = any(word_of(w) in TITLES for w in half.split())
-                if (len(words) > 1 or titled) and not any(len(w) > 2 and w in v.words for w in words):
-                    kept = [w for w in half.split() if word_of(w) not in TITLES]
-                    out.append(("name", plain("".join(kept))))
+                if (len(words) > 1 or titled) and all(w in names for w in words if len(w) > 2):
+                    own.append(("name", plain("".join(w for w in half.split() if word_of(w) not in TITLES))))
+        out.append(own)
     return out
 
 
+LEADS = re.compile(r"(?i)[\s,;]*\b(?:tel|phone|mob|mobile|email|e-mail|ph|nhs(?: no| number)?|dob|born)\b[.:#]?\s*$")
+
+
+def element_identifiers(element: str, v: Vocabulary, field: Field | None = None) -> list[tuple[str, str]]:
+    """The same of one element; without a field, the one that nothing but the words' sources has taught."""
+    return elements_identifiers([element], v, field or UNTAUGHT)[0]
+
+
+def _untaught() -> Field:
+    """What the vocabulary says by itself: words of persons and new ones are names, sound numbers are identifiers."""
+    weights = {"source person": 1, "source new": 1, "source both": 1, "source place": 2, "kind phone": 3, "kind ni": 3, "kind unit": 3, "kind email": 3, "kind address": 3, "check True listed": 3}
+    table = np.zeros((len(weights), len(LABELS)))
+    table[range(len(weights)), list(weights.values())] = 3.0
+    return Field({f: k for k, f in enumerate(weights)}, table, np.zeros((4, 4)), np.zeros((4, 4)))
+
+
+UNTAUGHT = _untaught()
+
+
 def fitted(spark: SparkSession, folder: str, v: Vocabulary, most: int = FIT_PAGES) -> Field:
     """The field, from at most `most` pages with a redacted identifier (those whose key's hash comes first)."""
     audit = table(spark, folder, "audit_trail").where("clean_ocr is not null and size(redacted_entities) > 0 and page_key is not null")
@@ -564,7 +705,9 @@ def fitted(spark: SparkSession, folder: str, v: Vocabulary, most: int = FIT_PAGE
     rows = sample.join(listed, "page_key", "left").select("page_key", "clean_ocr", F.concat("redacted_entities", F.coalesce("listed", F.array())).alias("listed")).toArrow().to_pylist()
     rows.sort(key=lambda r: (r["page_key"], r["clean_ocr"]))
     if v.rest is not None:
-        v = v.beside(looked_up(v.rest, [f"{kind} {w}" for r in rows for w in needed(r["clean_ocr"], v.usual) for kind in "po"]))
+        texts = spark.createDataFrame(pa.table({"k": pa.array([str(i) for i in range(len(rows))], pa.string()), "text": pa.array([r["clean_ocr"] for r in rows], pa.string()), "elements": pa.array(["\n\n".join(x for x in r["listed"] if x) for r in rows], pa.string())}))
+        batches = with_listed(texts, v, "text", "elements", key="k").toArrow().combine_chunks().to_batches()
+        v = _beside(v, batches[0]) if batches else v
     return fit([(r["clean_ocr"], [x for x in r["listed"] if x]) for r in rows], v)
 
 
@@ -595,26 +738,32 @@ def found_in_pages(pages: DataFrame, v: Vocabulary, field: Field, fields: tuple[
     return with_listed(pages, v, *fields).mapInArrow(run, ROWS)
 
 
-def found_in_lists(extractor: DataFrame, v: Vocabulary) -> DataFrame:
-    """The same of all rows of extracted_identifiers; null lists and elements have none."""
-    sent = extractor.sparkSession.sparkContext.broadcast(v.parts())
-    elements = extractor.where("page_key is not null").select("page_key", F.explode("extracted_identifiers").alias("element")).where("element is not null").distinct()
+def found_in_lists(extractor: DataFrame, v: Vocabulary, field: Field) -> DataFrame:
+    """The same of all rows of extracted_identifiers; null lists and elements have none.  Each different element is labelled once."""
+    sent = extractor.sparkSession.sparkContext.broadcast((v.parts(), (field.index, field.weights, field.chain, field.skip)))
+    pairs = extractor.where("page_key is not null").select("page_key", F.explode("extracted_identifiers").alias("element")).where("element is not null").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = Vocabulary(*sent.value), {}
+        parts, model = sent.value
+        own, crf = Vocabulary(*parts), Field(*model)
+        known: dict[str, list[tuple[str, str]]] = {}
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
-            for key, element in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if (found := known.get(element)) is None:
-                    found = element_identifiers(element, own)
-                    if len(known) < 100_000:
-                        known[element] = found
-                for kind, val in found:
-                    for x, value in zip(out, (key, "extracted_identifiers", kind, val)):
-                        x.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], ["page_key", "field", "kind", "val"])
+            keys, elements = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            new = list(dict.fromkeys(e for e in elements if e not in known))
+            found = dict(zip(new, elements_identifiers(new, _beside(own, batch), crf)))
+            out = [(key, "extracted_identifiers", *x) for key, e in zip(keys, elements) for x in (known.get(e) or found.get(e) or ()) if x[1]]
+            if len(known) < 200_000:
+                known |= found
+            columns = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in columns], ["page_key", "field", "kind", "val"])
 
-    return elements.mapInArrow(run, ROWS).distinct()
+    if v.rest is None:
+        return pairs.mapInArrow(run, ROWS).distinct()
+    # a large vocabulary is asked about different elements, which then meet their pages
+    alone = with_listed(pairs.select("element").distinct().select("element", F.col("element").alias("text")), v, "text", key="element")
+    alone = alone.select(F.col("element").alias("page_key"), *alone.columns[1:])
+    found = alone.mapInArrow(run, ROWS).select(F.col("page_key").alias("element"), "field", "kind", "val")
+    return pairs.join(found, "element").select("page_key", "field", "kind", "val").distinct()
 
 
 def scrubbed(pages: DataFrame, v: Vocabulary, field: Field, column: str = "clean_ocr") -> DataFrame:
@@ -642,4 +791,4 @@ def all_identifiers(spark: SparkSession, folder: str) -> DataFrame:
     v = vocabulary(spark, folder)
     field = fitted(spark, folder, v)
     pages = current_rows(table(spark, folder, "audit_trail"), "clean_ocr", "final_llm_scrubbed")
-    return found_in_pages(pages, v, field).unionByName(found_in_lists(table(spark, folder, "patient_data_extractor"), v))
+    return found_in_pages(pages, v, field).unionByName(found_in_lists(table(spark, folder, "patient_data_extractor"), v, field))

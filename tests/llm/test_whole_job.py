@@ -377,3 +377,58 @@ def test_long_last_lines_are_read_whole():
     assert truncation.last_lines("one\ntwo\n\nthree \n") == "two\n\nthree" and truncation.last_lines("x" * 9000) == "x" * 9000
     for text in ("a b c", "", "-- !", "w " * 3000, "x" * 5000 + " y z", "one two three four five six seven"):
         assert truncation.last_tokens(text, 6) == truncation.TOKENS.findall(text)[-6:]
+
+
+# ---- 2
+
+
+def test_the_field_decides_in_every_field(spark, data, monkeypatch):
+    """Without what is learned there are other rows of every kind; without skip edges there are other rows."""
+    whole = {tuple(r) for r in QUERIES["p2_found"](spark, data).collect()}
+    fit = pii.fit
+
+    def without(**parts):
+        def fitted(documents, v):
+            field = fit(documents, v)
+            for name in parts:
+                getattr(field, name)[:] = 0
+            return field
+
+        monkeypatch.setattr(pii, "fit", fitted)
+        return {tuple(r) for r in QUERIES["p2_found"](spark, data).collect()}
+
+    lost = whole - without(weights=0, chain=0, skip=0)
+    assert {r[1] for r in lost} == {"clean_ocr", "final_llm_scrubbed", "extracted_identifiers"} and {r[2] for r in lost} == {"email", "phone", "id_number", "address", "name"}
+
+
+def test_skip_edges_are_trained_and_change_labels():
+    """A name seen in clear contexts is known again where nothing tells it, because its weight was trained with the edges."""
+    words = {w: 50 for w in "handed over to the seen by was in on and with after lunch ward bed nine".split()}
+    names = [f"qu{WORDS[k]}" for k in range(80)]
+    v = pii.Vocabulary(frozenset(words), words, {}, {})
+    documents = []
+    for k, name in enumerate(names[:60]):
+        listed = [f"Mr {name.title()}"] if k % 2 else []
+        lead = "seen by Mr" if k % 2 else "in bed"
+        documents.append((f"{lead} {name.title()} was on the ward and with {name.title()} after lunch", listed + ([name.title()] if k % 2 else [])))
+    field = pii.fit(documents, v)
+    assert abs(field.skip).max() > 0.1 and abs(field.chain).max() >= 0
+    text = f"seen by Mr {names[70].title()} after lunch and with {names[70].title()} after lunch"
+    nodes = pii.nodes_of(text, v)[0]
+    tied = field.decode([nodes])[0][1]
+    field.skip[:] = 0
+    assert abs(tied - field.decode([nodes])[0][1]).max() > 0.01
+
+
+def test_identifiers_joined_and_broadcast_are_equal(spark, data, monkeypatch):
+    """What p2 knows about ordinary words and names doesn't depend on whether the vocabulary can be broadcast."""
+    broadcast = {tuple(r) for r in QUERIES["p2_found"](spark, data).collect()}
+    monkeypatch.setattr(common, "MAX_FREQUENT", 50)
+    assert {tuple(r) for r in QUERIES["p2_found"](spark, data).collect()} == broadcast
+
+
+def test_addresses_without_postcode():
+    v = pii.Vocabulary(frozenset({"and", "with"}), {"and": 9, "with": 9, "caldmere": 9}, {}, {})
+    for text, want in (("Lives at 156 Tansy Terrace, Caldmere with a relative", "156tansyterracecaldmere"), ("Lives at 156 Tansy Terrace, and with a relative", None), ("Lives at 7 Mill Lane, Oldtown AB1 2CD", "7milllaneoldtownab12cd")):
+        assert [pii.plain(text[a:b]) for a, b, _ in pii.recognised(text, v.usual)[0]] == ([want] if want else [])
+    assert pii.element_identifiers("156 Tansy Terrace, Caldmere", v) == [("address", "156tansyterracecaldmere")]
