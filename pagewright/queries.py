@@ -176,14 +176,15 @@ def identifier_words(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _audit(spark, folder, "roberta_only").where("roberta_only is not null").join(_harvested(spark, folder), "page_key")
+    rows = _audit(spark, folder, "roberta_only").where("roberta_only is not null").join(_harvested(spark, folder), "page_key", "left")
     done = redaction.words_replaced(F.col("roberta_only"), redaction.identifier_words(F.col("identifiers"), SAFE_WORDS))
     return rows.select("page_key", done.alias("s")).select("page_key", "s.text", F.array_join("s.removed", "|").alias("removed"))
 
 
 def audit_records(spark: SparkSession, folder: str) -> DataFrame:
     rows = _audit(spark, folder, "clean_ocr").withColumnRenamed("clean_ocr", "text")
-    return redaction.audit_records(rows.join(_harvested(spark, folder), "page_key", "left"))
+    made = redaction.audit_records(rows.join(_harvested(spark, folder), "page_key", "left"))
+    return made.withColumn("redacted_entities", F.array_join("redacted_entities", "|"))
 
 
 def redacted_entities(spark: SparkSession, folder: str) -> DataFrame:
@@ -386,12 +387,18 @@ def _readings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def first_confident(spark: SparkSession, folder: str) -> DataFrame:
-    return detection.first_confident(_readings(spark, folder), least=40.0)
+    return detection.first_confident(_readings(spark, folder))
 
 
 def page_angles(spark: SparkSession, folder: str) -> DataFrame:
     readings = _readings(spark, folder)
-    return detection.angles(readings.select("page_key").distinct(), readings.where("patch % 7 = 0"), least=60.0)
+    return detection.angles(readings.select("page_key").distinct(), readings)
+
+
+def sure_page_angles(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a bound that leaves pages to later patches, or undecided."""
+    readings = _readings(spark, folder)
+    return detection.angles(readings.select("page_key").distinct(), readings, least=480.0)
 
 
 def _reply(spark: SparkSession, folder: str, field: str, values: tuple[str, ...]) -> DataFrame:

@@ -84,6 +84,11 @@ def _strip_markup() -> str:
     return _STRIP.format(c)
 
 
+def _angles(least: int) -> str:
+    return f"""WITH {_READINGS}, s AS (SELECT *, row_number() OVER (PARTITION BY page_key ORDER BY patch) AS rn FROM r WHERE confidence > {least} AND patch <= 100), p AS (SELECT DISTINCT page_key FROM r)
+SELECT p.page_key, CASE WHEN angle IN (0, 90, 180, 270) THEN angle ELSE 0 END AS angle, CASE WHEN angle IS NULL THEN 'none' WHEN patch = 0 THEN 'page' ELSE 'patch' END AS tier FROM p LEFT JOIN (SELECT * FROM s WHERE rn = 1) s ON p.page_key = s.page_key"""
+
+
 ORACLE = {
     "page_keys": f"SELECT DISTINCT page_key, printf('%s_page_%02d', coalesce(stem, {_STEM}), page) AS made, coalesce(stem, {_STEM}) AS doc_stem FROM page_metadata",
     "file_routing": """SELECT * FROM (SELECT DISTINCT original_file, regexp_extract(original_file, '^(.*)\\.[^.]+$', 1) AS stem, lower(regexp_extract(original_file, '[^.](\\.[^.]+)$', 1)) AS extension,
@@ -160,9 +165,9 @@ CAST(CASE WHEN greatest(width, height) > 896 THEN trunc(height * (896.0::DOUBLE
     "spread_gate": f"WITH {_SIZES} SELECT page_key, CASE WHEN height >= width THEN false ELSE width > 2 * height END AS is_composite FROM s",
     "gutters": """WITH e AS (SELECT vec_id, embedding AS v, CAST(trunc(len(embedding) * 0.4::DOUBLE) AS INT) AS f, CAST(trunc(len(embedding) * 0.6::DOUBLE) AS INT) AS t FROM embeddings)
 SELECT vec_id, CAST(f + list_position(v[f + 1:t], list_min(v[f + 1:t])) - 1 AS INT) AS gutter FROM e""",
-    "first_confident": f"WITH {_READINGS}, s AS (SELECT *, row_number() OVER (PARTITION BY page_key ORDER BY patch) AS rn FROM r WHERE confidence > 40 AND patch <= 100) SELECT page_key, angle, patch FROM s WHERE rn = 1",
-    "page_angles": f"""WITH {_READINGS}, s AS (SELECT *, row_number() OVER (PARTITION BY page_key ORDER BY patch) AS rn FROM r WHERE patch % 7 = 0 AND confidence > 60 AND patch <= 100), p AS (SELECT DISTINCT page_key FROM r)
-SELECT p.page_key, CASE WHEN angle IN (0, 90, 180, 270) THEN angle ELSE 0 END AS angle, CASE WHEN angle IS NULL THEN 'none' WHEN patch = 0 THEN 'page' ELSE 'patch' END AS tier FROM p LEFT JOIN (SELECT * FROM s WHERE rn = 1) s ON p.page_key = s.page_key""",
+    "first_confident": f"WITH {_READINGS}, s AS (SELECT *, row_number() OVER (PARTITION BY page_key ORDER BY patch) AS rn FROM r WHERE confidence > 4 AND patch <= 100) SELECT page_key, angle, patch FROM s WHERE rn = 1",
+    "page_angles": _angles(4),
+    "sure_page_angles": _angles(480),
     "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(avg(value), 6) AS mean_value FROM events GROUP BY 1, 2",
 }
 #: The cut of a stage-2 chunk that begins at `at`: after a delimiter that leaves more than the overlap, else hard.
@@ -173,3 +178,42 @@ walk AS (SELECT page_key, t, 0 AS chunk_idx, 0 AS start_, CAST({_CUT.format(at="
 ORACLE["chunks_stage2"] = f"""{_WALK2} SELECT page_key, chunk_idx, start_ AS start, end_ AS "end" FROM walk"""
 ORACLE["chunks_stage1_native"] = ORACLE["chunks_stage1"]
 ORACLE["chunk_questions"] = f"""{_WALK2} SELECT task, count(*) AS questions, count(DISTINCT page_key) AS pages FROM walk, (SELECT unnest([{", ".join(_text(t) for t, _ in TASKS)}]) AS task) GROUP BY task"""
+
+# Words of harvested identifiers, replaced one after the other.  Where a word begins or ends with a letter, none may stand
+# beside it, else one must; the neighbour is matched and kept, and a second pass takes words that share a neighbour.
+_LETTER = r"[\p{L}\p{N}_]"
+_OTHER = r"[^\p{L}\p{N}_]"
+_QUOTED = r"regexp_replace(w, '([.+*?()|\[\]{}^$\\-])', '\\\1', 'g')"
+_PATTERN = f"""'(?is)' || CASE WHEN regexp_matches(left(w, 1), '{_LETTER}') THEN '(^|{_OTHER})' ELSE '({_LETTER})' END || {_QUOTED} || CASE WHEN regexp_matches(right(w, 1), '{_LETTER}') THEN '({_OTHER}|$)' ELSE '({_LETTER})' END"""
+_FOLD = f"""k AS (SELECT page_key, w, {_PATTERN} AS pattern FROM (SELECT DISTINCT page_key, unnest(regexp_split_to_array(e, '\\s+')) AS w FROM items)
+  WHERE w <> '' AND length(w) > 2 AND w <> '***' AND NOT regexp_matches(w, '^\\p{{Nd}}+$') AND lower(w) NOT IN ({_SAFE})),
+o AS (SELECT *, row_number() OVER (PARTITION BY page_key ORDER BY -length(w), w) AS n FROM k),
+walk AS (SELECT page_key, 0 AS n, text, CAST([] AS VARCHAR[]) AS removed FROM base
+  UNION ALL SELECT f.page_key, f.n + 1, regexp_replace(regexp_replace(f.text, o.pattern, '\\1***\\2', 'g'), o.pattern, '\\1***\\2', 'g'), CASE WHEN regexp_matches(f.text, o.pattern) THEN list_append(f.removed, o.w) ELSE f.removed END
+  FROM walk f JOIN o ON f.page_key = o.page_key AND o.n = f.n + 1),
+done AS (SELECT page_key, arg_max(text, n) AS text, arg_max(removed, n) AS removed FROM walk GROUP BY page_key)"""
+ORACLE["word_redacted"] = f"""WITH RECURSIVE base AS (SELECT page_key, roberta_only AS text FROM (
+    SELECT page_key, roberta_only, row_number() OVER (PARTITION BY page_key ORDER BY written_at DESC NULLS LAST, roberta_only DESC NULLS LAST) AS rn FROM audit_trail WHERE page_key IS NOT NULL) WHERE rn = 1 AND roberta_only IS NOT NULL),
+{_ITEMS}, {_FOLD} SELECT page_key, text, array_to_string(removed, '|') AS removed FROM done"""
+ORACLE["audit_records"] = f"""WITH RECURSIVE {_CLEAN}, full_text AS (SELECT page_key, coalesce(clean_ocr, '') AS text FROM cur),
+base AS (SELECT page_key, regexp_replace(text, '{_GOING}', '***', 'g') AS text, text AS whole FROM full_text), {_ITEMS}, {_FOLD.replace("FROM base", "FROM (SELECT page_key, text FROM base)")}
+SELECT b.page_key, CASE WHEN blank THEN '' ELSE whole END AS clean_ocr, CASE WHEN blank THEN '' ELSE b.text END AS roberta_only, CASE WHEN blank THEN '' ELSE d.text END AS final_llm_scrubbed,
+  CASE WHEN blank THEN '' ELSE array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(whole, '{_GOING}'), d.removed))), '|') END AS redacted_entities
+FROM (SELECT *, {_STRIP.format("whole")} = '' AS blank FROM base) b JOIN done d ON b.page_key = d.page_key"""
+
+# Boxes, largest first, each kept unless a box kept before covers it.
+_AREA = "(({0}).x1 - ({0}).x0) * (({0}).y1 - ({0}).y0)"
+_SHARED = "greatest(least(({0}).x1, ({1}).x1) - greatest(({0}).x0, ({1}).x0), 0) * greatest(least(({0}).y1, ({1}).y1) - greatest(({0}).y0, ({1}).y0), 0)"
+ORACLE["surviving_boxes"] = f"""WITH RECURSIVE {_BOXES}, s AS (SELECT page_key, list({{'idx': idx, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} ORDER BY (x1 - x0) * (y1 - y0) DESC, idx) AS boxes FROM b WHERE (x1 - x0) * (y1 - y0) > 0 GROUP BY page_key),
+walk AS (SELECT page_key, boxes, 1 AS n, boxes[1:0] AS kept FROM s
+  UNION ALL SELECT page_key, boxes, n + 1, CASE WHEN len(list_filter(kept, lambda p: {_SHARED.format("boxes[n]", "p")} > 0.85::DOUBLE * {_AREA.format("boxes[n]")})) > 0 THEN kept ELSE list_append(kept, boxes[n]) END FROM walk WHERE n <= len(boxes)),
+u AS (SELECT page_key, unnest(kept) AS k FROM walk WHERE n = len(boxes) + 1)
+SELECT page_key, k.idx AS idx, k.x0 AS x0, k.y0 AS y0, k.x1 AS x1, k.y1 AS y1 FROM u"""
+# Lines from the top, each joined to the first paragraph that takes it.
+ORACLE["paragraph_boxes"] = f"""WITH RECURSIVE {_BOXES}, s AS (SELECT page_key, median(CAST(y1 - y0 AS DOUBLE)) AS m, list({{'x0': CAST(x0 AS DOUBLE), 'y0': CAST(y0 AS DOUBLE), 'x1': CAST(x1 AS DOUBLE), 'y1': CAST(y1 AS DOUBLE)}} ORDER BY y0, idx) AS boxes FROM b GROUP BY page_key),
+walk AS (SELECT page_key, m, boxes, 1 AS n, boxes[1:0] AS made FROM s
+  UNION ALL SELECT page_key, m, boxes, n + 1, CASE WHEN place IS NULL THEN list_append(made, boxes[n]) ELSE list_transform(made, lambda p, i: CASE WHEN i = place
+    THEN {{'x0': least(p.x0, (boxes[n]).x0), 'y0': least(p.y0, (boxes[n]).y0), 'x1': greatest(p.x1, (boxes[n]).x1), 'y1': greatest(p.y1, (boxes[n]).y1)}} ELSE p END) END
+  FROM (SELECT *, list_position(list_transform(made, lambda p: (boxes[n]).y0 - p.y1 >= 0 AND (boxes[n]).y0 - p.y1 <= 0.5::DOUBLE * m AND greatest(p.x0 - (boxes[n]).x1, (boxes[n]).x0 - p.x1) <= m), true) AS place FROM walk WHERE n <= len(boxes))),
+u AS (SELECT page_key, unnest(made) AS p, unnest(range(0, len(made))) AS i FROM walk WHERE n = len(boxes) + 1)
+SELECT page_key, CAST(i AS INT) AS paragraph_idx, p.x0 AS x0, p.y0 AS y0, p.x1 AS x1, p.y1 AS y1 FROM u"""
