@@ -47,7 +47,45 @@ class ReplyTable:
         return questions.join(self.replies, ["page_key", "chunk_idx", "task"], "left")
 
 
+class OrientationReader(Protocol):
+    """Reads an image's orientation: a text such as `Rotate: 90` and `Orientation confidence: 7.5`."""
+
+    def read(self, image: dict) -> str: ...
+
+
+class PageModel(Protocol):
+    """Answers a question (`rotation` or `spread`) about an image with a raw reply."""
+
+    def ask(self, image: dict, question: str) -> str: ...
+
+
+class Detector(Protocol):
+    """Finds regions on a page of BGR rows: ((x0, y0, x1, y1), label)."""
+
+    def detect(self, array) -> list[tuple[tuple[int, int, int, int], str]]: ...
+
+
+class Recogniser(Protocol):
+    """Names entities in chunks of text: for each chunk (label, start, end) with offsets in it."""
+
+    def entities(self, chunks: list[str]) -> list[list[tuple[str, int, int]]]: ...
+
+
+#: Backends by name.  Engines register themselves here; what needs a model isn't part of this package.
 TRANSCRIBERS: dict[str, type] = {"size": SizeTranscriber}
+READERS: dict[str, type] = {}
+MODELS: dict[str, type] = {}
+DETECTORS: dict[str, type] = {}
+RECOGNISERS: dict[str, type] = {}
+
+
+def found(registry: dict[str, type], name: str) -> type | None:
+    """The registered backend; None for no name; LookupError for an unknown one."""
+    if not name:
+        return None
+    if name not in registry:
+        raise LookupError(f"no backend {name!r}; there are {', '.join(sorted(registry)) or 'none'}")
+    return registry[name]
 
 
 def transcriber(name: str) -> type:
@@ -57,9 +95,14 @@ def transcriber(name: str) -> type:
     return TRANSCRIBERS[name]
 
 
-def transcribed(crops: DataFrame, name: str) -> DataFrame:
-    """(page_key, crop_idx, text, duration_ms); the backend is made once for each task and released at its end."""
+def transcribed(crops: DataFrame, name: str, *keep: str) -> DataFrame:
+    """(page_key, crop_idx, *keep, text, duration_ms); the backend is made once for each task and released at its end.
+
+    It gets the crops of an Arrow batch at once, so that an engine can batch them; if that fails, each by itself, and a
+    crop that fails alone, or is empty, has an empty text.  Durations are the batch's, shared evenly.
+    """
     make = transcriber(name)
+    kinds = dict(crops.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
@@ -67,20 +110,26 @@ def transcribed(crops: DataFrame, name: str) -> DataFrame:
         engine = make()
         try:
             for batch in batches:
-                texts, took = [], []
-                for image in batch.image:
-                    began = time.monotonic()
-                    try:
-                        empty = image is None or image["height"] * image["width"] == 0
-                        texts.append("" if empty else engine.run([image])[0])
-                    except Exception:  # one crop's failure must not lose the others
-                        texts.append("")
-                    took.append(1000 * (time.monotonic() - began))
-                yield pd.DataFrame({"page_key": batch.page_key, "crop_idx": batch.crop_idx, "text": texts, "duration_ms": took})
+                began = time.monotonic()
+                images = list(batch.image)
+                full = [k for k, i in enumerate(images) if i is not None and i["height"] * i["width"] > 0]
+                texts = [""] * len(images)
+                try:
+                    for k, text in zip(full, engine.run([images[k] for k in full]) if full else (), strict=True):
+                        texts[k] = text
+                except Exception:  # one crop's failure must not lose the others
+                    for k in full:
+                        try:
+                            texts[k] = engine.run([images[k]])[0]
+                        except Exception:
+                            texts[k] = ""
+                took = 1000 * (time.monotonic() - began) / max(1, len(images))
+                yield pd.DataFrame({"page_key": batch.page_key, "crop_idx": batch.crop_idx, **{k: batch[k] for k in keep}, "text": texts, "duration_ms": took})
         finally:
             engine.unload()
 
-    return crops.select("page_key", "crop_idx", "image").mapInPandas(run, "page_key string, crop_idx int, text string, duration_ms double")
+    kept = "".join(f"{k} {kinds[k]}, " for k in keep)
+    return crops.select("page_key", "crop_idx", *keep, "image").mapInPandas(run, f"page_key string, crop_idx int, {kept}text string, duration_ms double")
 
 
 def cached(questions: DataFrame, known: DataFrame, source: ReplySource, model: str) -> tuple[DataFrame, DataFrame]:

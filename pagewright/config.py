@@ -47,3 +47,13 @@ class PipelineConfig:
     lexicographic_merge: bool = False
     centre_gutter: bool = False
     pages: tuple[int, ...] = field(default=())
+    #: Names of registered backends; without one its stage decides nothing, and rules stand in for the recogniser.
+    orientation_reader: str = ""
+    rotation_model: str = ""
+    spread_model: str = ""
+    recogniser: str = ""
+    #: Budgets handed to model backends, in tokens: layout, recognition, redaction's replies and context.
+    layout_tokens: int = 8192
+    recognition_tokens: int = 2048
+    reply_tokens: int = 1536
+    context_tokens: int = 5120

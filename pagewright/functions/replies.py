@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,3 +68,29 @@ def is_spread(c: Column) -> Column:
     """Whether a composition reply says that a page is a spread; false for any reply that is rejected."""
     parsed = F.try_parse_json(F.regexp_replace(outer_braces(c), r"[\x00-\x1F\x7F]", " "))
     return F.coalesce(F.when(_kind(parsed, "$.thinking") == "STRING", boolean_field(parsed, "is_composite_spread")), F.lit(False))
+
+
+def _object(raw: str | None) -> dict:
+    """The JSON object of a reply with a thinking text; empty where there is none."""
+    found = re.search(r"(?s)\{.*\}", raw or "")
+    try:
+        parsed = json.loads(re.sub(r"[\x00-\x1F\x7F]", " ", found[0])) if found else {}
+    except ValueError:
+        return {}
+    return parsed if isinstance(parsed, dict) and isinstance(parsed.get("thinking"), str) else {}
+
+
+def angle_of_reply(raw: str | None) -> int:
+    """`rotation_angle` for one reply in a task."""
+    value = _object(raw).get("rotation_angle")
+    if isinstance(value, str):
+        value = float(value) if re.fullmatch(r"[+-]?\d+(\.0*)?", value.strip()) else None
+    return int(value) if isinstance(value, (int, float)) and value in (0, 90, 180, 270) else 0
+
+
+def spread_of_reply(raw: str | None) -> bool:
+    """`is_spread` for one reply in a task."""
+    value = _object(raw).get("is_composite_spread")
+    if isinstance(value, str):
+        return value.lower() in ("true", "t", "yes", "y", "on", "1")
+    return isinstance(value, (bool, int, float)) and value == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,6 +76,12 @@ def orientation_confidence(c: Column) -> Column:
     return F.when(found != "", found.cast("double"))
 
 
+def reading_of(text: str) -> tuple[int | None, float | None]:
+    """(angle, confidence) of an orientation reading, as `orientation_angle` and `orientation_confidence` tell them."""
+    angle, confidence = re.search(r"Rotate: (\d+)", text or ""), re.search(r"Orientation confidence: (\d+(?:\.\d+)?)", text or "")
+    return int(angle[1]) if angle else None, float(confidence[1]) if confidence else None
+
+
 def strip_markup(c: Column) -> Column:
     """Text of marked-up pages by a chain of expressions: comments, scripts, tags, entities, then blanks.
 

@@ -5,7 +5,10 @@ Images are structs height, width, n_channels, mode, data with rows of BGR bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import struct
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +35,113 @@ def grey(array: np.ndarray) -> np.ndarray:
     return array[..., 0].astype(float) if array.shape[2] == 1 else array[..., :3] @ np.array([0.114, 0.587, 0.299])
 
 
+def to_bgr(image, decode: Callable[[bytes], np.ndarray] | None = None) -> np.ndarray:
+    """A copy of an image as rows of BGR: of an array, of an object that converts itself to RGB, or of a file by `decode`."""
+    if isinstance(image, (str, os.PathLike)):
+        if decode is None:
+            raise TypeError("a file takes a decoder")
+        with open(image, "rb") as file:
+            return np.array(decode(file.read()))
+    if isinstance(image, np.ndarray):
+        return image.copy()
+    if hasattr(image, "convert"):
+        return np.ascontiguousarray(np.asarray(image.convert("RGB"))[..., ::-1])
+    raise TypeError(f"no image: {type(image).__name__}")
+
+
+def resized(array: np.ndarray, side: int) -> np.ndarray:
+    """With its longer side at most `side`: each pixel is the mean of those it covers; smaller images keep their size."""
+    h, w = array.shape[:2]
+    if max(h, w) <= side:
+        return array
+    rows, columns = (np.unique(np.linspace(0, n, max(1, n * side // max(h, w)) + 1).astype(int)) for n in (h, w))
+    sums = np.add.reduceat(np.add.reduceat(array.astype(np.int64), rows[:-1], 0), columns[:-1], 1)
+    return (sums / (np.diff(rows)[:, None, None] * np.diff(columns)[None, :, None])).round().astype(np.uint8)
+
+
+def dark(a: np.ndarray) -> np.ndarray:
+    """Ink: the pixels up to the threshold that parts the grey values best (Otsu)."""
+    counts = np.bincount(a.astype(np.uint8).ravel(), minlength=256).astype(float)
+    below, mass = counts.cumsum(), (counts * np.arange(256)).cumsum()
+    above = below[-1] - below
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = below * above * (mass / below - (mass[-1] - mass) / above) ** 2
+    return a.astype(np.uint8) <= int(np.nan_to_num(spread).argmax())
+
+
+def _any(a: np.ndarray, before: int, after: int, axis: int) -> np.ndarray:
+    """Whether any of the pixels from `before` ahead to `after` behind is set."""
+    n = a.shape[axis]
+    sums = np.concatenate([np.zeros_like(a.take([0], axis), dtype=int), a.cumsum(axis, dtype=int)], axis)
+    at = np.arange(n)
+    return (sums.take(np.minimum(at + after + 1, n), axis) - sums.take(np.maximum(at - before, 0), axis)) > 0
+
+
+def closed(a: np.ndarray, columns: int, rows: int) -> np.ndarray:
+    """Gaps narrower than a rectangle filled: spread by it and drawn back; the margin counts as neither."""
+    left, up = columns // 2, rows // 2
+    wide = _any(_any(a, left, columns - 1 - left, 1), up, rows - 1 - up, 0)
+    return ~_any(_any(~wide, columns - 1 - left, left, 1), rows - 1 - up, up, 0)
+
+
+def components(a: np.ndarray) -> list[tuple[tuple[int, int, int, int], int]]:
+    """((x0, y0, x1, y1), size) of the connected parts, touching corners included; size counts each row from end to end."""
+    above: list[int] = []
+
+    def root(k: int) -> int:
+        while above[k] != k:
+            above[k] = above[above[k]]
+            k = above[k]
+        return k
+
+    last: list[tuple[int, int, int]] = []
+    runs: list[tuple[int, int, int, int]] = []
+    for y, line in enumerate(a):
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], line.astype(np.int8), [0]])))
+        now = []
+        for x0, x1 in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            k = len(above)
+            above.append(k)
+            for u0, u1, j in last:
+                if u0 <= x1 and x0 <= u1:
+                    above[root(k)] = root(j)
+            now.append((x0, x1, k))
+            runs.append((y, x0, x1, k))
+        last = now
+    ends: dict[tuple[int, int], tuple[int, int]] = {}
+    for y, x0, x1, k in runs:
+        x, z = ends.get((root(k), y), (x0, x1))
+        ends[root(k), y] = min(x, x0), max(z, x1)
+    parts: dict[int, list[int]] = {}
+    for (k, y), (x0, x1) in ends.items():
+        b = parts.setdefault(k, [x0, y, x1, y + 1, 0])
+        b[:] = min(b[0], x0), min(b[1], y), max(b[2], x1), max(b[3], y + 1), b[4] + x1 - x0
+    return sorted(((b[0], b[1], b[2], b[3]), b[4]) for b in parts.values())
+
+
+def outlined(array: np.ndarray, boxes: list[tuple[int, int, int, int]], colour: tuple[int, int, int] = (0, 0, 255), width: int = 3) -> np.ndarray:
+    """A copy with the boxes drawn on it."""
+    out = np.repeat(array, 3, 2) if array.shape[2] == 1 else array[..., :3].copy()
+    for x0, y0, x1, y1 in boxes:
+        for part in (out[y0 : y0 + width, x0:x1], out[max(y0, y1 - width) : y1, x0:x1], out[y0:y1, x0 : x0 + width], out[y0:y1, max(x0, x1 - width) : x1]):
+            part[:] = colour
+    return out
+
+
+def png(image: dict) -> bytes:
+    """A lossless image file of an image struct."""
+    a = pixels(image)
+    kind = {1: 0, 3: 2, 4: 6}[a.shape[2]]
+    a = a if a.shape[2] == 1 else a[..., [2, 1, 0, *range(3, a.shape[2])]]
+    lines = np.concatenate([np.zeros((a.shape[0], 1), np.uint8), a.reshape(a.shape[0], -1)], 1)
+
+    def chunk(name: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
+
+    head = struct.pack(">IIBBBBB", a.shape[1], a.shape[0], 8, kind, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + chunk(b"IEND", b"")
+
+
 def _convolved(a: np.ndarray, kernel: np.ndarray, axis: int) -> np.ndarray:
     half = len(kernel) // 2
     pad = [(half, half) if k == axis else (0, 0) for k in range(2)]

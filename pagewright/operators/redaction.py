@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import backends
 from ..config import MASK, PipelineConfig
 from ..functions.strings import BOUNDARY, is_identifier_word, split_words
+from .chunking import blank_spans
 
 #: The rule backend's entities.  Patterns without look-around, so that other SQL engines read them alike.
 RULES = (
@@ -56,6 +61,26 @@ def offset_entities(entities: Column, start: Column) -> Column:
     return F.transform(entities, lambda e: F.struct(e["label"].alias("label"), (e["start"] + start).cast("int").alias("start"), (e["end"] + start).cast("int").alias("end")))
 
 
+def recognised(pages: DataFrame, name: str, size: int = 1500) -> DataFrame:
+    """(page_key, text, entities): a recogniser's entities in each page's chunks, with the offsets of the page.
+
+    Offsets of chunks overlap nowhere, so the entities of a page don't either.  The backend is made once for each task.
+    """
+    make = backends.found(backends.RECOGNISERS, name)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        engine = make()
+        for batch in batches:
+            out = []
+            for text in batch.text:
+                spans = blank_spans(text or "", size)
+                told = engine.entities([text[a:b] for a, b in spans]) if spans else []
+                out.append([{"label": label, "start": a + start, "end": a + end} for (a, _), own in zip(spans, told) for label, start, end in own])
+            yield pd.DataFrame({"page_key": batch.page_key, "text": batch.text, "entities": out})
+
+    return pages.select("page_key", "text").mapInPandas(run, "page_key string, text string, entities array<struct<label:string,start:int,end:int>>")
+
+
 def spliced(text: Column, entities: Column) -> Column:
     """struct(text, removed): the spans replaced by the mask from right to left, and their surfaces in that order."""
     backwards = F.array_sort(entities, lambda a, b: b["start"] - a["start"])

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from .. import backends
 from ..config import TASKS, PipelineConfig
 from ..functions.replies import identifiers, is_spread
-from ..operators import chunking, detection, documents, images, redaction
+from ..functions.strings import strip
+from ..operators import chunking, detection, documents, images, preprocess, redaction
 from ..operators.pages import only_pages
 from ..sources.files import load, readable
 
@@ -50,18 +51,27 @@ def deidentified(pages: DataFrame, source: backends.ReplySource, config: Pipelin
     clean = pages.select("page_key", documents.parsed_text(F.col("text")).alias("text"))
     answers = source.answer(questions(clean, config))
     found = redaction.harvested(answers, identifiers(F.col("raw_content")))
-    return redaction.audit_records(clean.join(found, "page_key", "left"), config)
+    if config.recogniser:
+        clean = redaction.recognised(clean, config.recogniser, config.stage1_chunk)
+    entities = F.col("entities") if config.recogniser else None
+    return redaction.audit_records(clean.join(found, "page_key", "left"), config, entities)
 
 
 def run(spark: SparkSession, path: str, engine: str, config: PipelineConfig = PipelineConfig(), source: backends.ReplySource | None = None, skip_deid: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(results (page_key, text), metadata, failures) of all image pages below a path."""
+    """(results (page_key, text), metadata, failures) of all image pages below a path.
+
+    Images are decoded, turned, split and read in narrow passes; what is shuffled and kept for results and metadata is the
+    crops' texts with their flags.
+    """
     backends.transcriber(engine)
     loaded, failed = readable(load(spark, path, dpi=config.render_dpi, pages=list(config.pages) or None))
     pages = only_pages(loaded.where("data_type = 'image' and image is not null"), config.pages, "page_num")
-    crops = oriented_crops(pages, config=config)
-    texts = transcripts(crops, engine)
-    flags = crops.groupBy("page_key").agg(F.max("rotated").alias("rotated"), F.max("composite").alias("composite"))
-    meta = pages.select("page_key", "stem", F.col("page_num").alias("page")).join(flags, "page_key", "left")
+    crops = preprocess.prepared(pages, config.orientation_reader, config.rotation_model, config.spread_model, config)
+    read = backends.transcribed(crops, engine, "stem", "page_num", "rotated", "composite")
+    text = strip(documents.ordered_text(F.col("crop_idx"), F.col("text"), "\n\n"))
+    whole = read.groupBy("page_key", "stem", "page_num").agg(text.alias("text"), F.max("rotated").alias("rotated"), F.max("composite").alias("composite")).persist()
+    texts = whole.select("page_key", "text")
+    meta = whole.select("page_key", "stem", F.col("page_num").alias("page"), "rotated", "composite")
     if skip_deid:
         return texts, meta.withColumn("removed_info", F.array().cast("array<string>")), failed
     source = source or backends.ReplyTable(spark.createDataFrame([], "page_key string, chunk_idx int, task string, raw_content string"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .config import SAFE_WORDS, TASKS
 from .functions import geometry, replies, strings
-from .operators import boxes, chunking, detection, documents, pages, redaction, scoring
+from .operators import boxes, chunking, detection, documents, layout, pages, redaction, scoring
 from .sinks import files
 from .streaming.ingest import windowed
 
@@ -281,6 +281,21 @@ def redacted_words(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("page_key", F.array_join(F.array_sort(F.array_except(before, after)), " ").alias("gone"))
 
 
+def page_number_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Lists of page numbers such as a user types, one of them malformed now and then."""
+    rows = table(spark, folder, "page_metadata").groupBy(pages.doc_stem(F.col("page_key")).alias("stem")).agg(F.array_sort(F.collect_set("page")).alias("p"))
+    typed = F.concat(F.array_join("p", ", "), F.when(F.size("p") % 3 == 0, ",x").otherwise(""))
+    return rows.select("stem", strings.int_list(typed).alias("n")).select("stem", F.array_join("n", "|").alias("numbers"))
+
+
+def ground_truth_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """The terms of ground-truth files in their several shapes, by reply_id."""
+    rows = table(spark, folder, "patient_data_extractor").where("size(extracted_identifiers) > 0").select("reply_id", F.filter("extracted_identifiers", lambda x: x.isNotNull()).alias("e")).where("size(e) > 0").distinct()
+    kind = F.col("reply_id") % 4
+    raw = F.when(kind == 0, F.to_json(F.struct(F.col("e").alias("ID")))).when(kind == 1, F.to_json(F.struct(F.col("e")[0].alias("ID")))).when(kind == 2, F.to_json(F.struct(F.col("e")[0].alias("name"), F.lit(3).alias("n")))).otherwise(F.to_json(F.transform("e", lambda x: F.struct(x.alias("ID")))))
+    return rows.select("reply_id", F.array_join(scoring.ground_truth_terms(raw), "|").alias("terms")).distinct()
+
+
 def control_free(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", strings.control_to_space(F.col("text")).alias("text"))
 
@@ -341,6 +356,41 @@ def paragraph_boxes(spark: SparkSession, folder: str) -> DataFrame:
     return boxes.paragraphs(_boxes(spark, folder))
 
 
+def _sized(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"width": F.lit(PAGE_WIDTH), "height": F.lit(PAGE_HEIGHT)})
+
+
+def line_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines given as polygons of four corners, a little aslant."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), y.alias("y"))
+    points = F.array(corner("x0", F.col("y0") + 2), corner("x1", F.col("y0")), corner("x1", F.col("y1")), corner("x0", F.col("y1") - 1))
+    return layout.line_regions(_sized(_boxes(spark, folder)).withColumn("points", points))
+
+
+def paragraph_regions(spark: SparkSession, folder: str) -> DataFrame:
+    return layout.paragraph_regions(_sized(_boxes(spark, folder)))
+
+
+def block_regions(spark: SparkSession, folder: str) -> DataFrame:
+    return layout.block_regions(_sized(_boxes(spark, folder)))
+
+
+def _found_in_strips(spark: SparkSession, folder: str) -> DataFrame:
+    """What a detector said about strips: a strip's number follows from the line, its corners from the box."""
+    rows = _sized(_boxes(spark, folder)).withColumn("y_offset", F.col("idx") % 3 * layout.STEP)
+    strip = F.least(F.lit(layout.STRIP), F.col("height") + 2 * layout.BORDER - F.col("y_offset"))
+    quad = F.array(*[c.cast("double") for c in (F.col("x0") - 30, F.col("y0") % 900 - 20, F.col("x1") + F.lit(0.5), F.col("y0") % 900, F.col("x1"), F.col("y0") % 900 + 90, F.col("x0"), F.col("y0") % 900 + 80)])
+    return rows.select("page_key", "idx", "y_offset", (F.col("width") + 2 * layout.BORDER).alias("strip_width"), strip.cast("int").alias("strip_height"), "width", "height", quad.alias("quad"), F.concat("label", F.lit(": a/b?")).alias("label"))
+
+
+def strip_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    return layout.restored(_found_in_strips(spark, folder))
+
+
+def mined_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    return layout.mined(_found_in_strips(spark, folder))
+
+
 def page_hulls(spark: SparkSession, folder: str) -> DataFrame:
     corners = F.flatten(F.collect_list(F.array(F.struct(F.col("x0").alias("x"), F.col("y0").alias("y")), F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")))))
     rows = _boxes(spark, folder).groupBy("page_key").agg(geometry.hull(corners).alias("b"))

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import os
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import list_cell
 from ..operators.documents import merged_documents
+from ..operators.images import outlined, packed, pixels, png
 from ..operators.pages import doc_stem, page_key
+from ..schema import IMAGE
 
 
 def write_named(rows: DataFrame, folder: str) -> None:
@@ -31,6 +34,50 @@ def write_named(rows: DataFrame, folder: str) -> None:
     rows.select("name", "content").foreachPartition(run)
 
 
+def write_images(rows: DataFrame, folder: str) -> None:
+    """Writes (name, image) rows as lossless image files below a folder; `.png` takes the place of another suffix."""
+
+    def run(part) -> None:
+        for row in part:
+            path = os.path.join(folder, os.path.splitext(row["name"])[0] + ".png")
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            beside = f"{path}.{os.getpid()}.part"
+            with open(beside, "wb") as file:
+                file.write(png(row["image"].asDict()))
+            os.replace(beside, path)
+
+    rows.select("name", "image").foreachPartition(run)
+
+
+def step_images(crops: DataFrame, step: str) -> DataFrame:
+    """(name, image) of debug images `<stem>_page_NN_<step>` of (stem, page_num, crop_idx, image); later crops bear their number."""
+    name = F.when(F.col("crop_idx") == 0, F.lit(step)).otherwise(F.concat(F.lit(f"{step}_"), F.col("crop_idx")))
+    return crops.select(F.concat(page_key(F.col("stem"), F.col("page_num")), F.lit("_"), name, F.lit(".png")).alias("name"), "image")
+
+
+def split_images(crops: DataFrame) -> DataFrame:
+    """(name, image) of split pages (stem, crop_idx, composite, image): numbered only where a page was split."""
+    suffix = F.when(F.col("composite"), F.format_string("_page_%d", F.col("crop_idx") + 1)).otherwise("")
+    return crops.select(F.concat("stem", suffix, F.lit(".png")).alias("name"), "image")
+
+
+def overlays(pages: DataFrame, regions: DataFrame) -> DataFrame:
+    """(name, image) of pages (page_key, image) with their regions' boxes drawn on them."""
+    found = regions.groupBy("page_key").agg(F.collect_list("bbox").alias("boxes"))
+
+    def run(batches):
+        for batch in batches:
+            drawn = [packed(outlined(pixels(i), [(b["x0"], b["y0"], b["x1"], b["y1"]) for b in (x if x is not None else ())])) for i, x in zip(batch.image, batch.boxes)]
+            yield pd.DataFrame({"name": batch.page_key + "_boxes.png", "image": drawn})
+
+    return pages.select("page_key", "image").join(found, "page_key", "left").mapInPandas(run, f"name string, image {IMAGE}")
+
+
+def region_images(regions: DataFrame) -> DataFrame:
+    """(name, image) of each region's crop: `<page_key>/<region_id>.png`."""
+    return regions.select(F.concat("page_key", F.lit("/"), "region_id", F.lit(".png")).alias("name"), "image")
+
+
 def page_files(pages: DataFrame, text: str = "text") -> DataFrame:
     """(name, content): `<stem>/<page_key>.md` for each page."""
     return pages.select(F.concat(doc_stem(F.col("page_key")), F.lit("/"), "page_key", F.lit(".md")).alias("name"), F.col(text).alias("content"))

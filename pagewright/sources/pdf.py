@@ -1,8 +1,8 @@
-"""A data source of PDF pages: partitions are ranges of pages of files, and page filters reach it.
+"""A data source of PDF pages: partitions are shares of files' pages, and page filters reach it.
 
-What a page looks like is the renderer's business: `renderer` names a function `module:function` that takes
-(file content, page number, scale) and returns an image struct.  Without one, page numbers and totals are right and the
-image is null.
+The driver lists names and sizes only; pages are counted by the tasks that read the files.  What a page looks like is the
+renderer's business: `renderer` names a function `module:function` that takes (file content, page number, scale) and
+returns an image struct.  Without one, page numbers and totals are right and the image is null.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ import zlib
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
-PAGES_A_TASK = 16
+#: A file is dealt to one task for each so many bytes of it: page k goes to task k modulo their number.
+BYTES_A_TASK = 4 << 20
 OBJECT = re.compile(rb"/Type\s*/Page(?![A-Za-z])")
 STREAM = re.compile(rb"stream\r?\n(.*?)\r?\nendstream", re.S)
 
@@ -32,9 +33,9 @@ def page_count(content: bytes) -> int:
     return n
 
 
-class PageRange(InputPartition):
-    def __init__(self, path: str, first: int, last: int, total: int, error: str | None = None):
-        self.path, self.first, self.last, self.total, self.error = path, first, last, total, error
+class PageShare(InputPartition):
+    def __init__(self, path: str, share: int, shares: int):
+        self.path, self.share, self.shares = path, share, shares
 
 
 class PdfPages(DataSource):
@@ -73,36 +74,30 @@ class PdfReader(DataSourceReader):
         names = [path] if os.path.isfile(path) else sorted(glob.glob(os.path.join(glob.escape(path), "**" if deep else "", "*"), recursive=deep))
         out: list[InputPartition] = []
         for name in names:
-            if not name.lower().endswith(".pdf") or not os.path.isfile(name) or os.path.basename(name)[0] in "._":
-                continue
-            try:
-                with open(name, "rb") as file:
-                    total = page_count(file.read())
-            except OSError as e:
-                out.append(PageRange(name, 1, 1, 0, str(e)))
-                continue
-            if not total:
-                out.append(PageRange(name, 1, 1, 0, "no pages found"))
-            for first in range(1, total + 1, PAGES_A_TASK):
-                last = min(total, first + PAGES_A_TASK - 1)
-                if self.pages is None or any(first <= p <= last for p in self.pages):
-                    out.append(PageRange(name, first, last, total))
-        return out or [PageRange("", 1, 0, 0)]
-
-    def read(self, part: PageRange):
-        if part.error:
-            if self.pages is None or part.first in self.pages:
-                yield (part.path, part.first, part.total, None, part.error)
+            if name.lower().endswith(".pdf") and os.path.isfile(name) and os.path.basename(name)[0] not in "._":
+                shares = 1 + os.path.getsize(name) // BYTES_A_TASK if self.options.get("renderer") else 1
+                out += [PageShare(name, k, shares) for k in range(shares)]
+        return out or [PageShare("", 0, 1)]
+
+    def read(self, part: PageShare):
+        if not part.path:
+            return
+        content, total, error = b"", 0, None
+        try:
+            with open(part.path, "rb") as file:
+                content = file.read()
+            total = page_count(content)
+        except OSError as e:
+            error = str(e)
+        if error or not total:
+            if part.share == 0 and (self.pages is None or 1 in self.pages):
+                yield (part.path, 1, 0, None, error or "no pages found")
             return
         render = None
         if self.options.get("renderer"):
             module, _, function = self.options["renderer"].partition(":")
             render = getattr(importlib.import_module(module), function)
-        content = b""
-        if render and part.last >= part.first:
-            with open(part.path, "rb") as file:
-                content = file.read()
-        for page in range(part.first, part.last + 1):
+        for page in range(1 + part.share, total + 1, part.shares):
             if self.pages is not None and page not in self.pages:
                 continue
             image, error = None, None
@@ -112,4 +107,4 @@ class PdfReader(DataSourceReader):
                     image = (found["height"], found["width"], found["n_channels"], found["mode"], found["data"])
                 except Exception as e:  # one page's failure must not lose the file's others
                     error = str(e) or type(e).__name__
-            yield (part.path, page, part.total, image, error)
+            yield (part.path, page, total, image, error)

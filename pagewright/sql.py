@@ -217,3 +217,23 @@ walk AS (SELECT page_key, m, boxes, 1 AS n, boxes[1:0] AS made FROM s
   FROM (SELECT *, list_position(list_transform(made, lambda p: (boxes[n]).y0 - p.y1 >= 0 AND (boxes[n]).y0 - p.y1 <= 0.5::DOUBLE * m AND greatest(p.x0 - (boxes[n]).x1, (boxes[n]).x0 - p.x1) <= m), true) AS place FROM walk WHERE n <= len(boxes))),
 u AS (SELECT page_key, unnest(made) AS p, unnest(range(0, len(made))) AS i FROM walk WHERE n = len(boxes) + 1)
 SELECT page_key, CAST(i AS INT) AS paragraph_idx, p.x0 AS x0, p.y0 AS y0, p.x1 AS x1, p.y1 AS y1 FROM u"""
+
+_PAD = "greatest(0, x0 - 4) AS x0, greatest(0, y0 - 4) AS y0, least(1240, x1 + 4) AS x1, least(1754, y1 + 4) AS y1"
+_SOUND = "WHERE x1 > x0 AND y1 > y0"
+# The hull's last row of pixels is that of the lowest corner.
+ORACLE["line_regions"] = f"""WITH {_BOXES}, n AS (SELECT page_key, printf('line_%03d', row_number() OVER (PARTITION BY page_key ORDER BY y0 + 2, idx) - 1) AS region_id, x0, least(y0, y1 - 1) AS y0, x1, greatest(y0 + 2, y1) AS y1 FROM b)
+SELECT * FROM (SELECT page_key, region_id, {_PAD} FROM n) {_SOUND}"""
+ORACLE["paragraph_regions"] = f"""WITH p AS ({ORACLE["paragraph_boxes"]}), n AS (SELECT page_key, printf('line_%03d', paragraph_idx) AS region_id, CAST(x0 AS INT) AS x0, CAST(y0 AS INT) AS y0, CAST(x1 AS INT) AS x1, CAST(y1 AS INT) AS y1 FROM p)
+SELECT * FROM (SELECT page_key, region_id, {_PAD} FROM n) {_SOUND}"""
+ORACLE["block_regions"] = f"""WITH {_BOXES}, n AS (SELECT *, printf('block_%03d', row_number() OVER (PARTITION BY page_key ORDER BY floor(y0 / 40.0), x0, idx) - 1) AS region_id FROM b)
+SELECT * FROM (SELECT page_key, region_id, {_PAD} FROM n WHERE label NOT IN ({", ".join(map(_text, EMPTY_LABELS))})) {_SOUND}"""
+_STRIPS = f"""{_BOXES}, q AS (SELECT *, idx % 3 * 600 AS y_off, least(800, 1874 - idx % 3 * 600) AS sh, y0 % 900 AS y FROM b),
+c AS (SELECT page_key, idx, label, y_off, sh, greatest(x0 - 30, 0) AS l, least(x1, 1360) AS r, y - 20 AS t, y + 90 AS e FROM q),
+w AS (SELECT page_key, idx, greatest(l - 60, 0) AS x0, greatest(t + y_off - 60, 0) AS y0, least(r - 60, 1240) AS x1, least(e + y_off - 60, 1754) AS y1, label || '_ab' AS label FROM c WHERE r > l AND least(e, sh) > greatest(t, 0)),
+f AS (SELECT * FROM w {_SOUND})"""
+ORACLE["strip_boxes"] = f"WITH {_STRIPS} SELECT * FROM f"
+ORACLE["mined_boxes"] = ORACLE["surviving_boxes"].replace(_BOXES, _STRIPS).replace("FROM b WHERE", "FROM f WHERE").replace("SELECT page_key, k.idx AS idx, k.x0 AS x0, k.y0 AS y0, k.x1 AS x1, k.y1 AS y1 FROM u", "SELECT u.page_key, f.idx, f.x0, f.y0, f.x1, f.y1, f.label FROM u JOIN f ON u.page_key = f.page_key AND u.k.idx = f.idx")
+ORACLE["page_number_lists"] = f"""WITH p AS (SELECT {_STEM} AS stem, list_sort(list_distinct(list(page) FILTER (page IS NOT NULL))) AS p FROM page_metadata GROUP BY 1)
+SELECT stem, CASE WHEN len(p) % 3 <> 0 THEN array_to_string(p, '|') END AS numbers FROM p"""
+ORACLE["ground_truth_shapes"] = """WITH e AS (SELECT DISTINCT reply_id, list_filter(extracted_identifiers, lambda x: x IS NOT NULL) AS e FROM patient_data_extractor)
+SELECT DISTINCT reply_id, CASE WHEN reply_id % 4 IN (1, 2) THEN e[1] ELSE array_to_string(e, '|') END AS terms FROM e WHERE len(e) > 0"""
