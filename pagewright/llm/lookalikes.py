@@ -70,21 +70,26 @@ def folded(text: str) -> str:
 
     Raised, lowered and encircled signs and fractions stay, since their compatibility forms look different.
     """
-    if not text.isascii():
-        if INVISIBLE.search(text):
-            text = INVISIBLE.sub("", text)
-        if not unicodedata.is_normalized("NFKC", text):
-            kept = RAISED.search(text)
-            text = "".join(x if k % 2 else unicodedata.normalize("NFKC", x) for k, x in enumerate(RAISED_SPLIT.split(text))) if kept else unicodedata.normalize("NFKC", text)
-            text = INVISIBLE.sub("", text)
-        text = SPACES.sub(" ", text)
-        if UNUSUAL.search(text):
-            text = text.translate(SAME)
-    return text.replace("\r\n", "\n").replace("\r", "\n") if "\r" in text else text
+    if text.isascii():
+        return text.replace("\r\n", "\n").replace("\r", "\n") if "\r" in text else text
+    odd, normal = ODD.search(text), unicodedata.is_normalized("NFKC", text)
+    if not odd and normal:
+        return text
+    if odd:
+        text = INVISIBLE.sub("", text)
+    if not normal:
+        kept = RAISED.search(text)
+        text = "".join(x if k % 2 else unicodedata.normalize("NFKC", x) for k, x in enumerate(RAISED_SPLIT.split(text))) if kept else unicodedata.normalize("NFKC", text)
+        text = INVISIBLE.sub("", text)
+    text = SPACES.sub(" ", text)
+    if UNUSUAL.search(text):
+        text = text.translate(SAME)
+    return text.replace("\r\n", "\n").replace("\r", "\n")
 
 
 RAISED_SPLIT = re.compile(f"({RAISED.pattern})")
 UNUSUAL = re.compile("[" + "".join(map(chr, SAME)) + "]")
+ODD = re.compile(f"{INVISIBLE.pattern}|{SPACES.pattern}|{UNUSUAL.pattern}|\r")
 
 
 def _dominant(counts: dict[str, int]) -> str:
@@ -152,8 +157,14 @@ def repaired(text: str, is_word: Callable[[str], bool]) -> str:
     return "".join(out) + text[at:] if out else text
 
 
+#: Bytes of ASCII texts: letters in lower case, all others as blanks.
+LETTERS = bytes(ord(chr(o).lower()) if chr(o).isascii() and chr(o).isalpha() else 32 for o in range(256))
+
+
 def native_words(text: str) -> set[str]:
     """The words of a folded text, in lower case, that are of its own script; disguised ones would vouch for each other."""
+    if text.isascii():
+        return set(text.encode().translate(LETTERS).decode().split())
     words = set(tokens_of(text).findall(text.lower()))
     if not NOT_LATIN.search(text):
         return words
