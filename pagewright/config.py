@@ -18,7 +18,7 @@ EMPTY_LABELS = ("PageHeader", "PageFooter", "BlankPage")
 #: Angles that a page may be turned by.
 ANGLES = (0, 90, 180, 270)
 MASK = "***"
-#: The questions of the second redaction stage, in our wording.
+#: Names of the tasks of the second redaction stage.  The questions are in our wording.
 TASKS = (
     ("UK Postcodes & Addresses", "List every postal address and postcode in the passage."),
     ("Hospital Names", "List every name of a hospital, clinic or practice in the passage."),

@@ -39,9 +39,14 @@ def control_to_space(c: Column) -> Column:
     return F.regexp_replace(c, r"[\x00-\x1F\x7F]", " ")
 
 
+#: Signs that a label loses; what an orientation reading says.
+FORBIDDEN = r'[\\/*?:"<>|\n\t]'
+ANGLE, CONFIDENCE = r"Rotate: (\d+)", r"Orientation confidence: (\d+(?:\.\d+)?)"
+
+
 def sanitised_label(c: Column) -> Column:
     """A label fit for a file name: forbidden signs out, blanks as `_`, at most 40 characters, never empty."""
-    kept = strip(F.replace(F.regexp_replace(c, r'[\\/*?:"<>|\n\t]', ""), F.lit(" "), F.lit("_")))
+    kept = strip(F.replace(F.regexp_replace(c, FORBIDDEN, ""), F.lit(" "), F.lit("_")))
     return F.substring(F.coalesce(F.nullif(kept, F.lit("")), F.lit("unnamed_text")), 1, 40)
 
 
@@ -67,18 +72,18 @@ def context(text: Column, term: Column, around: int = 35) -> Column:
 
 def orientation_angle(c: Column) -> Column:
     """Degrees of an orientation reading such as `Rotate: 90`; null if there is none."""
-    found = F.regexp_extract(c, r"Rotate: (\d+)", 1)
+    found = F.regexp_extract(c, ANGLE, 1)
     return F.when(found != "", found.cast("int"))
 
 
 def orientation_confidence(c: Column) -> Column:
-    found = F.regexp_extract(c, r"Orientation confidence: (\d+(?:\.\d+)?)", 1)
+    found = F.regexp_extract(c, CONFIDENCE, 1)
     return F.when(found != "", found.cast("double"))
 
 
 def reading_of(text: str) -> tuple[int | None, float | None]:
     """(angle, confidence) of an orientation reading, as `orientation_angle` and `orientation_confidence` tell them."""
-    angle, confidence = re.search(r"Rotate: (\d+)", text or ""), re.search(r"Orientation confidence: (\d+(?:\.\d+)?)", text or "")
+    angle, confidence = re.search(ANGLE, text or ""), re.search(CONFIDENCE, text or "")
     return int(angle[1]) if angle else None, float(confidence[1]) if confidence else None
 
 

@@ -23,17 +23,22 @@ def ordered_text(order: Column, text: Column, separator: str) -> Column:
     return F.array_join(F.transform(pairs, lambda x: x["t"]), separator)
 
 
+def page_blocks(pages: DataFrame, text: str = "text", lexicographic: bool = False) -> DataFrame:
+    """(stem, o, t): each page's part of its document, with what orders the parts."""
+    key = F.col("page_key")
+    number = F.regexp_extract(key, r"_page_(\d+)$", 1).try_cast("bigint")
+    order = F.struct(key) if lexicographic else F.struct(number, key)
+    block = F.concat(F.lit("## "), key, F.lit("\n\n"), F.coalesce(F.col(text), F.lit("")), F.lit(f"\n\n{RULE}\n\n"))
+    return pages.where(key.isNotNull()).select(doc_stem(key).alias("stem"), order.alias("o"), block.alias("t"))
+
+
 def merged_documents(pages: DataFrame, text: str = "text", lexicographic: bool = False) -> DataFrame:
     """(stem, n_pages, document): the pages of each document under headings, in page order.
 
     pages: (page_key, text).  Order is that of the page number, or that of the key's characters if `lexicographic`.
-    A null text counts as empty.
+    A null text counts as empty.  A document is one row here; `sinks.files.write_merged` writes documents of any size.
     """
-    key = F.col("page_key")
-    number = F.regexp_extract(key, r"_page_(\d+)$", 1).try_cast("bigint")
-    order = F.struct(key) if lexicographic else F.struct(number, key)
-    block = F.concat(F.lit("## "), key, F.lit("\n\n"), F.coalesce(F.col(text), F.lit("")), F.lit(f"\n\n{RULE}\n\n"))
-    rows = pages.where(key.isNotNull()).select(doc_stem(key).alias("stem"), order.alias("o"), block.alias("t"))
+    rows = page_blocks(pages, text, lexicographic)
     whole = rows.groupBy("stem").agg(F.count("*").alias("n_pages"), ordered_text(F.col("o"), F.col("t"), "").alias("body"))
     return whole.select("stem", "n_pages", F.concat(F.lit("# Document: "), "stem", F.lit("\n\n"), "body").alias("document"))
 

@@ -20,6 +20,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--out", default="./output", help="folder to write to, shared by all executors")
     p.add_argument("--pages", help="page numbers such as 1,3,5")
     p.add_argument("--transcriber", default="size", help="name of a registered transcriber")
+    p.add_argument("--orientation", default="", help="name of a registered orientation reader")
+    p.add_argument("--rotation-model", default="", help="name of a registered model that is asked where the reader isn't sure")
+    p.add_argument("--spread-model", default="", help="name of a registered model that tells spreads")
+    p.add_argument("--recogniser", default="", help="name of a registered entity recogniser; rules without one")
     p.add_argument("--merge", action="store_true", help="one file for each document")
     p.add_argument("--skip-deid", action="store_true", help="write transcripts as they are")
     p.add_argument("--debug", action="store_true", help="write a report of every page")
@@ -32,14 +36,16 @@ def main(argv: list[str] | None = None) -> int:
     try:
         pages = page_filter(args.pages) or []
         spark = SparkSession.builder.appName("pagewright").getOrCreate()
-        config = PipelineConfig(pages=tuple(pages))
+        config = PipelineConfig(pages=tuple(pages), orientation_reader=args.orientation, rotation_model=args.rotation_model, spread_model=args.spread_model, recogniser=args.recogniser)
         results, meta, failed = pipeline.run(spark, args.source, args.transcriber, config, skip_deid=args.skip_deid)
     except (ValueError, LookupError, FileNotFoundError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 1
     results = results.persist()
-    made = files.merged_files(results) if args.merge else files.page_files(results)
-    files.write_named(made, args.out)
+    if args.merge:
+        files.write_merged(results, args.out)
+    else:
+        files.write_named(files.page_files(results), args.out)
     if args.debug:
         report = files.debug_report(meta.drop("removed_info"), meta.select("page_key", F.col("removed_info").alias("redacted_entities")))
         files.write_csv(report, f"{args.out}/debug_report")

@@ -7,13 +7,14 @@ a folder that all executors share.
 from __future__ import annotations
 
 import os
+from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.strings import list_cell
-from ..operators.documents import merged_documents
+from ..operators.documents import merged_documents, page_blocks
 from ..operators.images import outlined, packed, pixels, png
 from ..operators.pages import doc_stem, page_key
 from ..schema import IMAGE
@@ -88,6 +89,39 @@ def merged_files(pages: DataFrame, text: str = "text", lexicographic: bool = Fal
     return merged_documents(pages, text, lexicographic).select(F.concat("stem", F.lit("_complete.md")).alias("name"), F.col("document").alias("content"))
 
 
+def write_merged(pages: DataFrame, folder: str, text: str = "text", lexicographic: bool = False) -> None:
+    """Writes `<stem>_complete.md` of each document page by page, so that a document of any size needs no more memory than a page.
+
+    Pages are sorted by document within each task, on disk where need be; a task that runs twice writes its files anew.
+    """
+    rows = page_blocks(pages, text, lexicographic).repartition("stem").sortWithinPartitions("stem", "o")
+
+    def run(part) -> None:
+        os.makedirs(folder, exist_ok=True)
+        for stem, own in groupby(part, key=lambda row: row["stem"]):
+            path = os.path.join(folder, f"{stem}_complete.md")
+            beside = f"{path}.{os.getpid()}.part"
+            with open(beside, "w", encoding="utf-8", newline="") as file:
+                file.write(f"# Document: {stem}\n\n")
+                for row in own:
+                    file.write(row["t"])
+            os.replace(beside, path)
+
+    rows.foreachPartition(run)
+
+
+def wiped(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of an earlier run, on any file system; a missing one is fine."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def write_transcriptions(pages: DataFrame, folder: str) -> None:
+    """Writes the files of `transcription_files` into a folder that is wiped first."""
+    wiped(pages.sparkSession, folder)
+    write_named(transcription_files(pages), folder)
+
+
 def transcription_files(pages: DataFrame) -> DataFrame:
     """(name, content): `<stem>/Page_NN.md` of (stem, page_num, text)."""
     return pages.select(F.format_string("%s/Page_%02d.md", "stem", "page_num").alias("name"), F.col("text").alias("content"))

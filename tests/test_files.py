@@ -100,6 +100,31 @@ def test_named_files(spark, tmp_path):
     assert sinks.transcription_files(numbered).first().name == "d/Page_03.md"
 
 
+def test_merged_files_are_written_page_by_page(spark, tmp_path):
+    rows = spark.createDataFrame([(f"d_page_{k:02d}", f"text ü {k}" if k % 3 else None) for k in (10, 2, 100, 1)] + [("e f", "x"), (None, "y")], "page_key string, text string")
+    sinks.write_merged(rows, str(tmp_path / "out"))
+    want = {f"{r.stem}_complete.md": r.document for r in sinks.merged_documents(rows).collect()}
+    assert {p.name: p.read_text(encoding="utf-8") for p in (tmp_path / "out").iterdir()} == want and len(want) == 2
+
+
+def test_transcriptions_wipe_their_folder(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "old").write_text("x")
+    sinks.write_transcriptions(spark.createDataFrame([("s", 7, "new")], "stem string, page_num int, text string"), str(tmp_path / "t"))
+    assert [p.name for p in (tmp_path / "t").iterdir()] == ["s"] and (tmp_path / "t/s/Page_07.md").read_text() == "new"
+
+
+def test_unreadable_files_are_rows(spark, tmp_path):
+    (tmp_path / "a.TXT").write_bytes(b"x\xff\r\ny")
+    (tmp_path / "b.txt").write_text("fine")
+    (tmp_path / "b.txt").chmod(0)
+    (tmp_path / "c.webp").write_bytes(b"w")
+    got = {r.filename: (r.text, r.error) for r in sources.load_texts(spark, str(tmp_path)).collect()}
+    assert got["a.TXT"] == ("x\ufffd\ny", None) and set(got) == {"a.TXT", "b.txt"}
+    images = sources.load_images(spark, str(tmp_path), decoder="json:loads").collect()
+    assert [(r.filename, r.error) for r in images] == [("c.webp", "no decoder for this type")]
+
+
 def test_reports(spark, tmp_path):
     meta = spark.createDataFrame([("p", "s", 1, True, False), ("failed", "s", 2, None, None)], "page_key string, stem string, page int, rotated boolean, composite boolean")
     audit = spark.createDataFrame([("p", ["a", "b"])], "page_key string, redacted_entities array<string>")
