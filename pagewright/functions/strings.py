@@ -87,6 +87,16 @@ def reading_of(text: str) -> tuple[int | None, float | None]:
     return int(angle[1]) if angle else None, float(confidence[1]) if confidence else None
 
 
+#: Tokens that models put around what they say.
+SPECIAL = r"<\|[^|<>]*\|>|</?s>|<(?:pad|unk|bos|eos)>"
+
+
+def without_special_tokens(c: Column, prompt: Column | None = None) -> Column:
+    """What a model said: without the prompt that it repeats first, without special tokens, stripped."""
+    said = c if prompt is None else F.when(F.startswith(c, prompt), F.substring(c, F.length(prompt) + 1, F.length(c))).otherwise(c)
+    return strip(F.regexp_replace(said, SPECIAL, ""))
+
+
 def strip_markup(c: Column) -> Column:
     """Text of marked-up pages by a chain of expressions: comments, scripts, tags, entities, then blanks.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import backends
+from .. import backends, engines  # noqa: F401  (engines register themselves)
 from ..config import TASKS, PipelineConfig
 from ..functions.replies import identifiers, is_spread
 from ..functions.strings import strip

@@ -281,6 +281,13 @@ def redacted_words(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("page_key", F.array_join(F.array_sort(F.array_except(before, after)), " ").alias("gone"))
 
 
+def special_free(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts as a model gives them back: with the prompt before them and special tokens around them."""
+    rows = table(spark, folder, "documents").select("doc_id", F.concat(F.lit("<s>"), F.col("source"), F.lit(": ")).alias("prompt"), F.col("text").alias("said"))
+    said = F.concat(F.when(F.col("doc_id") % 2 == 0, F.col("prompt")).otherwise(""), F.lit("<|start|> "), F.col("said"), F.lit("</s><pad><|end of text|>"))
+    return rows.select("doc_id", strings.without_special_tokens(said, F.coalesce("prompt", F.lit(""))).alias("text"))
+
+
 def page_number_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Lists of page numbers such as a user types, one of them malformed now and then."""
     rows = table(spark, folder, "page_metadata").groupBy(pages.doc_stem(F.col("page_key")).alias("stem")).agg(F.array_sort(F.collect_set("page")).alias("p"))

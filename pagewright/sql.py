@@ -237,3 +237,5 @@ ORACLE["page_number_lists"] = f"""WITH p AS (SELECT {_STEM} AS stem, list_sort(l
 SELECT stem, CASE WHEN len(p) % 3 <> 0 THEN array_to_string(p, '|') END AS numbers FROM p"""
 ORACLE["ground_truth_shapes"] = """WITH e AS (SELECT DISTINCT reply_id, list_filter(extracted_identifiers, lambda x: x IS NOT NULL) AS e FROM patient_data_extractor)
 SELECT DISTINCT reply_id, CASE WHEN reply_id % 4 IN (1, 2) THEN e[1] ELSE array_to_string(e, '|') END AS terms FROM e WHERE len(e) > 0"""
+_TOKENS = r"<\|[^|<>]*\|>|</?s>|<(?:pad|unk|bos|eos)>"
+ORACLE["special_free"] = f"""SELECT doc_id, CASE WHEN doc_id % 2 = 0 AND source IS NULL THEN NULL ELSE {_STRIP.format(f"regexp_replace('<|start|> ' || text || '</s><pad><|end of text|>', '{_TOKENS}', '', 'g')")} END AS text FROM documents"""

@@ -10,7 +10,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from pagewright import backends
+from pagewright import backends, engines
 from pagewright.config import PipelineConfig
 from pagewright.functions import replies, strings
 from pagewright.operators import images, layout, preprocess, redaction
@@ -240,3 +240,56 @@ def test_chunks_are_recognised_with_the_pages_offsets(spark, monkeypatch):
     source = backends.ReplyTable(spark.createDataFrame([], "page_key string, chunk_idx int, task string, raw_content string"))
     done = pipeline.deidentified(pages.where("page_key = 'p'"), source, PipelineConfig(recogniser="names")).first()
     assert "Smith" not in done.final_llm_scrubbed and done.final_llm_scrubbed.count("***") == 4 and done.redacted_entities == ["Smith"]
+
+
+def test_engines_around_what_they_wrap():
+    grey, colour = images.packed(np.full((1, 2, 1), 7, np.uint8)), images.packed(np.array([[[1, 2, 3]]], np.uint8))
+    assert engines.rgb(colour).tolist() == [[[3, 2, 1]]] and engines.rgb(grey).tolist() == [[7, 7]]
+
+    class Tree:
+        def __call__(self, arrays):
+            self.shape = arrays[0].shape
+            return self
+
+        def export(self):
+            if self.shape[1] == 1:
+                raise RuntimeError
+            return {"pages": [{"blocks": [{"lines": [{"words": [{"value": "a"}, {"value": "b"}]}, {"words": [{"value": "c"}]}]}]}]}
+
+    assert engines.TreeEngine(Tree()).run([grey, colour]) == ["a b\nc", ""]
+
+    class Client:
+        def batch_two_step_extract(self, arrays):
+            return [[{"content": " x "}, {"text": "y"}, {"content": None}] for _ in arrays]
+
+    assert engines.BlockEngine(Client(), lambda a: a).run([grey, colour]) == ["x\n\ny"] * 2 and engines.BlockEngine(Client(), lambda a: a).run([]) == []
+
+    class Model:
+        def apply_chat_template(self, asked, **options):
+            return asked[0]["content"][1]["text"]
+
+        def __call__(self, text, images, return_tensors):
+            return {"input_ids": [[ord(c) for c in text]]}
+
+        def generate(self, input_ids, max_new_tokens, **options):
+            return [input_ids[0] + [ord(c) for c in " read "][:max_new_tokens]]
+
+        def batch_decode(self, rows, skip_special_tokens):
+            return ["".join(map(chr, row)) for row in rows]
+
+    model = Model()
+    assert engines.PromptEngine("table", 5, model, model, lambda a: a).run([colour]) == ["read"]
+    with pytest.raises(ValueError):
+        engines.PromptEngine("poem", processor=model, generator=model)
+
+
+def test_contrast():
+    rng = np.random.default_rng(2)
+    faint = np.repeat(np.where(rng.random((160, 120)) < 0.2, 150, 190).astype(np.uint8)[..., None], 3, 2)
+    made = images.contrasted(faint)
+    dark, light = made[faint == 150].astype(int), made[faint == 190].astype(int)
+    assert light.mean() - dark.mean() > 50 and made.shape == faint.shape
+    assert (images.contrasted(np.zeros((3, 2, 3), np.uint8)) == 0).all()
+    tinted = np.dstack([faint[..., 0] // 2, faint[..., 1], faint[..., 2]])
+    parts = images.contrasted(tinted).astype(float)
+    assert abs(parts[..., 0] / np.maximum(parts[..., 1], 1) - 0.5).max() < 0.1
