@@ -36,6 +36,20 @@ def test_columns_and_rows(spark, data, name):
         assert {r[2] for r in rows} <= {"html", "markdown", "wiki", "latex"}
 
 
+@pytest.mark.parametrize("name", sorted(sql.ORACLE))
+def test_rows_are_those_of_the_sql(spark, data, name):
+    import glob
+    import os
+
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for path in glob.glob(f"{data}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    frame = QUERIES[name](spark, data)
+    want = con.sql(f"SELECT {', '.join(frame.columns)} FROM ({sql.ORACLE[name]})").fetchall()
+    assert sorted(map(tuple, frame.collect()), key=repr) == sorted(want, key=repr) != []
+
+
 def test_share_against_sql(spark, data):
     import glob
     import os
