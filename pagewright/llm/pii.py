@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +23,8 @@ from . import common
 from .common import EDGE, Asking, Lexicon, Own, Repairer, bounded_sample, counted, current_rows, frequent, looked_up, table, with_own, word_of, written
 from .name_variants import FORMAL, deletes, near, parse
 
-#: Labelled pages that the weights are fitted on, at most; passes over them; rounds of message passing.
-FIT_PAGES, EPOCHS, ROUNDS = 3_000, 20, 4
+#: Labelled pages and listed elements that the weights are fitted on, at most; passes over them; rounds of message passing.
+FIT_PAGES, FIT_ELEMENTS, EPOCHS, ROUNDS = 3_000, 3_000, 20, 4
 #: Passes in which all weights are trained together; how far an edge's weight may go.
 JOINT, MOST = 10, 3.0
 #: The lists miss identifiers: an unlisted token that the fitted weights give a label with this probability gets it, and
@@ -60,7 +60,7 @@ TOKEN = re.compile(r"\S+")
 INITIALS = re.compile(r"[A-Z]\.?|[A-Z]{2}\.?|(?:[A-Z]\.){2,3}")
 NOT_ALNUM = re.compile(r"[\W_]+")
 #: Means of the prior of the weight that a feature has for a label; what the lists never tell stays at it.
-PRIOR = {"kind phone": (3, 3.0), "kind ni": (3, 3.0), "kind email": (3, 3.0), "kind address": (3, 3.0), "title True": (1, 2.0)}
+PRIOR = {"kind phone": (3, 3.0), "kind ni": (3, 3.0), "kind email": (3, 3.0), "kind address": (3, 3.0), "title True": (1, 4.0)}
 KIND = {"phone": "phone", "nhs": "id_number", "ni": "id_number", "unit": "id_number", "email": "email", "address": "address"}
 
 
@@ -461,7 +461,7 @@ def label_of(element: str) -> int:
 def fit(documents: list[tuple[str, list[str]]], v: Vocabulary) -> Field:
     """Weights from (text, listed identifiers) pairs: a token within a listed name, place or number bears its label.
 
-    Listed elements are documents as well.  Unary weights are fitted first, with missed labels restored, then all weights
+    Listed elements are documents as well (the first FIT_ELEMENTS of them).  Unary weights are fitted first, with missed labels restored, then all weights
     together: the gradient is what message passing believes less what the labels say, for nodes, chain and skip edges.
     """
     prepared, y = [], []
@@ -477,7 +477,7 @@ def fit(documents: list[tuple[str, list[str]]], v: Vocabulary) -> Field:
                 k = text.find(element, k + 1)
         prepared.append(nodes_of(text, v)[0])
         y += labels_of(prepared[-1], spans)
-    for element, label in elements.items():
+    for element, label in islice(elements.items(), FIT_ELEMENTS):
         nodes = nodes_of(element, v, "listed")[0]
         prepared.append(nodes)
         # numbers count as they would by themselves: the check digit tells, since lists hold other things too
