@@ -170,19 +170,29 @@ def passages(own: list[str], words: list[str], places: list[tuple[int, int]]) ->
     least = least_hits(len(own))
     if len(places) < least:
         return
-    open_ = _groups(places, 2 * len(own))
-    while open_:
-        group = open_.pop()
-        # Unharmed windows alone must cover a good part of what is asked for, so that items which share phrases with the
-        # passage don't all have to be aligned.
-        covered = {p + i for _, p in group for i in range(WINDOW)}
-        if len(group) < least or len(covered) < COVERED * SHARE * len(own):
-            continue
-        span, standing, first, last = best_passage(own, words, group)
-        if span >= SHARE * len(own) and standing >= DENSITY * max(span, last - first + 1):
-            yield standing, first, last
-            rest = [p for p in group if p[0] + WINDOW <= first], [p for p in group if p[0] > last]
-            open_ += [x for x in rest if x]
+    # A passage is at most len(own) / DENSITY words long, so it lies whole in one of the windows of three times the item's
+    # words that begin an item's length apart; long documents that say the same over and over cost no more for it.
+    for group in _groups(places, 2 * len(own)):
+        at = [k for k, _ in group]
+        start = at[0]
+        while (i := bisect_left(at, start)) < len(at):
+            start = at[i]
+            spans = _in_window(own, words, group[i : bisect_left(at, start + 3 * len(own))], least)
+            yield from spans
+            start = max(start + len(own), max((last + 1 for _, _, last in spans), default=0))
+
+
+def _in_window(own: list[str], words: list[str], group: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    """The best passage of a few hits, and those before it."""
+    # Unharmed windows alone must cover a good part of what is asked for, so that items which share phrases with the
+    # passage don't all have to be aligned.
+    covered = {p + i for _, p in group for i in range(WINDOW)}
+    if len(group) < least or len(covered) < COVERED * SHARE * len(own):
+        return []
+    span, standing, first, last = best_passage(own, words, group)
+    if span < SHARE * len(own) or standing < DENSITY * max(span, last - first + 1):
+        return []
+    return [*_in_window(own, words, [p for p in group if p[0] + WINDOW <= first], least), (standing, first, last)]
 
 
 def _groups(places: list[tuple[int, int]], gap: int) -> list[list[tuple[int, int]]]:

@@ -183,25 +183,46 @@ def bounded_words(words: DataFrame) -> frozenset[str] | None:
     return frozenset(found) if len(found) <= BROADCAST_WORDS else None
 
 
-def corpus_words(documents: DataFrame) -> DataFrame:
-    """(word) in lower case: results that some suggestion needs and that stand somewhere in a text of their own script.
+def canonical(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_chars, text, form) of all (doc_id, text) rows: length and hash of the text, and its form; null stays null.
 
-    Only texts beyond ASCII can need a word; then every text is looked through for the wanted ones.
+    An empty text has an empty form.  Texts of ASCII alone get their form in the JVM.  The others are folded once, into a
+    table; most have their form then.  Those with tokens that may hold look-alikes ask for words, every text is looked
+    through for words that somebody asks for and that are of its own script, and then they are repaired.
     """
     spark = documents.sparkSession
+    rows = documents.select("doc_id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("hash"), "text")
+    names = ["doc_id", "n_chars", "text", "form", "wanted"]
 
-    def wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted: set[str] = set()
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for _, _, results in suggestions(folded(text)):
-                    wanted.update(r.lower() for r in results)
-            if len(wanted) > HELD_WORDS:
-                yield pa.RecordBatch.from_arrays([pa.array(list(wanted), pa.string())], ["word"])
-                wanted.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(wanted), pa.string())], ["word"])
-
-    wanted = documents.where(beyond_ascii()).select("text").mapInArrow(wants, "word string").distinct()
+            forms = [folded(t) for t in batch.column(3).to_pylist()]
+            wanted = [sorted({r.lower() for _, _, results in suggestions(t) for r in results}) for t in forms]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2).cast(pa.string()), pa.array(forms, pa.string()), pa.array([w or None for w in wanted], pa.list_(pa.string()))], names)
+
+    other = written(rows.where(beyond_ascii()).mapInArrow(fold, "doc_id long, n_chars int, text string, form string, wanted array<string>"), "folded-texts")
+    plain = rows.where(~beyond_ascii()).select("doc_id", "n_chars", F.col("hash").alias("text"), F.regexp_replace("text", r"\r\n?", "\n").alias("form"))
+    asking = other.where("wanted is not null")
+    words = corpus_words(plain.select("form").unionByName(other.select("form")), asking.select(F.explode("wanted").alias("word")).distinct())
+    known = spark.sparkContext.broadcast(bounded_words(words))
+    small = known.value is not None
+
+    def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(3).to_pylist()
+            own = [known.value] * len(texts) if small else [frozenset(x or ()) for x in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([repaired(t, w.__contains__) for t, w in zip(texts, own)], pa.string())], names[:4])
+
+    if not small:
+        each = asking.select("doc_id", "text", F.explode("wanted").alias("word")).distinct().join(words, "word")
+        asking = asking.drop("wanted").join(each.groupBy("doc_id", "text").agg(F.collect_set("word").alias("own")), ["doc_id", "text"], "left").select(*names[:4], "own")
+    done = asking.mapInArrow(repair, "doc_id long, n_chars int, text string, form string")
+    return plain.unionByName(other.where("wanted is null").drop("wanted")).unionByName(done)
+
+
+def corpus_words(forms: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(word): those of the wanted words, in lower case, that stand somewhere in a text (form) of their own script."""
+    spark = forms.sparkSession
     asked = spark.sparkContext.broadcast(bounded_words(wanted))
 
     def stands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,57 +230,25 @@ def corpus_words(documents: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    found = native_words(folded(text))
+                    found = native_words(text)
                     words |= found if asked.value is None else asked.value & found
             if len(words) > HELD_WORDS:
                 yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
                 words.clear()
         yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
 
-    standing = documents.select("text").mapInArrow(stands, "word string").distinct()
+    standing = forms.mapInArrow(stands, "word string").distinct()
     return standing if asked.value is not None else standing.join(wanted, "word", "left_semi")
 
 
-def canonical(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, form) of all (doc_id, text) rows; null stays null and an empty text has an empty form.
-
-    Texts of ASCII alone get their form in the JVM.
-    """
-    spark = documents.sparkSession
-    documents = documents.select("doc_id", "text")
-    words = corpus_words(documents)
-    known = spark.sparkContext.broadcast(bounded_words(words))
-    small = known.value is not None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            own = [known.value] * len(texts) if small else [frozenset(x or ()) for x in batch.column(2).to_pylist()]
-            forms = [repaired(folded(t), w.__contains__) for t, w in zip(texts, own)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(forms, pa.string())], ["doc_id", "text", "form"])
-
-    plain = documents.where(~beyond_ascii()).withColumn("form", F.regexp_replace("text", r"\r\n?", "\n"))
-    other = documents.where(beyond_ascii())
-    if not small:
-
-        def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = [(i, w) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in {r.lower() for _, _, rs in suggestions(folded(t)) for r in rs}]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["doc_id", "word"])
-
-        per_document = other.mapInArrow(needs, "doc_id long, word string").join(words, "word").groupBy("doc_id").agg(F.collect_set("word").alias("own"))
-        other = other.join(per_document, "doc_id", "left").select("doc_id", "text", "own")
-    return plain.unionByName(other.mapInArrow(run, "doc_id long, text string, form string"))
-
-
 def look_alike_pairs(documents: DataFrame, least: int = 100) -> DataFrame:
     """(doc_id_a, doc_id_b), a < b: documents of at least `least` characters with one form but different texts.
 
     Classes are formed over different texts first, so that copies of one text meet only the copies of another.
     """
-    rows = canonical(documents).where(F.length("text") >= least)  # shorter texts vouch for words as well
+    rows = canonical(documents).where(F.col("n_chars") >= least)  # shorter texts vouch for words as well
     form = F.sha2(F.regexp_replace("form", r"[ \t]+(?=\n|$)", ""), 256).alias("form")
-    rows = written(rows.select("doc_id", form, F.sha2("text", 256).alias("text")), "lookalike-forms")
+    rows = written(rows.select("doc_id", form, "text"), "lookalike-forms")
     several = rows.groupBy("form").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("form")
     rows = written(rows.join(several, "form", "left_semi"), "lookalike-classes")
     texts = rows.select("form", "text").distinct()

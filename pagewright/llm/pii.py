@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .common import EDGE, Asking, Lexicon, Own, Repairer, bounded_sample, counted, current_rows, frequent, looked_up, table, with_own, word_of, written
-from .name_variants import FORMAL, deletes, near, parse
+from .name_variants import FORMAL, MOST_LETTERS, deletes, near, parse
 
 #: Labelled pages and listed elements that the weights are fitted on, at most; passes over them; rounds of message passing.
 FIT_PAGES, FIT_ELEMENTS, EPOCHS, ROUNDS = 3_000, 3_000, 20, 4
@@ -168,7 +168,7 @@ def _large(surfaces: DataFrame, listed: DataFrame) -> Vocabulary:
 def name_form(surface: str) -> str | None:
     """The form in which a token is looked up among listed words; None of what can't be a name's word."""
     bare = surface.strip(EDGE)
-    if len(bare) < 3 or not bare.replace("'", "").replace("’", "").replace(".", "").isalpha():
+    if not 3 <= len(bare) <= MOST_LETTERS or not bare.replace("'", "").replace("’", "").replace(".", "").isalpha():
         return None
     return re.sub(r"['’]s$", "", bare.lower()).replace("'", "").replace("’", "")
 
