@@ -32,6 +32,9 @@ MIN_COUNT = 5
 NAME_LOWER = 0.05
 #: A word is misread only if the right one is so many times as frequent.
 RATIO = 8
+#: A word that occurs less than so often for each occurrence of the longer words that it begins is their fragment, no word:
+#: fragments in pages that break off grow with the corpus and pass any fixed number.
+FRAGMENT = 0.01
 
 EDGE = " \t\r\n.,;:!?()[]{}<>\"'`*_~|=#/\\-…‐¬\xad"
 CURRENT = "written_at"
@@ -208,12 +211,17 @@ class Lexicon:
         self.repair = Repairer(ordinary)
         self.usual = frozenset(s for s in surfaces if not self.repair(word_of(s)))
 
-    def prefixes(self) -> list[str]:
-        """The trie of the words, flattened: a word's extensions follow it in this sorted list."""
-        return sorted(w for w in self.words if _in_trie(w) and not self.repair(w))
+    def prefixes(self) -> dict[str, int]:
+        """The trie of the words with their numbers, flattened: a word's extensions follow it in this sorted dict."""
+        return {w: self.words[w] for w in sorted(self.words) if not self.repair(w)}
 
 
-def _in_trie(word: str) -> bool:
+def fragment(word: str, own: int, longer: int) -> bool:
+    """Whether a word of so many occurrences is a fragment of longer ones of so many; a letter that occurs is an initial."""
+    return longer > 0 and own < (FRAGMENT * longer if len(word) > 1 else 1)
+
+
+def in_trie(word: str) -> bool:
     return "'" not in word and "’" not in word
 
 
@@ -395,13 +403,13 @@ class Own:
         self.words: dict[str, int] = {}
         self.ordinary: dict[str, int] = {}
         self.rights: dict[str, str] = {}
-        self.begun: set[str] = set()
+        self.begun: dict[str, int] = {}
         own = set()
         for e in entries:
             if e["kind"] == "s":
                 own.add(e["token"])
             elif e["kind"] == "p":
-                self.begun.add(e["token"])
+                self.begun[e["token"]] = e["n"]
             else:
                 self.words[e["token"]] = e["n"]
                 self.ordinary[e["token"]] = e["ordinary"]
@@ -413,10 +421,11 @@ class Own:
         self.repair = Repairer({}, known=self.rights)
 
     def known(self, word: str) -> bool:
-        return word in self.words and _in_trie(word) and not self.repair(word)
+        return word in self.words and in_trie(word) and not self.repair(word)
 
     def proper_prefix(self, word: str) -> bool:
-        return bool(word) and not self.known(word) and word in self.begun
+        own = 0 if self.repair(word) else self.words.get(word, 0)
+        return fragment(word, own, self.begun.get(word, 0))
 
 
 OWN = "array<struct<kind:string,token:string,n:long,ordinary:long,right:string,right_n:long>>"
@@ -458,8 +467,10 @@ def with_own(pages: DataFrame, lex: Lexicon, keys: tuple[str, ...], ask: Callabl
     answers = answers.join(rights, "right", "left").select(F.lit("w").alias("kind"), F.col("word").alias("token"), "n", "ordinary", "right", F.coalesce("right_n", F.lit(0)).cast("long").alias("right_n"))
     nothing = [F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("ordinary"), F.lit("").alias("right"), F.lit(0).cast("long").alias("right_n")]
     usual = distinct.where("kind = 's'").join(lex.rest.usual, "token", "left_semi").select("kind", "token", *nothing)
-    trie = known.where("right = '' and not contains(word, \"'\") and not contains(word, '’')").select(F.explode(F.expr("transform(sequence(1, length(word) - 1), n -> substring(word, 1, n))")).alias("token")).where("token != ''").distinct()
-    begun = distinct.where("kind = 'p'").join(trie, "token", "left_semi").select("kind", "token", *nothing)
+    # the numbers of the longer words that an asked one begins; words are counted before they meet it
+    trie = known.where("right = '' and length(word) > 1").select(F.explode(F.expr("transform(sequence(1, length(word) - 1), n -> substring(word, 1, n))")).alias("token"), "n")
+    trie = trie.groupBy("token").agg(F.sum("n").alias("n"))
+    begun = distinct.where("kind = 'p'").join(trie, "token").select("kind", "token", "n", *nothing[1:])
     answers = answers.unionByName(usual).unionByName(begun)
     own = asked.join(answers, ["kind", "token"]).groupBy(*keys).agg(F.collect_list(F.struct("kind", "token", "n", "ordinary", "right", "right_n")).alias("own"))
     return pages.join(own, list(keys), "left").select(*pages.columns, "own")

@@ -370,6 +370,19 @@ def test_trie_and_length_decide(spark, written_tables, monkeypatch):
     assert cut() == {key for key in want if key >= "s_page_060"}  # without trie and length
 
 
+def test_fragments_of_words_grow_with_the_corpus(spark, written_tables):
+    """Pages cut in the same word stay cut, however many there are and though pages that break off hold the fragment inside."""
+    rng = random.Random(8)
+    words = [*WORDS, "meltranol", "Parkingham's"]
+    body = lambda: " ".join(" ".join(rng.choices(words, k=9)).capitalize() + "." for _ in range(rng.randrange(12, 40)))
+    ends = {"cut": " He took meltra", "broken": " He took meltra &am", "name": " Known to have Parkingham's", "whole": "\nKeep this sheet near Brammel Hospital"}
+    rows = [audit_row(f"s{k % 20}_page_{k:04d}", body() + (ends[name] if name else "")) for k, name in enumerate(["cut"] * 8 + ["broken"] * 7 + ["name"] * 4 + ["whole"] * 50 + [""] * 1500)]
+    rows += [audit_row(f"s{k % 20}_page_{k:04d}", "Seen at Brammel Hospital. " + body()) for k in range(2000, 2200)]
+    folder = written_tables(audit_trail=rows, patient_data_extractor=[(k, "s", None, 0, "t", True, ["Parkingham's", "Brammel Hospital"], None) for k in range(3)])
+    found = {int(r.page_key[-4:]) for r in QUERIES["p1_found"](spark, folder).collect()}
+    assert found == set(range(19))
+
+
 def test_long_last_lines_are_read_whole():
     trie = truncation.Trie(sorted(["the", "wound"]))
     row = "| " + "a cell of a long row | " * 60
