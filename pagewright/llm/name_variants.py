@@ -1,8 +1,8 @@
 """Problem 6: spellings of one person's or organisation's name, linked within a stem.
 
-Elements are parsed into tokens.  A symmetric-delete index (all strings made by deleting up to two letters) finds
-surnames and proper names a small edit distance apart without comparing all of them.  Within such a neighbourhood the
-given names are aligned by the best assignment, which permits initials, nicknames and misspellings.
+Elements are parsed into tokens.  A symmetric-delete index (all strings made by deleting up to two letters; pieces of very
+long names) finds surnames and proper names a small edit distance apart without comparing all of them.  Within such a
+neighbourhood the given names are aligned by the best assignment, which permits initials, nicknames and misspellings.
 """
 
 from __future__ import annotations
@@ -23,9 +23,12 @@ DELETES, LONG = 2, 5
 #: A phrase that stands in more stems than this share of all (and than COMMON_STEMS) is a stock phrase, no name, unless its
 #: last word, or a spelling linked to it, stands anywhere with a title, an initial or in inverted order, as only names do.
 COMMON_SHARE, COMMON_STEMS = 0.2, 12
-#: What one name is: at most this many words in all, and words of a person without titles; an element of more holds more.
-#: No word of a name has more than MOST_LETTERS.
-MOST_WORDS, MOST_NAMES, MOST_LETTERS = 9, 4, 64
+#: A name of more letters, which would have thousands of keys in the delete index, is found by its pieces; drops nothing.
+MOST_LETTERS = 64
+#: Pieces of a long name: an edit changes two of them at most, when it swaps letters across a border, so one stays whole.
+PIECES = 2 * DELETES + 1
+#: Letters of index rows that a task holds before it hands them on; bounds its memory, drops nothing.
+FLUSH_LETTERS = 1 << 24
 #: Names that share a key of the delete index are joined in parts of about this size, so that no task holds a hot key.
 KEY_PART = 500
 #: Names whose edges a task contracts at a time; bounds its memory, drops nothing.
@@ -83,30 +86,30 @@ def parse(element: str | None) -> tuple[str, str, str, str] | None:
         return None
     words = [[w for w in WORD.findall(p)] for p in parts]
     flat = [w for p in words for w in p]
-    if any(len(w) > MOST_LETTERS for w in flat):
-        return None
-    if sum(map(len, flat)) + 2 * len(flat) + 4 < len(text) or len(flat) > MOST_WORDS:
+    if sum(map(len, flat)) + 2 * len(flat) + 4 < len(text):
         return None
+    upper = text.isupper()
     known = [ORGANISATION.get(_letters(w)) for w in flat]
     if any(k in KINDS for k in known if k):
         order = (words[1] + words[0]) if len(words) == 2 else words[0]
         out = [(_letters(w), ORGANISATION.get(_letters(w))) for w in order if _letters(w) not in LEFT_OUT]
-        proper = [w[:-1] if "st" in [k for _, k in out] and w.endswith("s") and len(w) > 3 and order_possessive(order, w) else w for w, k in out if not k]
+        saint, bare = any(k == "st" for _, k in out), possessives(order)
+        proper = [w[:-1] if saint and w.endswith("s") and len(w) > 3 and w in bare else w for w, k in out if not k]
         if not proper:
             return None
         kinds = " ".join(sorted({k for _, k in out if k}))
         return f"o {kinds}", " ".join(proper), "", "".join((k or w)[0] for w, k in out)
     if len(parts) == 2:
         before, after = ([w for w in p if _letters(w) not in TITLES] for p in words)
-        if len(before) != 1 or not after or len(after) > MOST_NAMES - 1 or len(_letters(before[0])) < 3:
+        if len(before) != 1 or not after or len(_letters(before[0])) < 3:
             return None
         surname, given = _letters(before[0]), after
     else:
         if any(_letters(w) in LEFT_OUT for w in flat):
             return None
         rest = [w for w in flat if _letters(w) not in TITLES]
-        long = [w for w in rest if not _initials(w, text)]
-        if not long or len(rest) > MOST_NAMES or len(long) > MOST_NAMES - 1:
+        long = [w for w in rest if not _initials(w, upper)]
+        if not long:
             return None
         surname = _letters(long[-1])
         given = list(rest)
@@ -115,18 +118,19 @@ def parse(element: str | None) -> tuple[str, str, str, str] | None:
             return None
     names: list[str] = []
     for w in given:
-        names.extend(_letters(w) if _initials(w, text) else [_letters(w)])
+        names.extend(_letters(w) if _initials(w, upper) else [_letters(w)])
     return "p", surname, " ".join(n for n in names if n), ""
 
 
-def order_possessive(order: list[str], word: str) -> bool:
-    """Whether the word stands in the element as `Xs` without the apostrophe."""
-    return any(w.lower().rstrip(".") == word for w in order)
+def possessives(order: list[str]) -> set[str]:
+    """The words as they stand in the element: of `Xs`, those without the apostrophe."""
+    return {w.lower().rstrip(".") for w in order}
 
 
-def _initials(word: str, text: str) -> bool:
+def _initials(word: str, upper: bool) -> bool:
+    """Whether the word of an element, which may be all in upper case, is initials."""
     bare = word.rstrip(".")
-    return len(bare) == 1 or (len(bare) <= 2 and bare.isupper() and not text.isupper()) or (len(bare) == 2 and not re.search("[aeiouyAEIOUY]", bare))
+    return len(bare) == 1 or (len(bare) <= 2 and bare.isupper() and not upper) or (len(bare) == 2 and not re.search("[aeiouyAEIOUY]", bare))
 
 
 def deletes(name: str) -> set[str]:
@@ -138,20 +142,41 @@ def deletes(name: str) -> set[str]:
     return out
 
 
+def keys_of(name: str) -> set[str]:
+    """Strings of which any two names that are `near` share one: deletes, or marked pieces of long names.
+
+    A piece is marked with the length and place that it has in a name of up to DELETES letters more or fewer, and stands up
+    to as many letters away from there.
+    """
+    n = len(name)
+    out = deletes(name) if n <= MOST_LETTERS else set()
+    for m in range(n - DELETES, n + DELETES + 1) if n > MOST_LETTERS - DELETES else ():
+        for i in range(PIECES):
+            start, stop = m * i // PIECES, m * (i + 1) // PIECES
+            out |= {f"{m} {i} {name[start + d : stop + d]}" for d in range(-DELETES, DELETES + 1) if start + d >= 0 and stop + d <= n}
+    return out
+
+
 def distance(a: str, b: str, most: int) -> int:
-    """Edits with transpositions (optimal string alignment), or most + 1."""
+    """Edits with transpositions (optimal string alignment), or most + 1; looks only at places up to `most` apart."""
+    far, width = most + 1, 2 * most + 1
     if abs(len(a) - len(b)) > most:
-        return most + 1
-    two, one = None, list(range(len(b) + 1))
+        return far
+    two, one = None, [k - most if k >= most else far for k in range(width)]  # place k of row i is letter i + k - most of b
     for i, c in enumerate(a, 1):
-        now = [i]
-        for j, d in enumerate(b, 1):
-            v = min(one[j] + 1, now[-1] + 1, one[j - 1] + (c != d))
-            if i > 1 and j > 1 and c == b[j - 2] and a[i - 2] == d:
-                v = min(v, two[j - 2] + 1)
-            now.append(v)
+        now, v = [far] * width, far
+        for k in range(max(0, most - i), min(width, len(b) - i + most + 1)):
+            j = i + k - most
+            v = min(v + 1, one[k + 1] + 1 if k + 1 < width else far)
+            if j:
+                v = min(v, one[k] + (c != b[j - 1]))
+                if i > 1 and j > 1 and c == b[j - 2] and a[i - 2] == b[j - 1]:
+                    v = min(v, two[k] + 1)
+            now[k] = v
         two, one = one, now
-    return min(one[-1], most + 1)
+        if min(min(one), min(two)) > most:
+            return far
+    return min(one[len(b) - len(a) + most], far)
 
 
 def near(a: str, b: str) -> bool:
@@ -174,6 +199,35 @@ def given_cost(a: str, b: str) -> float:
     return float("inf")
 
 
+def assigned(costs: list[list[int]]) -> int:
+    """Least sum of costs of a column of its own for each row, by shortest augmenting paths; no more rows than columns."""
+    n, m = len(costs), len(costs[0]) if costs else 0
+    above, left, row_of = [0] * (n + 1), [0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        row_of[0], at = i, 0
+        least, came, used = [None] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while row_of[at]:
+            used[at], row, step, to = True, row_of[at], None, 0
+            for j in range(1, m + 1):
+                if not used[j]:
+                    v = costs[row - 1][j - 1] - above[row] - left[j]
+                    if least[j] is None or v < least[j]:
+                        least[j], came[j] = v, at
+                    if step is None or least[j] < step:
+                        step, to = least[j], j
+            if step:
+                for j in range(m + 1):
+                    if used[j]:
+                        above[row_of[j]] += step
+                        left[j] -= step
+                    elif j:
+                        least[j] -= step
+            at = to
+        while at:
+            row_of[at], at = row_of[came[at]], came[at]
+    return sum(costs[row - 1][j - 1] for j, row in enumerate(row_of) if j and row)
+
+
 def align(a: list[str], b: list[str]) -> float:
     """Cost of the best assignment of the shorter list's given names to the longer's; names left over must be initials.
 
@@ -183,26 +237,25 @@ def align(a: list[str], b: list[str]) -> float:
         a, b = b, a
     if not a:
         return 2.0 if not b else 3.0
-    initials = all(len(x) == 1 for x in a)
-    best: dict[tuple[int, bool], float] = {(0, True): 0.0}  # taken names of b as bits, whether the first fits the first -> cost
-    for i, x in enumerate(a):
-        now: dict[tuple[int, bool], float] = {}
-        for (taken, straight), cost in best.items():
-            for k, y in enumerate(b):
-                if not taken >> k & 1 and (c := given_cost(x, y)) != float("inf"):
-                    state = taken | 1 << k, straight and (i > 0 or k == 0)
-                    now[state] = min(now.get(state, float("inf")), cost + c + 0.1 * (i != k))
-        best = now
+    never = 100 * (len(b) + 1)  # more than any names that fit cost together, in tenths
+    costs = [[never if (c := given_cost(x, y)) == float("inf") else round(10 * c) + (i != k) for k, y in enumerate(b)] for i, x in enumerate(a)]
+    if any(len(x) > 1 for x in a):
+        best = assigned(costs)
+    else:  # the first names fit each other, or no full name is left over
+        straight = costs[0][0] + assigned([row[1:] for row in costs[1:]])
+        full = [never * (len(y) > 1) for y in b]
+        best = min(straight, assigned([[c - f for c, f in zip(row, full)] for row in costs]) + sum(full))
+    return best / 10 if best < never else float("inf")
 
-    def allowed(taken: int, straight: bool) -> bool:
-        return straight or not initials or all(len(y) == 1 for k, y in enumerate(b) if not taken >> k & 1)
 
-    return min((cost for state, cost in best.items() if allowed(*state)), default=float("inf"))
+def one_person(a: list[str], b: list[str]) -> bool:
+    """Whether two lists of full given names can be one person's; each name that isn't met at its own place costs a tenth."""
+    return sum(x != y for x, y in zip(a, b)) < 10 and align(a, b) < 1
 
 
 def _keys(given: list[str]) -> set[str]:
     """Keys that two lists of given names share if any of their full names can be one name."""
-    return {d for n in given if len(n) > 1 for form in (n, *FORMAL.get(n, ())) for d in deletes(form)}
+    return {d for n in given if len(n) > 1 for form in (n, *FORMAL.get(n, ())) for d in keys_of(form)}
 
 
 def cluster(rows: list[tuple[str, int]]) -> list[int]:
@@ -237,7 +290,7 @@ def cluster(rows: list[tuple[str, int]]) -> list[int]:
             if root(i) != root(j):
                 if middle[i] and middle[j] and not middle[i] & middle[j]:
                     continue
-                if align(long[i], long[j]) < 1:
+                if one_person(long[i], long[j]):
                     label[max(root(i), root(j))] = min(root(i), root(j))
     entities: dict[int, list[int]] = {}
     firsts: dict[str, set[int]] = {}  # letters that an entity's first given name may begin with
@@ -304,13 +357,25 @@ def neighbours(tokens: DataFrame) -> DataFrame:
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: tuple[list[str], ...] = ([], [], [], [])
+
+        def rows() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], ["stem", "block", "key", "token"])
+            for x in out:
+                x.clear()
+            return made
+
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
+            held = 0
             for stem, block, token in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for d in deletes(token):
-                    for x, v in zip(out, (stem, block, d, token)):
-                        x.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], ["stem", "block", "key", "token"])
+                keys = keys_of(token)
+                for x, v in zip(out, ([stem] * len(keys), [block] * len(keys), keys, [token] * len(keys))):
+                    x.extend(v)
+                held += 2 * len(token) * len(keys)
+                if held > FLUSH_LETTERS:
+                    yield rows()
+                    held = 0
+            yield rows()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -104,6 +104,36 @@ def test_alignment_by_brute_force(a, b):
     assert name_variants.align(a, b) == pytest.approx(best if short else 2.0 if not long else 3.0)
 
 
+def test_names_of_any_length(spark, written_tables):
+    """Names of many words and of long words are linked like others."""
+    long = "Llanfairpwll" * 8
+    groups = [
+        ["Maria Isabel Teresa Carmen Holmen", "HOLMEN, Maria Isabel Teresa Carmen", "Maria Isabel Terresa Carmen Holmen"],
+        [f"Ann {long}", f"ann {long[:40]}x{long[40:]}", f"Anne {long[:60]}{long[61:]}"],
+        [f"{long} Quennell", f"{long[:50]}{long[51:]} Quennel"],
+        ["Old Tressa Gwenfa Brannoc Decla Fyncha Zennor Maddern Alkeld General Hospital", "old Tressa Gwenfa Branoc Decla Fyncha Zennor Maddern Alkeld Gen. Hosp."],
+    ]
+    rows = [(k, "s", None, 0, "t", True, x, None) for k, x in enumerate(groups)]
+    found = _entities(QUERIES["p6_variants"](spark, written_tables(patient_data_extractor=rows)).collect())
+    assert sorted(map(sorted, found)) == sorted(map(sorted, groups))
+
+
+@given(st.text(alphabet="abcdef", min_size=59, max_size=70), st.lists(st.tuples(st.integers(1, 57), st.sampled_from("+-=%")), max_size=2))
+@settings(max_examples=200, deadline=None)
+def test_the_index_of_long_names_is_complete(a, edits):
+    b = a
+    for at, edit in edits:
+        b = {"+": b[:at] + "f" + b[at:], "-": b[:at] + b[at + 1 :], "=": b[:at] + "f" + b[at + 1 :], "%": b[:at] + b[at : at + 2][::-1] + b[at + 2 :]}[edit]
+    if name_variants.near(a, b):
+        assert name_variants.keys_of(a) & name_variants.keys_of(b)
+
+
+def test_long_lists_of_given_names_are_aligned():
+    names = [f"{a}{b}n" for a in "bcdfghjklm" for b in "aeiou"]
+    assert name_variants.align(names, [names[1], names[0], *names[2:]]) == pytest.approx(0.2)
+    assert name_variants.one_person(names, names) and not name_variants.one_person(names, names[::-1])
+
+
 def test_a_person_of_many_stems_is_no_stock_phrase(spark, written_tables):
     lists = [(k, f"s{k}", f"s{k}_page_01", 0, "t", True, ["Ann Holmen", "Ann Holmmen", "Left Knee", "left knee"], None) for k in range(20)]
     folder = written_tables(patient_data_extractor=[*lists, (99, "s0", "s0_page_01", 0, "t", True, ["Dr A Holmen"], None)])
